@@ -189,7 +189,11 @@ def stratified_split(
         label, F.col("_value").alias("_t2"), F.col("_below").alias("_b2")
     )
     # class table (one row per class): quotas and the two cut points
-    cuts = q.join(t1, [label], "left").join(t2, [label], "left").select(label, "_a", "_b", "_t1", "_b1", "_t2", "_b2")
+    cuts = (
+        q.join(t1, [label], "left").join(t2, [label], "left")
+        .select(label, "_a", "_b", "_t1", "_b1", "_t2", "_b2")
+        .checkpoint()
+    )
     j = hashed.join(F.broadcast(cuts), [label])
     is_tie = (F.col("_h") == F.col("_t1")) | (F.col("_h") == F.col("_t2"))
     # position p of a row in (hash, key) order compared with A and B

@@ -40,9 +40,7 @@ def _blank_null(c: str) -> str:
 
 
 # Split oracle: quotas by largest remainder in SQL, rows ranked by md5 order.
-SPLIT_CTE = (
-    ML
-    + f""", cc AS (SELECT tier, count(*) AS n_c FROM ml_orders GROUP BY tier),
+SPLIT_BODY = f""", cc AS (SELECT tier, count(*) AS n_c FROM ml_orders GROUP BY tier),
 tot AS (SELECT sum(n_c) AS n, floor(0.7 * sum(n_c)) AS n_tr FROM cc),
 s1 AS (SELECT tier, n_c, n_c / n * n_tr AS cont, floor(n_c / n * n_tr) AS fl, n_tr FROM cc, tot),
 s1r AS (SELECT *, row_number() OVER (ORDER BY cont - fl DESC, tier) AS rr, n_tr - sum(fl) OVER () AS need FROM s1),
@@ -57,7 +55,14 @@ split AS (SELECT r.row_id, r.price, r.balance, r.status, r.segment, r.tier,
   CASE WHEN pos < q_tr THEN 'train' WHEN pos < q_tr + q_v THEN 'validation' ELSE 'test' END AS split
   FROM ranked r JOIN quota q ON r.tier = q.tier)
 """
-)
+
+
+def split_cte(*views: str) -> str:
+    """WITH clause: ml_orders (+ other views) and the oracle split table ``split``."""
+    return duck_cte("ml_orders", *views) + SPLIT_BODY
+
+
+SPLIT_CTE = split_cte()
 
 
 @register(
