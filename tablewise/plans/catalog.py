@@ -37,5 +37,6 @@ def load_all() -> None:
     from . import queries_explore  # noqa: F401
     from . import queries_prepare  # noqa: F401
     from . import queries_eval  # noqa: F401
+    from . import queries_features  # noqa: F401
     from . import queries_model  # noqa: F401
     from . import queries_io  # noqa: F401
