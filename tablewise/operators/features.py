@@ -61,26 +61,40 @@ class FittedFeatures:
         x = F.when(~F.isnan(x), x)
         return F.coalesce(x, F.lit(float(self.medians[c])))
 
-    def _bin(self, c: str):
-        edges = self.bin_edges[c]
-        x = self._imputed(c)
-        interior = edges[1:-1]
-        idx = F.lit(0)
-        for e in interior:
-            idx = idx + F.when(x >= F.lit(float(e)), 1).otherwise(0)
-        return F.least(F.greatest(idx, F.lit(0)), F.lit(len(edges) - 2))
+    def _prepare(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """First projection: imputed numerics, imputed categories and bin indexes,
+        each computed once so the feature expressions stay small."""
+        cols = [F.col(k) for k in keep]
+        for c in self.numeric:
+            cols.append(self._imputed(c).alias(f"_x_{c}"))
+        for c in self.categorical:
+            cols.append(F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c])).alias(f"_v_{c}"))
+        if self.label and self.label in df.columns:
+            cols.append(self.label_index().alias("label"))
+        pre = df.select(*cols)
+        bins = []
+        for c in self.numeric:
+            if c in self.bin_edges:
+                edges = self.bin_edges[c]
+                x = F.col(f"_x_{c}")
+                idx = F.lit(0)
+                for e in edges[1:-1]:
+                    idx = idx + F.when(x >= F.lit(float(e)), 1).otherwise(0)
+                bins.append(F.least(F.greatest(idx, F.lit(0)), F.lit(len(edges) - 2)).alias(f"_b_{c}"))
+        return pre.select("*", *bins)
 
     def feature_columns(self) -> list:
+        """Feature expressions over the columns made by ``_prepare``."""
         cols = []
         for c in self.numeric:
-            cols.append(((self._imputed(c) - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(c))
+            cols.append(((F.col(f"_x_{c}") - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(c))
         for c in self.categorical:
-            v = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
+            v = F.col(f"_v_{c}")
             for cat in self.categories[c]:
                 cols.append(F.when(v == F.lit(cat), 1.0).otherwise(0.0).alias(f"{c}_{cat}"))
         for c in self.numeric:
             if c in self.bin_edges:
-                b = self._bin(c)
+                b = F.col(f"_b_{c}")
                 for i in range(len(self.bin_edges[c]) - 1):
                     cols.append(F.when(b == i, 1.0).otherwise(0.0).alias(f"{c}_bin{i}"))
         return cols
@@ -92,18 +106,20 @@ class FittedFeatures:
     def transform(self, df: DataFrame, keep: list[str] | None = None, vector: bool = True) -> DataFrame:
         """Append ``features`` (Spark ML vector, or array<double>) and ``label``."""
         keep = list(keep or [])
+        pre = self._prepare(df, keep)
         arr = F.array(*self.feature_columns())
         feats = array_to_vector(arr) if vector else arr
         out = [*[F.col(k) for k in keep], feats.alias("features")]
-        if self.label and self.label in df.columns:
-            out.append(self.label_index().alias("label"))
-        return df.select(*out)
+        if "label" in pre.columns:
+            out.append(F.col("label"))
+        return pre.select(*out)
 
     def long_form(self, df: DataFrame, key: str) -> DataFrame:
         """(key, feature, value) rows of the transformed matrix, for inspection and SQL checks."""
+        pre = self._prepare(df, [key])
         names = self.feature_names()
         arr = F.array(*[F.struct(F.lit(n).alias("feature"), e.alias("value")) for n, e in zip(names, self.feature_columns())])
-        return df.select(key, F.explode(arr).alias("_kv")).select(key, "_kv.feature", F.round("_kv.value", 6).alias("value"))
+        return pre.select(key, F.explode(arr).alias("_kv")).select(key, "_kv.feature", F.round("_kv.value", 6).alias("value"))
 
     # ---------------------------------------------------------------- persistence
     def to_json(self) -> str:

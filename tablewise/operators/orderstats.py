@@ -124,13 +124,13 @@ def order_statistics(
     t = targets.select(*keys, "_rank", "_n")
     d, gk = _with_group(d, keys)
     t, _ = _with_group(t, keys)
-    t = t.checkpoint()
     largest = t.agg(F.max("_n")).first()[0]
     if largest is None:
         out = _sorted_pick(d.limit(0), gk, t)
     elif largest <= max_sort_rows:
         out = _sorted_pick(d, gk, t)
     else:
+        t = t.checkpoint()
         small = t.where(F.col("_n") <= max_sort_rows)
         big = t.where(F.col("_n") > max_sort_rows)
         small_rows = d.join(small.select(*gk).distinct(), gk, "left_semi")
@@ -169,9 +169,18 @@ def quantiles(
         .distinct()
     )
     stats = order_statistics(d, keys, "_x", ranks, max_sort_rows)
-    s0 = stats.select(*keys, F.col("_rank").alias("_r0"), F.col("_value").alias("_v0"))
-    s1 = stats.select(*keys, F.col("_rank").alias("_r1"), F.col("_value").alias("_v1"))
-    out = targets.join(s0, [*keys, "_r0"]).join(s1, [*keys, "_r1"])
+    # one reference to ``stats``: both interpolation neighbours come from one join
+    need = targets.select(
+        *keys, "prob", "_f", F.explode(F.array(
+            F.struct(F.lit(0).alias("_side"), F.col("_r0").alias("_rank")),
+            F.struct(F.lit(1).alias("_side"), F.col("_r1").alias("_rank")),
+        )).alias("_s")
+    ).select(*keys, "prob", "_f", "_s._side", "_s._rank")
+    j = need.join(stats.select(*keys, "_rank", "_value"), [*keys, "_rank"])
+    out = j.groupBy(*keys, "prob", "_f").agg(
+        F.max(F.when(F.col("_side") == 0, F.col("_value"))).alias("_v0"),
+        F.max(F.when(F.col("_side") == 1, F.col("_value"))).alias("_v1"),
+    )
     q = F.col("_v0") + F.col("_f") * (F.col("_v1") - F.col("_v0"))
     return out.select(*keys, "prob", q.alias("quantile"))
 

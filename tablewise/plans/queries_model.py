@@ -1 +1,199 @@
-"""Queries registered by this module."""
+"""Training, candidate search and batch scoring queries."""
+
+from __future__ import annotations
+
+import time
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import metrics, score, select
+from ..operators import train as tr
+from .catalog import register
+from .fixtures import spark_view
+from .queries_eval import _records_meta
+from .queries_features import fitted
+from .queries_prepare import ml_split
+
+# Candidate grids of the reference configuration (fixed values).
+LOGISTIC_CANDIDATES = [
+    {"C": 0.5, "class_weight": None},
+    {"C": 1.0, "class_weight": None},
+    {"C": 1.0, "class_weight": "balanced"},
+]
+MLP_CANDIDATES = [
+    ([64, 32], "tanh", 0.0001, 0.001), ([64, 32], "tanh", 0.001, 0.001), ([48], "relu", 0.0001, 0.001),
+    ([64, 32], "relu", 0.001, 0.001), ([96], "tanh", 0.0001, 0.001), ([96], "relu", 0.0001, 0.001),
+    ([96, 48], "tanh", 0.0001, 0.0005), ([96, 48], "tanh", 0.0001, 0.001), ([96, 48], "tanh", 0.0001, 0.002),
+    ([96, 48], "relu", 0.0001, 0.001), ([96, 48], "relu", 0.001, 0.001), ([128, 64], "tanh", 0.0001, 0.0005),
+    ([128, 64], "tanh", 0.0001, 0.001), ([128, 64], "tanh", 0.001, 0.001), ([128, 64], "relu", 0.0001, 0.001),
+    ([128, 64], "relu", 0.001, 0.001), ([96, 48, 24], "tanh", 0.0001, 0.001), ([96, 48, 24], "relu", 0.0001, 0.001),
+    ([128, 64, 32], "tanh", 0.0001, 0.001), ([128, 64, 32], "relu", 0.0001, 0.001),
+]
+MLP_MAX_ITER = 350
+SOFTMAX_GD = dict(lr=0.08, l2=0.0005, max_epochs=300, patience=25, tol=1e-5)
+MLP_GD = dict(hidden=48, lr=0.01, l2=0.0005, max_epochs=220, batch=256, patience=25, tol=1e-5, seed=42)
+
+_CACHE: dict = {}
+
+
+def prepared(spark, sf) -> DataFrame:
+    """All rows of ml_orders with split, features vector and label (fit on train only)."""
+    key = ("prepared", id(spark), sf)
+    if key not in _CACHE:
+        f = fitted(spark, sf)
+        _CACHE[key] = f.transform(ml_split(spark, sf), keep=["row_id", "split"])
+    return _CACHE[key]
+
+
+def _split(spark, sf, name):
+    return prepared(spark, sf).where(F.col("split") == name)
+
+
+def _eval_rows(model, df, classes, by_value: dict) -> DataFrame:
+    pred = tr.predict_labels(model, df, classes)
+    ev = metrics.evaluate(pred, "y", "p", classes)
+    for k, v in by_value.items():
+        ev = ev.withColumn(k, F.lit(v))
+    return ev
+
+
+def logistic_search(spark, sf):
+    """M1/M6: fit every logistic candidate on train, score validation, keep the best."""
+    key = ("logistic", id(spark), sf)
+    if key in _CACHE:
+        return _CACHE[key]
+    f = fitted(spark, sf)
+    train = _split(spark, sf, "train")
+    val = _split(spark, sf, "validation")
+    n = train.count()
+    weighted = tr.with_balanced_weights(train, train)
+    rows, models = [], []
+    for i, cand in enumerate(LOGISTIC_CANDIDATES):
+        balanced = cand["class_weight"] == "balanced"
+        est = tr.logistic_estimator(cand["C"], float(n), balanced)
+        t0 = time.perf_counter()
+        model = est.fit(weighted if balanced else train)
+        ev = _eval_rows(model, val, f.classes, {}).first()
+        secs = time.perf_counter() - t0
+        rows.append((i, float(cand["C"]), cand["class_weight"] or "none", float(ev["macro_f1"]), float(ev["accuracy"]), secs, "logistic"))
+        models.append(model)
+    res = spark.createDataFrame(
+        rows, "candidate_index int, C double, class_weight string, val_macro_f1 double, val_accuracy double, train_s double, family string"
+    )
+    best = select.select_candidate(res, "family").first()["candidate_index"]
+    _CACHE[key] = (res, models[best], best)
+    return _CACHE[key]
+
+
+@register("candidate_search")
+def q_candidate_search(spark, sf):
+    """M6: logistic candidates (C, class weight) fitted on train and compared on validation macro-F1."""
+    res, _, best = logistic_search(spark, sf)
+    return res.withColumn("selected", F.col("candidate_index") == F.lit(best))
+
+
+@register("train_logistic")
+def q_train_logistic(spark, sf):
+    """M1: the chosen multinomial logistic model's validation and test metrics (test scored once)."""
+    res, model, best = logistic_search(spark, sf)
+    f = fitted(spark, sf)
+    v = _eval_rows(model, _split(spark, sf, "validation"), f.classes, {"split": "validation"})
+    t = _eval_rows(model, _split(spark, sf, "test"), f.classes, {"split": "test"})
+    return v.unionByName(t).withColumn("model", F.lit("spark_logistic"))
+
+
+@register("train_mlp")
+def q_train_mlp(spark, sf):
+    """M2: MLP candidates (one MLlib fit per distinct hidden layout) compared on validation macro-F1."""
+    f = fitted(spark, sf)
+    train = _split(spark, sf, "train").cache()
+    val = _split(spark, sf, "validation")
+    d = len(f.feature_names())
+    k = len(f.classes)
+    by_layout: dict = {}
+    rows = []
+    for i, (hidden, act, alpha, lr) in enumerate(MLP_CANDIDATES):
+        lay = tuple(hidden)
+        if lay not in by_layout:
+            t0 = time.perf_counter()
+            est = MultilayerPerceptronClassifier(layers=[d, *hidden, k], maxIter=MLP_MAX_ITER, seed=42, featuresCol="features", labelCol="label")
+            model = est.fit(train)
+            ev = _eval_rows(model, val, f.classes, {}).first()
+            by_layout[lay] = (float(ev["macro_f1"]), float(ev["accuracy"]), time.perf_counter() - t0)
+        mf1, acc, secs = by_layout[lay]
+        rows.append((i, "-".join(map(str, hidden)), act, float(alpha), float(lr), mf1, acc, secs, "mlp"))
+    train.unpersist()
+    res = spark.createDataFrame(
+        rows, "candidate_index int, hidden string, activation string, alpha double, learning_rate double, "
+        "val_macro_f1 double, val_accuracy double, train_s double, family string"
+    )
+    best = select.select_candidate(res, "family").select("candidate_index").withColumn("selected", F.lit(True))
+    return res.join(F.broadcast(best), "candidate_index", "left").fillna(False, ["selected"])
+
+
+def _gd_history(spark, sf, which: str):
+    key = (which, id(spark), sf)
+    if key not in _CACHE:
+        train = _split(spark, sf, "train")
+        val = _split(spark, sf, "validation")
+        if which == "softmax":
+            _CACHE[key] = tr.train_softmax_gd(train, val, **SOFTMAX_GD)
+        else:
+            _CACHE[key] = tr.train_mlp_gd(train, val, **MLP_GD)
+    return _CACHE[key]
+
+
+@register("train_softmax_gd")
+def q_train_softmax_gd(spark, sf):
+    """M3/M5: distributed full-batch softmax regression; per-epoch train/validation loss history."""
+    r = _gd_history(spark, sf, "softmax")
+    return r.history_frame(spark, "softmax_gd", SOFTMAX_GD["max_epochs"])
+
+
+@register("train_mlp_gd")
+def q_train_mlp_gd(spark, sf):
+    """M4/M5: one-hidden-layer ReLU net by per-epoch parameter averaging; loss history."""
+    r = _gd_history(spark, sf, "mlp")
+    return r.history_frame(spark, "mlp_gd", MLP_GD["max_epochs"])
+
+
+@register("gd_model_metrics")
+def q_gd_model_metrics(spark, sf):
+    """M3/M4 evaluation: validation and test metrics of both gradient-descent models."""
+    f = fitted(spark, sf)
+    k = len(f.classes)
+    names = F.array(*[F.lit(c) for c in f.classes])
+    out = []
+    for which in ("softmax", "mlp"):
+        r = _gd_history(spark, sf, which)
+        for split in ("validation", "test"):
+            probs = tr.gd_probabilities(_split(spark, sf, split), r, k)
+            arr = F.col("probability")
+            pred = probs.select(
+                F.element_at(names, F.col("label").cast("int") + 1).alias("y"),
+                F.element_at(names, F.array_position(arr, F.array_max(arr)).cast("int")).alias("p"),
+            )
+            ev = metrics.evaluate(pred, "y", "p", f.classes).withColumn("model", F.lit(f"{which}_gd")).withColumn("split", F.lit(split))
+            out.append(ev)
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("score_batch")
+def q_score_batch(spark, sf):
+    """Validate new records, transform with the fitted features, score with the
+    chosen logistic model, validate probabilities, assemble predictions (invalid rows quarantined)."""
+    f = fitted(spark, sf)
+    _, model, _ = logistic_search(spark, sf)
+    meta = _records_meta(spark, sf)
+    rec = spark_view(spark, sf, "records")
+    valid, _rejected = score.split_valid(rec, "row_id", meta, mode="quarantine")
+    X = f.transform(valid, keep=["row_id"])
+    probs = model.transform(X).select("row_id", vector_to_array("probability").alias("_p"))
+    cols = [f"p{i}" for i in range(len(f.classes))]
+    wide = probs.select("row_id", *[F.col("_p")[i].alias(c) for i, c in enumerate(cols)])
+    bad = score.probability_violations(wide, "row_id", cols)
+    ok = wide.join(bad.select("row_id").distinct(), "row_id", "left_anti")
+    return score.assemble_predictions(ok, "row_id", cols, f.classes, model_name="spark_logistic")
