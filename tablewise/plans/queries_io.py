@@ -1 +1,196 @@
-"""Queries registered by this module."""
+"""Source/sink queries and small lookups (B14, B15, softmax).
+
+Sinks write into a fresh folder under the session's checkpoint root (the
+shared folder named by ``spark.checkpoint.dir`` on a cluster); the data
+written is always derived by Spark from the driver tables.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import explore, select
+from ..session import scratch_path
+from ..sources import csv as csvsrc
+from ..sources import files, results
+from .catalog import register
+from .fixtures import duck_cte, spark_view
+
+OD = duck_cte("orders_dirty")
+ML = duck_cte("ml_orders")
+_NA = ", ".join("'" + t.replace("'", "''") + "'" for t in csvsrc.NA_TOKENS)
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"tablewise-io/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _dirty_csv(spark, sf) -> str:
+    path = _scratch(spark, "orders_dirty_csv")
+    csvsrc.write_csv(spark_view(spark, sf, "orders_dirty"), path)
+    return path
+
+
+@register(
+    "csv_scan",
+    OD
+    + f"""SELECT o_orderkey,
+  CASE WHEN price_txt IS NULL OR price_txt IN ({_NA}) THEN NULL ELSE CAST(trim(price_txt) AS DOUBLE) END AS price_txt,
+  CASE WHEN isnan(price) THEN NULL ELSE price END AS price,
+  CASE WHEN status IN ({_NA}) THEN NULL ELSE status END AS status,
+  CASE WHEN priority IN ({_NA}) THEN NULL ELSE priority END AS priority
+FROM orders_dirty""",
+)
+def q_csv_scan(spark, sf):
+    """A1: CSV written from orders_dirty, scanned back with missing tokens and inferred types."""
+    return csvsrc.csv_scan(spark, _dirty_csv(spark, sf))
+
+
+@register("csv_quarantine")
+def q_csv_quarantine(spark, sf):
+    """A2: typed scan of the dirty CSV; rows whose price text is not a number are quarantined."""
+    schema = T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("price_txt", T.DoubleType()),
+        T.StructField("price", T.DoubleType()), T.StructField("status", T.StringType()),
+        T.StructField("priority", T.StringType()),
+    ])
+    _, bad = csvsrc.csv_quarantine(spark, _dirty_csv(spark, sf), schema)
+    return bad
+
+
+@register("file_fingerprint")
+def q_file_fingerprint(spark, sf):
+    """A3: name, size, modification time and SHA-256 of every driver table file."""
+    return files.file_fingerprint(spark, f"{sf.rstrip('/')}/*.parquet")
+
+
+@register(
+    "content_fingerprint",
+    """SELECT count(*) AS row_count, CAST(sum(h) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM (
+  SELECT CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), '\\N'), coalesce(CAST(o_custkey AS VARCHAR), '\\N'),
+    coalesce(CAST(o_orderstatus AS VARCHAR), '\\N'), coalesce(CAST(o_totalprice AS VARCHAR), '\\N'), coalesce(CAST(o_orderdate AS VARCHAR), '\\N'),
+    coalesce(CAST(o_orderpriority AS VARCHAR), '\\N'))), 1, 15)) AS BIGINT) AS h FROM orders) z""",
+)
+def q_content_fingerprint(spark, sf):
+    """A4: order-free content fingerprint of the orders table (unchanged-input guard)."""
+    return files.content_fingerprint(spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet"))
+
+
+@register("result_json")
+def q_result_json(spark, sf):
+    """Audit result written as JSON lines (non-finite -> null) and scanned back with its schema."""
+    from ..operators import audit
+    from ..roles import ORDERS_DIRTY
+
+    res = audit.numeric_summary(spark_view(spark, sf, "orders_dirty"), ORDERS_DIRTY)
+    path = _scratch(spark, "numeric_summary_json")
+    results.write_json(res, path)
+    return results.read_results(spark, path, results.json_safe(res).schema)
+
+
+@register("results_scan")
+def q_results_scan(spark, sf):
+    """Per-model result files (one folder per model) scanned back as one ranked table."""
+    from .queries_eval import model_results
+
+    res = model_results(spark, sf)
+    path = _scratch(spark, "model_results")
+    results.write_json(res, path, partition_by=["model"])
+    csvsrc.write_csv(res, _scratch(spark, "model_results_csv"), single_file=True)
+    schema = T.StructType([f for f in res.schema.fields if f.name != "model"] + [T.StructField("model", T.StringType())])
+    back = results.read_results(spark, path, schema)
+    return select.model_ranking(back)
+
+
+@register("prepared_sink")
+def q_prepared_sink(spark, sf):
+    """Prepared rows written partitioned by split with feature metadata, read back per split."""
+    from .queries_features import fitted
+    from .queries_model import prepared
+
+    f = fitted(spark, sf)
+    path = _scratch(spark, "prepared")
+    out = prepared(spark, sf).select("row_id", "split", F.col("label"), F.col("features"))
+    results.write_prepared(out, path, {"features": f.feature_names(), "classes": f.classes, "fit_scope": "training_only"})
+    rows, meta = results.read_prepared(spark, path)
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).withColumn("feature_count", F.lit(len(meta["features"])))
+
+
+@register("model_bundle")
+def q_model_bundle(spark, sf):
+    """The chosen logistic model saved with its fitted features, reloaded, and used on the test split."""
+    from ..operators import metrics
+    from ..operators.features import FittedFeatures
+    from ..operators import train as tr
+    from .queries_features import fitted
+    from .queries_model import _split, logistic_search
+
+    f = fitted(spark, sf)
+    _, model, _ = logistic_search(spark, sf)
+    path = _scratch(spark, "bundle")
+    results.save_bundle(model, f.to_json(), path, {"model_name": "spark_logistic"})
+    m2, meta = results.load_bundle(spark, path, LogisticRegressionModel)
+    f2 = FittedFeatures(**meta["features"])
+    test = _split(spark, sf, "test")
+    pred = tr.predict_labels(m2, test, f2.classes)
+    return metrics.evaluate(pred, "y", "p", f2.classes).withColumn("model", F.lit(meta["model_name"]))
+
+
+@register("example_row", ML + "SELECT row_id, price, balance, status, segment FROM ml_orders WHERE row_id = (SELECT min(row_id) FROM ml_orders)")
+def q_example_row(spark, sf):
+    """One example input row fetched by key (the smallest key)."""
+    ml = spark_view(spark, sf, "ml_orders")
+    first_key = ml.agg(F.min("row_id")).first()[0]
+    return ml.where(F.col("row_id") == first_key).select("row_id", "price", "balance", "status", "segment")
+
+
+# Display labels for the tier codes (fixed values); T4 is left out on purpose
+# so that its code is shown as is.
+TIER_LABELS = {"T1": "Tier 1 (lowest)", "T2": "Tier 2", "T3": "Tier 3"}
+
+
+@register(
+    "label_lookup",
+    ML
+    + ", dim AS (" + " UNION ALL ".join(f"SELECT '{k}' AS code, '{v}' AS label" for k, v in TIER_LABELS.items()) + ")\n"
+    + """SELECT d.class, coalesce(dim.label, d.class) AS display, d.count FROM (
+  SELECT tier AS class, count(*) AS count FROM ml_orders GROUP BY tier) d LEFT JOIN dim ON dim.code = d.class""",
+)
+def q_label_lookup(spark, sf):
+    """Class distribution with display labels (fallback to the code) via a broadcast dimension."""
+    dim = spark.createDataFrame(list(TIER_LABELS.items()), "code string, label string")
+    dist = explore.target_distribution(spark_view(spark, sf, "ml_orders"), "tier").select("class", "count")
+    return dist.join(F.broadcast(dim), dist["class"] == dim["code"], "left").select(
+        "class", F.coalesce("label", "class").alias("display"), "count"
+    )
+
+
+def softmax_expr(cols):
+    """Stable row softmax over columns, as array<double> (JVM higher-order functions)."""
+    arr = F.array(*[F.col(c).cast("double") for c in cols])
+    mx = F.array_max(arr)
+    ex = F.transform(arr, lambda v: F.exp(v - mx))
+    tot = F.aggregate(ex, F.lit(0.0), lambda a, v: a + v)
+    return F.transform(ex, lambda v: v / tot)
+
+
+@register(
+    "softmax",
+    duck_cte("ml_orders")
+    + """, w AS (SELECT row_id, price / 100000.0 AS s1, balance / 2000.0 AS s2, 0.0 AS s3 FROM ml_orders),
+m AS (SELECT *, greatest(s1, s2, s3) AS mx FROM w)
+SELECT row_id, round(exp(s1 - mx) / (exp(s1 - mx) + exp(s2 - mx) + exp(s3 - mx)), 6) AS q1,
+  round(exp(s2 - mx) / (exp(s1 - mx) + exp(s2 - mx) + exp(s3 - mx)), 6) AS q2,
+  round(exp(s3 - mx) / (exp(s1 - mx) + exp(s2 - mx) + exp(s3 - mx)), 6) AS q3 FROM m""",
+)
+def q_softmax(spark, sf):
+    """Scalar softmax: stable row softmax of three scores derived from each order."""
+    ml = spark_view(spark, sf, "ml_orders").select(
+        "row_id", (F.col("price") / 100000.0).alias("s1"), (F.col("balance") / 2000.0).alias("s2"), F.lit(0.0).alias("s3")
+    )
+    sm = softmax_expr(["s1", "s2", "s3"])
+    return ml.select("row_id", *[F.round(sm[i], 6).alias(f"q{i + 1}") for i in range(3)])
