@@ -194,3 +194,53 @@ def q_softmax(spark, sf):
     )
     sm = softmax_expr(["s1", "s2", "s3"])
     return ml.select("row_id", *[F.round(sm[i], 6).alias(f"q{i + 1}") for i in range(3)])
+
+
+def _records_source(spark, sf) -> tuple[str, T.StructType]:
+    """Write the records view as a few parquet files: the stream's input folder."""
+    rec = spark_view(spark, sf, "records")
+    path = _scratch(spark, "records_stream_src")
+    rec.repartition(4).write.mode("overwrite").parquet(path)
+    return path, rec.schema
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Streaming M11: records arrive as files; valid rows are scored by the chosen model, exactly once per file."""
+    from ..streaming.scoring import stream_score
+    from .queries_eval import _records_meta
+    from .queries_features import fitted
+    from .queries_model import logistic_search
+
+    src, schema = _records_source(spark, sf)
+    _, model, _ = logistic_search(spark, sf)
+    out = _scratch(spark, "stream_out")
+    scored, _rejected = stream_score(spark, src, schema, "row_id", _records_meta(spark, sf), fitted(spark, sf), model, out)
+    return spark.read.parquet(scored)
+
+
+@register(
+    "stream_rule_counts",
+    duck_cte("records", "ml_orders")
+    + """, meta AS (SELECT min(price) AS plo, max(price) AS phi, min(balance) AS blo, max(balance) AS bhi FROM ml_orders),
+e AS (SELECT list_filter([
+  CASE WHEN price IS NULL THEN 'missing:price' END, CASE WHEN balance IS NULL THEN 'missing:balance' END,
+  CASE WHEN status IS NULL OR trim(regexp_replace(status, '\\s', ' ', 'g')) = '' THEN 'missing:status' END,
+  CASE WHEN segment IS NULL OR trim(regexp_replace(segment, '\\s', ' ', 'g')) = '' THEN 'missing:segment' END,
+  CASE WHEN price IS NOT NULL AND NOT isfinite(price) THEN 'non_numeric:price' END,
+  CASE WHEN isfinite(price) AND (price < plo OR price > phi) THEN 'out_of_range:price' END,
+  CASE WHEN balance IS NOT NULL AND NOT isfinite(balance) THEN 'non_numeric:balance' END,
+  CASE WHEN isfinite(balance) AND (balance < blo OR balance > bhi) THEN 'out_of_range:balance' END,
+  CASE WHEN status IS NOT NULL AND status NOT IN (SELECT DISTINCT status FROM ml_orders) THEN 'invalid_option:status' END,
+  CASE WHEN segment IS NOT NULL AND segment NOT IN (SELECT DISTINCT segment FROM ml_orders) THEN 'invalid_option:segment' END
+  ], lambda x: x IS NOT NULL) AS errs FROM records, meta)
+SELECT split_part(x, ':', 1) AS rule, split_part(x, ':', 2) AS field, count(*) AS rejected_rows FROM (SELECT unnest(errs) AS x FROM e) u GROUP BY ALL""",
+)
+def q_stream_rule_counts(spark, sf):
+    """Streaming B9: running rejected-row counts per rule over a file stream of records."""
+    from ..streaming.scoring import stream_rule_counts
+    from .queries_eval import _records_meta
+
+    src, schema = _records_source(spark, sf)
+    out = _scratch(spark, "stream_counts")
+    return spark.read.parquet(stream_rule_counts(spark, src, schema, _records_meta(spark, sf), out))
