@@ -150,10 +150,11 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def invalid_utf8_lines(spark: SparkSession, path: str) -> DataFrame:
-    """A2: lines holding bytes that are not valid UTF-8.  The text reader decodes
-    bad bytes to U+FFFD, so such lines are the ones carrying that character."""
+    """A2: lines holding bytes that are not valid UTF-8.  The text source keeps
+    each line's raw bytes, so ``is_valid_utf8`` sees them (the CSV reader would
+    have replaced them with U+FFFD)."""
     return (
         spark.read.text(path)
         .select(F.input_file_name().alias("path"), F.col("value"))
-        .where(F.col("value").contains("\ufffd"))
+        .where(~F.is_valid_utf8(F.col("value")))
     )
