@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ MLP_CANDIDATES = [
     ([128, 64, 32], "tanh", 0.0001, 0.001), ([128, 64, 32], "relu", 0.0001, 0.001),
 ]
 MLP_MAX_ITER = 350
+MLP_TOL = 1e-4  # the reference library's default tolerance
 SOFTMAX_GD = dict(lr=0.08, l2=0.0005, max_epochs=300, patience=25, tol=1e-5)
 MLP_GD = dict(hidden=48, lr=0.01, l2=0.0005, max_epochs=220, batch=256, patience=25, tol=1e-5, seed=42)
 
@@ -66,20 +69,26 @@ def logistic_search(spark, sf):
     if key in _CACHE:
         return _CACHE[key]
     f = fitted(spark, sf)
-    train = _split(spark, sf, "train")
+    train = tr.right_size(_split(spark, sf, "train")).cache()
     val = _split(spark, sf, "validation")
     n = train.count()
-    weighted = tr.with_balanced_weights(train, train)
-    rows, models = [], []
-    for i, cand in enumerate(LOGISTIC_CANDIDATES):
+    weighted = tr.with_balanced_weights(train, train).cache()
+    def fit_one(i_cand):
+        i, cand = i_cand
         balanced = cand["class_weight"] == "balanced"
         est = tr.logistic_estimator(cand["C"], float(n), balanced)
         t0 = time.perf_counter()
         model = est.fit(weighted if balanced else train)
         ev = _eval_rows(model, val, f.classes, {}).first()
         secs = time.perf_counter() - t0
-        rows.append((i, float(cand["C"]), cand["class_weight"] or "none", float(ev["macro_f1"]), float(ev["accuracy"]), secs, "logistic"))
-        models.append(model)
+        row = (i, float(cand["C"]), cand["class_weight"] or "none", float(ev["macro_f1"]), float(ev["accuracy"]), secs, "logistic")
+        return row, model
+
+    # candidates are independent jobs over the same cached input: run them concurrently
+    with ThreadPoolExecutor(max_workers=len(LOGISTIC_CANDIDATES)) as pool:
+        done = list(pool.map(fit_one, enumerate(LOGISTIC_CANDIDATES)))
+    rows = [r for r, _ in done]
+    models = [m for _, m in done]
     res = spark.createDataFrame(
         rows, "candidate_index int, C double, class_weight string, val_macro_f1 double, val_accuracy double, train_s double, family string"
     )
@@ -109,21 +118,26 @@ def q_train_logistic(spark, sf):
 def q_train_mlp(spark, sf):
     """M2: MLP candidates (one MLlib fit per distinct hidden layout) compared on validation macro-F1."""
     f = fitted(spark, sf)
-    train = _split(spark, sf, "train").cache()
+    train = tr.right_size(_split(spark, sf, "train")).cache()
     val = _split(spark, sf, "validation")
     d = len(f.feature_names())
     k = len(f.classes)
-    by_layout: dict = {}
+    layouts = list(dict.fromkeys(tuple(c[0]) for c in MLP_CANDIDATES))
+
+    def fit_layout(lay):
+        t0 = time.perf_counter()
+        est = MultilayerPerceptronClassifier(layers=[d, *lay, k], maxIter=MLP_MAX_ITER, tol=MLP_TOL, seed=42,
+                                             featuresCol="features", labelCol="label")
+        model = est.fit(train)
+        ev = _eval_rows(model, val, f.classes, {}).first()
+        return lay, (float(ev["macro_f1"]), float(ev["accuracy"]), time.perf_counter() - t0)
+
+    # one fit per distinct layout, run concurrently (independent jobs, cached input)
+    with ThreadPoolExecutor(max_workers=min(8, len(layouts))) as pool:
+        by_layout = dict(pool.map(fit_layout, layouts))
     rows = []
     for i, (hidden, act, alpha, lr) in enumerate(MLP_CANDIDATES):
-        lay = tuple(hidden)
-        if lay not in by_layout:
-            t0 = time.perf_counter()
-            est = MultilayerPerceptronClassifier(layers=[d, *hidden, k], maxIter=MLP_MAX_ITER, seed=42, featuresCol="features", labelCol="label")
-            model = est.fit(train)
-            ev = _eval_rows(model, val, f.classes, {}).first()
-            by_layout[lay] = (float(ev["macro_f1"]), float(ev["accuracy"]), time.perf_counter() - t0)
-        mf1, acc, secs = by_layout[lay]
+        mf1, acc, secs = by_layout[tuple(hidden)]
         rows.append((i, "-".join(map(str, hidden)), act, float(alpha), float(lr), mf1, acc, secs, "mlp"))
     train.unpersist()
     res = spark.createDataFrame(
