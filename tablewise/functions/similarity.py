@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+EPS = 1e-9
+
+
 @F.pandas_udf(T.DoubleType())
 def ro_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """SequenceMatcher(None, a.casefold(), b.casefold()).ratio(), row-wise on a batch."""
@@ -61,7 +64,8 @@ def similar_pairs(vals: DataFrame, field: str, value: str, threshold: float = 0.
     freq = tok.groupBy("_f", "_tok").agg(F.count(F.lit(1)).alias("_freq"))
     ranked = tok.join(freq, ["_f", "_tok"])
     order = Window.partitionBy("_f", "_s").orderBy("_freq", "_tok")
-    need = F.ceil(F.lit(t) * F.col("_len") / F.lit(2.0 - t))
+    # bounds are made conservative by EPS: float error must never drop a pair
+    need = F.ceil(F.lit(t) * F.col("_len") / F.lit(2.0 - t) - F.lit(EPS))
     prefix_len = F.col("_len") - need + 1
     prefix = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= prefix_len).select(
         "_f", "_s", "_len", "_tok"
@@ -73,8 +77,8 @@ def similar_pairs(vals: DataFrame, field: str, value: str, threshold: float = 0.
         a.join(b, (F.col("a._f") == F.col("b._f")) & (F.col("a._tok") == F.col("b._tok")))
         .where(
             (F.col("a._s") != F.col("b._s"))
-            & (F.col("b._len") >= F.col("a._len") * ratio_lo)
-            & (F.col("a._len") >= F.col("b._len") * ratio_lo)
+            & (F.col("b._len") >= F.col("a._len") * ratio_lo - EPS)
+            & (F.col("a._len") >= F.col("b._len") * ratio_lo - EPS)
         )
         .select(F.col("a._f").alias("_f"), F.col("a._s").alias("left"), F.col("b._s").alias("right"))
         .distinct()
@@ -97,4 +101,4 @@ def similar_pairs(vals: DataFrame, field: str, value: str, threshold: float = 0.
 
 
 def min_overlap(length: int, threshold: float) -> int:
-    return math.ceil(threshold * length / (2.0 - threshold))
+    return math.ceil(threshold * length / (2.0 - threshold) - EPS)

@@ -20,3 +20,15 @@ def test_prefix_filter_join_misses_no_pair(spark):
 def test_ratio_is_asymmetric():
     assert ro_ratio_py("tide", "diet") != ro_ratio_py("diet", "tide")
     assert round(ro_ratio_py("femail", "female"), 3) == 0.833
+
+
+def test_random_vocabulary_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(5)
+    vocab = sorted({"".join(rnd.choice("abcdeAB") for _ in range(rnd.randint(2, 9))) for _ in range(120)})
+    vals = spark.createDataFrame([("f", v) for v in vocab], "field string, value string")
+    for t in (0.8, 0.6):
+        got = {(r["left"], r["right"]) for r in similar_pairs(vals, "field", "value", t).collect()}
+        brute = {(a, b) for a, b in itertools.permutations(vocab, 2) if ro_ratio_py(a, b) >= t}
+        assert got == brute
