@@ -69,3 +69,14 @@ def round6(c) -> Column:
 
 def safe_div(a, b) -> Column:
     return F.try_divide(col_(a), col_(b))
+
+
+def attach_scalars(df, one_row):
+    """Attach the columns of a one-row aggregate to every row as typed literals.
+
+    The aggregate is evaluated once (a single row reaches the driver), so the
+    plan has no join at all -- in particular no nested-loop/cross join.
+    """
+    r = one_row.first()
+    types = dict(one_row.dtypes)
+    return df.select("*", *[F.lit(r[c]).cast(types[c]).alias(c) for c in one_row.columns])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import coerce_double, is_finite, is_inf, strip
+from ..functions.exprs import attach_scalars, coerce_double, is_finite, is_inf, strip
 from ..functions.similarity import similar_pairs
 from ..roles import Roles
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles
@@ -41,10 +41,8 @@ def _missing(df: DataFrame, c: str):
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row (broadcast hash join)."""
-    return df.withColumn("_one", F.lit(1)).join(
-        F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one"
-    ).drop("_one")
+    """Attach the columns of a one-row aggregate to every row (as literals, no join)."""
+    return attach_scalars(df, one_row)
 
 
 def _long(rows: DataFrame, items: list[tuple[str, list]]) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import attach_scalars
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles, quantiles_wide
 
 
@@ -109,7 +110,7 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """Class counts and ratios over all rows, plus the largest-share flag."""
     total = df.agg(F.count(F.lit(1)).alias("_n"))
     counts = df.where(F.col(target).isNotNull()).groupBy(F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("count"))
-    out = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
+    out = attach_scalars(counts, total)
     # class table has one row per class (bounded by the label set): global window is fine
     w = Window.partitionBy(F.lit(1))
     return out.select(

@@ -26,6 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import attach_scalars
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles_wide
 
 EDGE_TOL = 1e-8
@@ -268,7 +269,7 @@ def class_weights(train: DataFrame, label: str) -> DataFrame:
     """Balanced class weights n / (k * n_c) from the train rows."""
     counts = train.groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("n_c"))
     tot = counts.agg(F.sum("n_c").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    j = counts.withColumn("_o", F.lit(1)).join(F.broadcast(tot.withColumn("_o", F.lit(1))), "_o")
+    j = attach_scalars(counts, tot)
     return j.select("class", F.round(F.col("_n") / (F.col("_k") * F.col("n_c")), 6).alias("weight"))
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import attach_scalars
+
 
 def _classes_col(classes: list[str]):
     return F.array(*[F.lit(c) for c in classes])
@@ -155,8 +157,7 @@ def evaluate(df: DataFrame, y: str, p: str, classes: list[str], by: list[str] |
 
     wei = pc.groupBy(*by).agg(w("precision").alias("weighted_precision"), w("recall").alias("weighted_recall"), w("f1").alias("weighted_f1"))
     if not by:
-        one = F.lit(1)
-        return acc.withColumn("_o", one).join(mac.withColumn("_o", one), "_o").join(wei.withColumn("_o", one), "_o").drop("_o")
+        return attach_scalars(attach_scalars(acc, mac), wei)
     return acc.join(mac, by).join(wei, by)
 
 

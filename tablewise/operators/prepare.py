@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import blank_to_null, coerce_double, finite_or_null
+from ..functions.exprs import attach_scalars, blank_to_null, coerce_double, finite_or_null
 from ..roles import Roles
 from .audit import schema_issues
 from .orderstats import DEFAULT_MAX_SORT_ROWS, order_statistics
@@ -102,10 +102,8 @@ def clean_summary(df: DataFrame, roles: Roles) -> DataFrame:
     """Rows before/after, duplicates removed, outliers removed (always 0)."""
     before = df.agg(F.count(F.lit(1)).alias("rows_before"))
     after = clean(df, roles, validate=False, strict_target=False).agg(F.count(F.lit(1)).alias("rows_after"))
-    dups = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1)).join(
-        deduplicate(df).agg(F.count(F.lit(1)).alias("_d")).withColumn("_one", F.lit(1)), "_one"
-    )
-    out = before.withColumn("_one", F.lit(1)).join(after.withColumn("_one", F.lit(1)), "_one").join(dups, "_one")
+    out = attach_scalars(attach_scalars(attach_scalars(before, after), df.agg(F.count(F.lit(1)).alias("_n"))),
+                         deduplicate(df).agg(F.count(F.lit(1)).alias("_d")))
     return out.select(
         "rows_before",
         "rows_after",
@@ -233,7 +231,7 @@ def split_overlap(df_with_split: DataFrame, key: str) -> DataFrame:
     sizes = df_with_split.agg(
         *[F.count(F.when(F.col("split") == s, 1)).alias(f"{s}_rows") for s in SPLITS], F.count(F.lit(1)).alias("total_rows")
     )
-    return checks.withColumn("_one", F.lit(1)).join(sizes.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return attach_scalars(checks, sizes)
 
 
 def split_class_distribution(df_with_split: DataFrame, label: str, classes: list[str] | None = None) -> DataFrame:
@@ -244,9 +242,8 @@ def split_class_distribution(df_with_split: DataFrame, label: str, classes: list
         cls = cells.select("class").distinct()
     else:
         cls = spark.createDataFrame([(c,) for c in classes], "class string")
-    splits = spark.createDataFrame([(s,) for s in SPLITS], "split string")
-    # grid = 3 splits x k classes (k = label set size)
-    grid = splits.withColumn("_one", F.lit(1)).join(F.broadcast(cls.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    # grid = 3 splits x k classes (k = label set size), built by explode
+    grid = cls.select("class", F.explode(F.array(*[F.lit(s) for s in SPLITS])).alias("split"))
     totals = cells.groupBy("split").agg(F.sum("count").alias("sample_count"))
     out = grid.join(cells, ["split", "class"], "left").join(totals, "split", "left").fillna(0, ["count", "sample_count"])
     return out.select(

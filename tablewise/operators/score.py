@@ -39,10 +39,15 @@ def input_metadata(train: DataFrame, numeric: list[str], categorical: list[str],
     aggs = []
     for i, c in enumerate(numeric):
         aggs += [F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}")]
-    for j, c in enumerate(categorical):
-        # options are the distinct values of a categorical column (bounded by its cardinality)
-        aggs.append(F.array_join(F.array_sort(F.collect_set(F.col(c).cast("string"))), "|").alias(f"op{j}"))
-    wide = train.agg(*aggs)
+    wide = train.agg(*aggs) if aggs else train.limit(1).select()
+    if categorical:
+        # distinct values first (partial aggregation); each column's group then holds
+        # only its distinct categories
+        long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v"))
+                                                for c in categorical])).alias("_kv")).select("_kv.*").where(F.col("v").isNotNull())
+        opts = long.distinct().groupBy("f").agg(F.array_join(F.array_sort(F.collect_list("v")), "|").alias("o")).collect()
+        got = {r["f"]: r["o"] for r in opts}
+        wide = wide.select("*", *[F.lit(got.get(c)).cast("string").alias(f"op{j}") for j, c in enumerate(categorical)])
     items = []
     for i, c in enumerate(numeric):
         if c in configured:
