@@ -114,9 +114,12 @@ def q_train_logistic(spark, sf):
     return v.unionByName(t).withColumn("model", F.lit("spark_logistic"))
 
 
-@register("train_mlp")
-def q_train_mlp(spark, sf):
-    """M2: MLP candidates (one MLlib fit per distinct hidden layout) compared on validation macro-F1."""
+def mlp_search(spark, sf):
+    """M2/M6: one MLlib perceptron per distinct hidden layout, fitted concurrently;
+    returns (candidate table, best model, best candidate index)."""
+    key = ("mlp_search", id(spark), sf)
+    if key in _CACHE:
+        return _CACHE[key]
     f = fitted(spark, sf)
     train = tr.right_size(_split(spark, sf, "train")).cache()
     val = _split(spark, sf, "validation")
@@ -130,22 +133,30 @@ def q_train_mlp(spark, sf):
                                              featuresCol="features", labelCol="label")
         model = est.fit(train)
         ev = _eval_rows(model, val, f.classes, {}).first()
-        return lay, (float(ev["macro_f1"]), float(ev["accuracy"]), time.perf_counter() - t0)
+        return lay, (float(ev["macro_f1"]), float(ev["accuracy"]), time.perf_counter() - t0, model)
 
     # one fit per distinct layout, run concurrently (independent jobs, cached input)
     with ThreadPoolExecutor(max_workers=min(8, len(layouts))) as pool:
         by_layout = dict(pool.map(fit_layout, layouts))
     rows = []
     for i, (hidden, act, alpha, lr) in enumerate(MLP_CANDIDATES):
-        mf1, acc, secs = by_layout[tuple(hidden)]
+        mf1, acc, secs, _ = by_layout[tuple(hidden)]
         rows.append((i, "-".join(map(str, hidden)), act, float(alpha), float(lr), mf1, acc, secs, "mlp"))
     train.unpersist()
     res = spark.createDataFrame(
         rows, "candidate_index int, hidden string, activation string, alpha double, learning_rate double, "
         "val_macro_f1 double, val_accuracy double, train_s double, family string"
     )
-    best = select.select_candidate(res, "family").select("candidate_index").withColumn("selected", F.lit(True))
-    return res.join(F.broadcast(best), "candidate_index", "left").fillna(False, ["selected"])
+    best = select.select_candidate(res, "family").first()["candidate_index"]
+    _CACHE[key] = (res, by_layout[tuple(MLP_CANDIDATES[best][0])][3], best)
+    return _CACHE[key]
+
+
+@register("train_mlp")
+def q_train_mlp(spark, sf):
+    """M2: MLP candidates (one MLlib fit per distinct hidden layout) compared on validation macro-F1."""
+    res, _, best = mlp_search(spark, sf)
+    return res.withColumn("selected", F.col("candidate_index") == F.lit(best))
 
 
 def _gd_history(spark, sf, which: str):
@@ -211,3 +222,42 @@ def q_score_batch(spark, sf):
     bad = score.probability_violations(wide, "row_id", cols)
     ok = wide.join(bad.select("row_id").distinct(), "row_id", "left_anti")
     return score.assemble_predictions(ok, "row_id", cols, f.classes, model_name="spark_logistic")
+
+
+# Fixed order of the four model families (used as the last tie-breaker).
+FAMILY_ORDER = ["spark_logistic", "spark_mlp", "softmax_gd", "mlp_gd"]
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf):
+    """M9 on the trained models: the chosen logistic and perceptron candidates and the
+    two gradient-descent models ranked by test macro-F1, deployment chosen on validation."""
+    f = fitted(spark, sf)
+    classes = f.classes
+    val, test = _split(spark, sf, "validation"), _split(spark, sf, "test")
+    rows = []
+    lr_res, lr_model, lr_best = logistic_search(spark, sf)
+    mlp_res, mlp_model, mlp_best = mlp_search(spark, sf)
+    lr_s = lr_res.where(F.col("candidate_index") == lr_best).first()["train_s"]
+    mlp_s = mlp_res.where(F.col("candidate_index") == mlp_best).first()["train_s"]
+    for name, model, secs in (("spark_logistic", lr_model, lr_s), ("spark_mlp", mlp_model, mlp_s)):
+        v = _eval_rows(model, val, classes, {}).first()
+        t = _eval_rows(model, test, classes, {}).first()
+        rows.append((name, v["macro_f1"], v["accuracy"], t["macro_f1"], t["accuracy"], float(secs), FAMILY_ORDER.index(name)))
+    names = F.array(*[F.lit(c) for c in classes])
+    for which, name in (("softmax", "softmax_gd"), ("mlp", "mlp_gd")):
+        r = _gd_history(spark, sf, which)
+        ev = {}
+        for split, df in (("validation", val), ("test", test)):
+            probs = tr.gd_probabilities(df, r, len(classes))
+            arr = F.col("probability")
+            pred = probs.select(
+                F.element_at(names, F.col("label").cast("int") + 1).alias("y"),
+                F.element_at(names, F.array_position(arr, F.array_max(arr)).cast("int")).alias("p"),
+            )
+            ev[split] = metrics.evaluate(pred, "y", "p", classes).first()
+        rows.append((name, ev["validation"]["macro_f1"], ev["validation"]["accuracy"], ev["test"]["macro_f1"],
+                     ev["test"]["accuracy"], float(r.train_seconds), FAMILY_ORDER.index(name)))
+    res = spark.createDataFrame(rows, "model string, val_macro_f1 double, val_accuracy double, test_macro_f1 double, "
+                                      "test_accuracy double, train_s double, fixed_order int")
+    return select.model_ranking(res)
