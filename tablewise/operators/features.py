@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import attach_scalars
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles_wide
+from ..session import checkpoint
 
 EDGE_TOL = 1e-8
 
@@ -217,7 +218,7 @@ def fit_kmeans_edges(train: DataFrame, numeric: list[str], medians: dict, n_bins
     out = {}
     for c in numeric:
         x = F.coalesce(F.col(c).cast("double"), F.lit(float(medians[c])))
-        vc = train.select(x.alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+        vc = train.select(x.alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).transform(checkpoint)
         r = vc.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), (F.sum(F.col("x") * F.col("x") * F.col("n")) / F.sum("n") - F.pow(F.sum(F.col("x") * F.col("n")) / F.sum("n"), 2)).alias("var")).first()
         lo, hi = r["lo"], r["hi"]
         uni = np.linspace(lo, hi, n_bins + 1)

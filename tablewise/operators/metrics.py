@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import attach_scalars
+from ..session import checkpoint
 
 
 def _classes_col(classes: list[str]):
@@ -33,7 +34,7 @@ def confusion_matrix(df: DataFrame, y: str, p: str, classes: list[str], by: list
     derived from it never rereads the predictions.
     """
     by = list(by or [])
-    cells = cell_counts(df, y, p, by).checkpoint()
+    cells = cell_counts(df, y, p, by).transform(checkpoint)
     groups = cells.select(*by).distinct() if by else df.sparkSession.range(1).select()
     grid = groups.select(
         *by, F.explode(_classes_col(classes)).alias("true_class")
@@ -141,7 +142,7 @@ def log_loss(df: DataFrame, probs: list[str], label_index: str, weights_sq_sum:
 def evaluate(df: DataFrame, y: str, p: str, classes: list[str], by: list[str] | None = None) -> DataFrame:
     """Accuracy, macro and weighted metrics per group in one table (one data pass)."""
     by = list(by or [])
-    cm = confusion_matrix(df, y, p, classes, by).checkpoint()
+    cm = confusion_matrix(df, y, p, classes, by).transform(checkpoint)
     acc = cm.groupBy(*by).agg(
         F.round(F.try_divide(F.sum(F.when(F.col("true_class") == F.col("pred_class"), F.col("count"))).cast("double"), F.sum("count")), 6).alias("accuracy")
     )

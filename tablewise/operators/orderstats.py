@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint, ensure_checkpoint_dir
 
 DEFAULT_MAX_SORT_ROWS = 2_000_000
 _BINS = 4096
@@ -59,7 +59,7 @@ def _bracket_pick(d: DataFrame, gk: list[str], big: DataFrame, max_sort_rows: in
         big.join(stats, gk)
         .withColumn("_below", F.lit(0).cast("long"))
         .withColumn("_inside", F.col("_n").cast("long"))
-        .checkpoint()
+        .transform(checkpoint)
     )
     tkey = [*gk, "_rank"]
     for _ in range(_MAX_PASSES):
@@ -87,7 +87,7 @@ def _bracket_pick(d: DataFrame, gk: list[str], big: DataFrame, max_sort_rows: in
             F.col("_c").alias("_inside"),
         )
         kept = br.join(open_.select(*tkey), tkey, "left_anti")
-        br = kept.unionByName(chosen).checkpoint()
+        br = kept.unionByName(chosen).transform(checkpoint)
     single = br.where(F.col("_lo") == F.col("_hi")).select(
         *tkey, F.col("_lo").alias("_value"), "_below"
     )
@@ -130,7 +130,7 @@ def order_statistics(
     elif largest <= max_sort_rows:
         out = _sorted_pick(d, gk, t)
     else:
-        t = t.checkpoint()
+        t = t.transform(checkpoint)
         small = t.where(F.col("_n") <= max_sort_rows)
         big = t.where(F.col("_n") > max_sort_rows)
         small_rows = d.join(small.select(*gk).distinct(), gk, "left_semi")

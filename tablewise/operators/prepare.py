@@ -21,6 +21,7 @@ from ..functions.exprs import attach_scalars, blank_to_null, coerce_double, fini
 from ..roles import Roles
 from .audit import schema_issues
 from .orderstats import DEFAULT_MAX_SORT_ROWS, order_statistics
+from ..session import checkpoint
 
 SPLITS = ("train", "validation", "test")
 
@@ -190,7 +191,7 @@ def stratified_split(
     cuts = (
         q.join(t1, [label], "left").join(t2, [label], "left")
         .select(label, "_a", "_b", "_t1", "_b1", "_t2", "_b2")
-        .checkpoint()
+        .transform(checkpoint)
     )
     j = hashed.join(F.broadcast(cuts), [label])
     is_tie = (F.col("_h") == F.col("_t1")) | (F.col("_h") == F.col("_t2"))

@@ -71,3 +71,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint root for written intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}"
+
+
+def checkpoint(df):
+    """Reliable checkpoint into the session's checkpoint folder (never localCheckpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
