@@ -80,7 +80,13 @@ def q_content_fingerprint(spark, sf):
     return files.content_fingerprint(spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet"))
 
 
-@register("result_json")
+def _oracle_of(key: str) -> str:
+    from . import catalog
+
+    return catalog.ORACLES[key]
+
+
+@register("result_json", _oracle_of("numeric_summary"))
 def q_result_json(spark, sf):
     """Audit result written as JSON lines (non-finite -> null) and scanned back with its schema."""
     from ..operators import audit
@@ -92,7 +98,7 @@ def q_result_json(spark, sf):
     return results.read_results(spark, path, results.json_safe(res).schema)
 
 
-@register("results_scan")
+@register("results_scan", _oracle_of("model_ranking"))
 def q_results_scan(spark, sf):
     """Per-model result files (one folder per model) scanned back as one ranked table."""
     from .queries_eval import model_results
@@ -106,7 +112,18 @@ def q_results_scan(spark, sf):
     return select.model_ranking(back)
 
 
-@register("prepared_sink")
+def _prepared_sink_sql() -> str:
+    from .queries_features import TRAIN, _edges_sql
+
+    return (
+        TRAIN + _edges_sql()
+        + """SELECT split, count(*) AS rows,
+  2 + (SELECT count(DISTINCT status) FROM tr) + (SELECT count(DISTINCT segment) FROM tr) + (SELECT count(*) FROM edges) - 2 AS feature_count
+FROM split GROUP BY split"""
+    )
+
+
+@register("prepared_sink", _prepared_sink_sql())
 def q_prepared_sink(spark, sf):
     """Prepared rows written partitioned by split with feature metadata, read back per split."""
     from .queries_features import fitted
@@ -117,7 +134,7 @@ def q_prepared_sink(spark, sf):
     out = prepared(spark, sf).select("row_id", "split", F.col("label"), F.col("features"))
     results.write_prepared(out, path, {"features": f.feature_names(), "classes": f.classes, "fit_scope": "training_only"})
     rows, meta = results.read_prepared(spark, path)
-    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).withColumn("feature_count", F.lit(len(meta["features"])))
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).withColumn("feature_count", F.lit(len(meta["features"])).cast("long"))
 
 
 @register("model_bundle")
