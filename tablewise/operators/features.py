@@ -246,23 +246,36 @@ def fit_features(train: DataFrame, numeric: list[str], categorical: list[str], l
                  n_bins: int = 20, strategy: str = "quantile", binning: bool = True,
                  max_sort_rows: int = DEFAULT_MAX_SORT_ROWS) -> FittedFeatures:
     """Fit every transformer on the train rows only."""
-    medians = fit_medians(train, numeric, max_sort_rows) if numeric else {}
-    modes = fit_modes(train, categorical) if categorical else {}
-    means, scales = fit_scaler(train, numeric, medians) if numeric else ({}, {})
-    cats = fit_categories(train, categorical, modes) if categorical else {}
-    edges = {}
-    if binning and numeric:
+    from concurrent.futures import ThreadPoolExecutor
+
+    def label_classes():
+        if not label:
+            return []
+        return sorted(r[0] for r in train.select(F.col(label).cast("string")).distinct().collect())
+
+    # independent small jobs run concurrently (Spark schedules them side by side)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_med = pool.submit(lambda: fit_medians(train, numeric, max_sort_rows) if numeric else {})
+        f_mode = pool.submit(lambda: fit_modes(train, categorical) if categorical else {})
+        f_cls = pool.submit(label_classes)
+        medians, modes, classes = f_med.result(), f_mode.result(), f_cls.result()
+
+    def edges_job():
+        if not (binning and numeric):
+            return {}
         if strategy == "quantile":
-            edges = fit_quantile_edges(train, numeric, medians, n_bins, max_sort_rows)
-        elif strategy == "uniform":
-            edges = fit_uniform_edges(train, numeric, medians, n_bins)
-        elif strategy == "kmeans":
-            edges = fit_kmeans_edges(train, numeric, medians, n_bins)
-        else:
-            raise ValueError(f"unknown binning strategy {strategy}")
-    classes = []
-    if label:
-        classes = sorted(r[0] for r in train.select(F.col(label).cast("string")).distinct().collect())
+            return fit_quantile_edges(train, numeric, medians, n_bins, max_sort_rows)
+        if strategy == "uniform":
+            return fit_uniform_edges(train, numeric, medians, n_bins)
+        if strategy == "kmeans":
+            return fit_kmeans_edges(train, numeric, medians, n_bins)
+        raise ValueError(f"unknown binning strategy {strategy}")
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_sc = pool.submit(lambda: fit_scaler(train, numeric, medians) if numeric else ({}, {}))
+        f_cat = pool.submit(lambda: fit_categories(train, categorical, modes) if categorical else {})
+        f_edge = pool.submit(edges_job)
+        (means, scales), cats, edges = f_sc.result(), f_cat.result(), f_edge.result()
     return FittedFeatures(list(numeric), list(categorical), medians, modes, means, scales, cats, edges, strategy, classes, label)
 
 
