@@ -80,3 +80,13 @@ def attach_scalars(df, one_row):
     r = one_row.first()
     types = dict(one_row.dtypes)
     return df.select("*", *[F.lit(r[c]).cast(types[c]).alias(c) for c in one_row.columns])
+
+
+# Largest table (rows) the library hints as a broadcast side; beyond it the
+# join is left to the planner (shuffle join, AQE may still broadcast).
+BROADCAST_ROW_LIMIT = 1_000_000
+
+
+def broadcast_if_small(df, rows: int, limit: int = BROADCAST_ROW_LIMIT):
+    """Broadcast hint only for a side whose row count (known on the driver) is bounded."""
+    return F.broadcast(df) if rows <= limit else df

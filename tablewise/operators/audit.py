@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import attach_scalars, coerce_double, is_finite, is_inf, strip
+from ..functions.exprs import attach_scalars, broadcast_if_small, coerce_double, is_finite, is_inf, strip
 from ..functions.similarity import similar_pairs
 from ..roles import Roles
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles
@@ -460,7 +460,7 @@ def unexpected_values(df: DataFrame, roles: Roles) -> DataFrame:
         .distinct()
     )
     # The allow-list is a literal of the caller's size (bounded): broadcast it.
-    return observed.join(F.broadcast(allowed_df), ["field", "value"], "left_anti")
+    return observed.join(broadcast_if_small(allowed_df, len(rows)), ["field", "value"], "left_anti")
 
 
 def similar_values(df: DataFrame, roles: Roles, threshold: float = 0.8) -> DataFrame:
@@ -475,7 +475,7 @@ def similar_values(df: DataFrame, roles: Roles, threshold: float = 0.8) -> DataF
     spark = df.sparkSession
     allowed_rows = [(c, str(a)) for c, allowed in roles.allowed.items() if c in cols for a in allowed if isinstance(a, str)]
     allowed_df = spark.createDataFrame(allowed_rows, "field string, value string")
-    legal = vals.join(F.broadcast(allowed_df), ["field", "value"], "left_semi").withColumn("_legal", F.lit(True))
+    legal = vals.join(broadcast_if_small(allowed_df, len(allowed_rows)), ["field", "value"], "left_semi").withColumn("_legal", F.lit(True))
     vals = vals.join(legal, ["field", "value"], "left").select(
         "field", "value", F.coalesce("_legal", F.lit(False)).alias("_legal")
     )

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import attach_scalars
+from ..functions.exprs import attach_scalars, broadcast_if_small
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles, quantiles_wide
 
 
@@ -165,7 +165,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30) -> DataFrame:
     )
     # one row per column: broadcast the ranges to every task
     b = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    counts = long.join(F.broadcast(rng), "field").groupBy("field", b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = long.join(broadcast_if_small(rng, len(columns)), "field").groupBy("field", b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     dense = rng.select("field", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
     return dense.join(counts, ["field", "bin"], "left").select(

@@ -22,6 +22,7 @@ from ..roles import Roles
 from .audit import schema_issues
 from .orderstats import DEFAULT_MAX_SORT_ROWS, order_statistics
 from ..session import checkpoint
+from ..functions.exprs import broadcast_if_small
 
 SPLITS = ("train", "validation", "test")
 
@@ -193,7 +194,7 @@ def stratified_split(
         .select(label, "_a", "_b", "_t1", "_b1", "_t2", "_b2")
         .transform(checkpoint)
     )
-    j = hashed.join(F.broadcast(cuts), [label])
+    j = hashed.join(broadcast_if_small(cuts, len(qrows)), [label])
     is_tie = (F.col("_h") == F.col("_t1")) | (F.col("_h") == F.col("_t2"))
     # position p of a row in (hash, key) order compared with A and B
     def label_of(in_train, in_val_or_train):

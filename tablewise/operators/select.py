@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from ..functions.exprs import broadcast_if_small
 
 
 def select_model(results: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def model_ranking(results: DataFrame) -> DataFrame:
     w = Window.orderBy(F.col("test_macro_f1").desc(), F.col("test_accuracy").desc(), F.col("model").asc())
     chosen = select_model(results).select(F.col("selected_model").alias("model"), F.lit(True).alias("_sel"))
     ranked = results.withColumn("rank", F.row_number().over(w))
-    return ranked.join(F.broadcast(chosen), "model", "left").select(
+    return ranked.join(broadcast_if_small(chosen, 1), "model", "left").select(
         "rank", "model", "val_macro_f1", "val_accuracy", "test_macro_f1", "test_accuracy", "train_s",
         F.coalesce("_sel", F.lit(False)).alias("selected_for_deployment"),
     )

@@ -19,6 +19,7 @@ from ..sources import csv as csvsrc
 from ..sources import files, results
 from .catalog import register
 from .fixtures import duck_cte, spark_view
+from ..functions.exprs import broadcast_if_small
 
 OD = duck_cte("orders_dirty")
 ML = duck_cte("ml_orders")
@@ -181,7 +182,7 @@ def q_label_lookup(spark, sf):
     """Class distribution with display labels (fallback to the code) via a broadcast dimension."""
     dim = spark.createDataFrame(list(TIER_LABELS.items()), "code string, label string")
     dist = explore.target_distribution(spark_view(spark, sf, "ml_orders"), "tier").select("class", "count")
-    return dist.join(F.broadcast(dim), dist["class"] == dim["code"], "left").select(
+    return dist.join(broadcast_if_small(dim, len(TIER_LABELS)), dist["class"] == dim["code"], "left").select(
         "class", F.coalesce("label", "class").alias("display"), "count"
     )
 
