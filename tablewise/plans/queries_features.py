@@ -155,7 +155,7 @@ def q_class_weights(spark, sf):
     return feat.class_weights(train, "tier")
 
 
-def _matrix_sql() -> str:
+def _matrix_sql(te_source: str = "SELECT * FROM split WHERE split = 'test'", extra_views: tuple = ()) -> str:
     num = " UNION ALL ".join(
         f"SELECT te.row_id, '{c}' AS feature, round((coalesce(te.{c}, m_{c}) - s.mean) / s.scale, 6) AS value FROM te, med, "
         f"(SELECT avg(coalesce({c}, m_{c})) AS mean, CASE WHEN stddev_pop(coalesce({c}, m_{c})) = 0 THEN 1.0 ELSE stddev_pop(coalesce({c}, m_{c})) END AS scale FROM tr, med) s"
@@ -171,8 +171,8 @@ def _matrix_sql() -> str:
         for c in NUM
     )
     return (
-        TRAIN + _edges_sql() + _modes_cte().replace(", modes AS", ", modes AS", 1)
-        + ", te AS (SELECT * FROM split WHERE split = 'test'),\n"
+        (split_cte(*extra_views) + TRAIN[len(split_cte()):] if extra_views else TRAIN) + _edges_sql() + _modes_cte()
+        + f", te AS ({te_source}),\n"
         + f"nb AS (SELECT field, max(k) AS nb FROM edges GROUP BY field), bi AS ({binned}),\n"
         + "bo AS (SELECT bi.row_id, bi.field || '_bin' || CAST(j AS VARCHAR) AS feature, CASE WHEN least(greatest(bi.b, 0), nb.nb - 1) = j THEN 1.0 ELSE 0.0 END AS value "
         + "FROM bi JOIN nb ON bi.field = nb.field JOIN range(0, 1000) t(j) ON j < nb.nb)\n"
@@ -188,12 +188,13 @@ def q_feature_matrix(spark, sf):
     return f.long_form(test, "row_id")
 
 
-@register("transform_test")
+@register("transform_test", _matrix_sql("SELECT * FROM records", ("records",)))
 def q_transform_test(spark, sf):
-    """Fitted transform applied to new records (nulls imputed, unknown categories zeroed)."""
+    """Fitted transform applied to new records (nulls imputed, unknown categories zeroed,
+    out-of-range values clipped to the end bins), in long form (row, feature, value)."""
     f = fitted(spark, sf)
     rec = spark_view(spark, sf, "records")
-    return f.transform(rec, keep=["row_id"], vector=False)
+    return f.long_form(rec, "row_id")
 
 
 @register("nonfinite_features", split_cte() + "SELECT CAST(0 AS BIGINT) AS nonfinite_rows, count(*) AS rows FROM split")
