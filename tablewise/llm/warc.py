@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -66,7 +67,7 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
         .groupBy("digest")
         .agg(F.min("page_id").alias("_first"))
     )
-    return rows.join(first, "digest").withColumn(
+    return rows.join(first.hint("merge"), "digest").withColumn(
         "refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first"))
     ).drop("_first")
 
@@ -227,7 +228,7 @@ def scan_archive(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     base = used.withColumn("_base", F.coalesce(F.sum("_used").over(before), F.lit(0))).drop("_used")
     return (
-        found.join(base, ["file", "split"])
+        found.join(base.hint("merge"), ["file", "split"])
         .withColumn("off", F.col("at") + F.col("_base"))
         .withColumn("nxt", F.col("off") + F.col("length"))
         .drop("_base")
@@ -244,16 +245,16 @@ def reachable(segments: DataFrame) -> DataFrame:
     jumps = links.select("file", "off", F.col("leaves").alias("to"))
     known = entries.count()
     while known:
-        ahead = entries.join(jumps, ["file", "off"]).select("file", F.col("to").alias("off"))
-        there = ahead.join(links.select("file", "off"), ["file", "off"], "left_semi")
+        ahead = entries.join(jumps.hint("merge"), ["file", "off"]).select("file", F.col("to").alias("off"))
+        there = ahead.join(links.select("file", "off").hint("merge"), ["file", "off"], "left_semi")
         entries = save(entries.union(there).distinct(), "warc-entries")
         now = entries.count()
         if now == known:
             break
         known = now
         far = jumps.select("file", F.col("off").alias("to"), F.col("to").alias("_far"))
-        jumps = save(jumps.join(far, ["file", "to"], "left").select("file", "off", F.coalesce("_far", "to").alias("to")), "warc-jumps")
-    marked = links.join(entries.withColumn("entry", F.lit(True)), ["file", "off"], "left").select(
+        jumps = save(jumps.join(far.hint("merge"), ["file", "to"], "left").select("file", "off", F.coalesce("_far", "to").alias("to")), "warc-jumps")
+    marked = links.join(entries.withColumn("entry", F.lit(True)).hint("merge"), ["file", "off"], "left").select(
         "file", "split", "off", "nxt", F.coalesce("entry", F.lit(False)).alias("entry")
     )
     return marked.groupBy("file", "split").applyInPandas(_reached, "file string, off long")
@@ -309,7 +310,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at = 0
     for batch in batches:
         places = []
-        sizes = [len(v) for v in batch.column(2)] if batch.num_rows else []
+        sizes = pc.binary_length(batch.column(2)).to_pylist()
         for file, split, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sizes, strict=True):
             if (file, split) != here:
                 here, at = (file, split), -len(MAGIC)
@@ -327,7 +328,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     has none); :func:`read_payloads` gives the bytes themselves.
     """
     segments = save(scan_archive(spark, path), "warc-scanned")
-    records = save(segments.join(reachable(segments), ["file", "off"]), "warc-records")
+    records = save(segments.join(reachable(segments).hint("merge"), ["file", "off"]), "warc-records")
     broken = records.filter("NOT whole").select("file", "off")
     if not broken.isEmpty():
         mended = read_payloads(spark, path, segments, broken)
@@ -355,7 +356,7 @@ def resolve(records: DataFrame, id_type: str = "bigint") -> DataFrame:
     responses = rows.filter("record_type = 'response'").select(
         F.col("page_id").alias("refers_to"), F.col("digest"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest")
     ).dropDuplicates(["refers_to", "digest"])
-    return rows.join(responses, ["refers_to", "digest"], "left").select(
+    return rows.join(responses.hint("merge"), ["refers_to", "digest"], "left").select(
         "page_id",
         F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
         F.coalesce("payload_digest", "_digest").alias("payload_digest"),
