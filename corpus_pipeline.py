@@ -36,7 +36,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the one with the smallest id."""
     gone = near_dup.near_duplicates(docs).filter("NOT kept").select(id_key("doc_id").alias("_id"))
-    return docs.withColumn("_id", id_key("doc_id")).join(gone, "_id", "left_anti").select(docs.columns)
+    return docs.select(F.struct("*").alias("row"), id_key("doc_id").alias("_id")).join(gone, "_id", "left_anti").select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_key, lower_ascii, text_or_empty
+from .common import id_key, lower_ascii, save, text_or_empty
 
 
 def text_digest(text: str | Column) -> Column:
@@ -62,10 +62,13 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
 
-def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per digest of the batch: digest, doc_id (the largest), group_size."""
-    d = docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest"))
-    return d.groupBy("digest").agg(F.max("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("group_size"))
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest"))
+
+
+def digest_groups(rows: DataFrame) -> DataFrame:
+    """One row per digest of (doc_id, digest) rows: digest, doc_id (the largest), group_size."""
+    return rows.groupBy("digest").agg(F.max("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("group_size"))
 
 
 def dedup_batch(
@@ -77,24 +80,20 @@ def dedup_batch(
     this batch with that digest), kept.  When the index already has a digest,
     keep_id is the id it stored and no row of the batch is kept.
     """
-    rows = (
-        docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest"))
-        .groupBy("digest", "doc_id")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    groups = digest_groups(docs, id_col, text_col)
+    rows = save(digests(docs, id_col, text_col), "digests")  # texts are read and hashed once
+    groups = digest_groups(rows)
     index.append(index.new_only(groups))
     first = index.rows().select("digest", F.col("doc_id").alias("keep_id"))
     decided = groups.join(first.hint("merge"), "digest").select(
         "digest", "keep_id", "group_size", F.col("keep_id").eqNullSafe(F.col("doc_id")).alias("_new")
     )
-    out = rows.join(decided, "digest")
-    return out.select(
+    copies = rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("_copies"))
+    return copies.join(decided, "digest").select(
         "doc_id",
         "digest",
         "keep_id",
         "group_size",
-        F.col("_new").alias("_new"),
+        "_new",
         F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"),
     ).select(
         "doc_id",
@@ -109,5 +108,6 @@ def keep_first(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text
     """The documents that stay, all columns unchanged (one row of each repeated row)."""
     kept = dedup_batch(docs, index, id_col, text_col).filter("kept")
     keys = kept.select(F.col("digest").alias("_digest"), id_key("doc_id").alias("_id"))
-    full = docs.withColumns({"_digest": text_digest(text_col), "_id": id_key(id_col)})
-    return full.join(keys, ["_digest", "_id"], "left_semi").dropDuplicates(["_digest", "_id"]).drop("_digest", "_id")
+    rows = docs.select(F.struct("*").alias("row"), text_digest(text_col).alias("_digest"), id_key(id_col).alias("_id"))
+    first = rows.join(keys, ["_digest", "_id"], "left_semi").dropDuplicates(["_digest", "_id"])
+    return first.select("row.*")
