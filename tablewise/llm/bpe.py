@@ -34,10 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import text_or_empty
+from .textarrays import word_hashes
 
 CHUNK_CHARS = 1_000_000
 CACHE_PIECES = 400_000
 BLOCK = 128
+SHORT = 64  # bytes of a piece that is cached and merged by list
+NONE = (1 << 31) - 1
 
 # classes of code points
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -123,8 +126,18 @@ def symbols(cp: np.ndarray, first: np.ndarray, table: np.ndarray) -> np.ndarray:
     return sym
 
 
+_WIDE = 32  # symbols per state in the packed table; eight states fill a byte
+_STEP_TO = np.zeros(256, np.uint8)
+_CUT_AT = np.zeros(256, bool)
+for _s in range(8):
+    _STEP_TO[_s * _WIDE : _s * _WIDE + NEXT.shape[1]] = NEXT[_s] * _WIDE
+    _CUT_AT[_s * _WIDE : _s * _WIDE + NEXT.shape[1]] = CUT[_s]
+
+
 def piece_starts(sym: np.ndarray) -> np.ndarray:
-    """Positions where a piece starts, by a blocked associative scan of transition functions."""
+    """Positions where a piece starts, by a blocked associative scan of transition functions.
+
+    A function is eight bytes: for each state, the next state times ``_WIDE``."""
     n = len(sym)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -132,65 +145,183 @@ def piece_starts(sym: np.ndarray) -> np.ndarray:
     padded = np.full(rows * BLOCK, IDENTITY, np.uint8)
     padded[:n] = sym
     cols = np.ascontiguousarray(padded.reshape(rows, BLOCK).T)
-    flat, width = NEXT.ravel(), NEXT.shape[1]
     # 1. compose the functions of each block, all blocks side by side
-    fn = np.tile(np.arange(8, dtype=np.uint8), (rows, 1))
+    fn = np.repeat(np.arange(8, dtype=np.uint8) * _WIDE, rows).reshape(8, rows)
     for c in cols:
-        fn = flat[fn.astype(np.int16) * width + c[:, None]]
+        fn = _STEP_TO[fn + c]
     # 2. inclusive scan over blocks by doubling: later after earlier
     step = 1
     while step < rows:
-        fn[step:] = np.take_along_axis(fn[step:], fn[:-step].astype(np.int64), axis=1)
+        fn[:, step:] = np.take_along_axis(fn[:, step:], (fn[:, :-step] // _WIDE).astype(np.int64), axis=0)
         step *= 2
     # 3. emit inside the blocks from each block's entry state
-    state = np.zeros(rows, np.int16)
-    state[1:] = fn[:-1, FRESH]
+    state = np.zeros(rows, np.uint8)
+    state[1:] = fn[FRESH, :-1]
     marks = np.empty((BLOCK, rows), bool)
-    cut = CUT.ravel()
     for i, c in enumerate(cols):
-        at = state * width + c
-        marks[i] = cut[at]
-        state = flat[at].astype(np.int16)
+        at = state + c
+        marks[i] = _CUT_AT[at]
+        state = _STEP_TO[at]
     return np.flatnonzero(marks.T.ravel()[:n])
 
 
+class PairTable:
+    """Id of two neighbouring tokens merged, for arrays of pairs: an open-addressing hash table."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        keys, ids = [], []
+        for token, i in ranks.items():
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    keys.append(a << 32 | b)
+                    ids.append(i)
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        size = 1 << self.bits
+        self.key = np.full(size + 64, -1, np.int64)
+        self.id = np.full(size + 64, NONE, np.int32)
+        key, value = np.array(keys, np.int64), np.array(ids, np.int32)
+        slot = self._slot(key)
+        while len(key):  # place the first of those that want a slot, move the others on
+            free = self.key[slot] < 0
+            _, at = np.unique(np.where(free, slot, -1 - np.arange(len(slot))), return_index=True)
+            at = at[free[at]]
+            self.key[slot[at]], self.id[slot[at]] = key[at], value[at]
+            rest = np.ones(len(key), bool)
+            rest[at] = False
+            key, value, slot = key[rest], value[rest], slot[rest] + 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ids of the merged pairs, ``NONE`` where there is no such token."""
+        key = (a.astype(np.int64) << 32) | b
+        slot = self._slot(key)
+        there = self.key[slot]
+        out = self.id[slot]
+        ask = np.flatnonzero((there != key) & (there >= 0))
+        out[there < 0] = NONE
+        step = 0
+        while len(ask):
+            step += 1
+            at = slot[ask] + step
+            there = self.key[at]
+            out[ask] = np.where(there == key[ask], self.id[at], NONE)
+            ask = ask[(there != key[ask]) & (there >= 0)]
+        return out
+
+
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], table: np.ndarray, cache_pieces: int = CACHE_PIECES):
         self.ranks, self.table, self.cache_pieces = ranks, table, cache_pieces
         self.cache: dict[bytes, tuple[int, ...]] = {}
-        self.bytes_of = {i: b for b, i in ranks.items()}
-        self.length = np.zeros(max(ranks.values()) + 1, np.int32)
-        for b, i in ranks.items():
-            self.length[i] = len(b)
-
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one piece: merge the pair of lowest rank, leftmost first, until none is left."""
-        got = self.ranks.get(piece)
-        if got is not None:
-            return (got,)
-        n = len(piece)
-        parts: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        rank = self.ranks.get
-        heap = [(r, i, 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
+        self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.pairs = PairTable(ranks)
+        tokens = sorted((i, b) for b, i in ranks.items())
+        size = tokens[-1][0] + 1
+        self.bytes_of: list[bytes] = [b""] * size
+        for i, b in tokens:
+            self.bytes_of[i] = b
+        self.length = np.fromiter(map(len, self.bytes_of), np.int64, size)
+        self.begin = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+
+    def pair(self, a: int, b: int) -> int:
+        return self.ranks.get(self.bytes_of[a] + self.bytes_of[b], NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of each piece: merge the pair of lowest rank, leftmost first, until none is left.
+
+        Short pieces of similar length advance together, one merge each a round."""
+        out: list[tuple[int, ...]] = [()] * len(pieces)
+        by_width: dict[int, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            got = self.ranks.get(piece)
+            if got is not None:
+                out[i] = (got,)
+            elif len(piece) > SHORT:
+                out[i] = self._merge_long(piece)
+            else:
+                by_width.setdefault(max(8, 1 << (len(piece) - 1).bit_length()), []).append(i)
+        for width, members in by_width.items():
+            for i, ids in zip(members, self._merge_rows([pieces[i] for i in members], width), strict=True):
+                out[i] = ids
+        return out
+
+    def _merge_rows(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
+        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ids = self.byte_id[raw]
+        final, length = ids.copy(), size.copy()
+        col = np.arange(width)
+        ranks = self.pairs.get(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(pieces), width - 1)
+        ranks[col[:-1] >= (size - 1)[:, None]] = NONE
+        live = np.arange(len(pieces))
+        while True:
+            at = ranks.argmin(axis=1)
+            row = np.arange(len(live))
+            low = ranks[row, at]
+            stop = low == NONE
+            if stop.any():
+                final[live[stop]], length[live[stop]] = ids[stop], size[stop]
+                go = ~stop
+                live, ids, ranks, size, at, low = live[go], ids[go], ranks[go], size[go], at[go], low[go]
+                row = np.arange(len(live))
+            if not len(live):
+                break
+            moved = np.minimum(col + (col > at[:, None]), width - 1)
+            ids = np.take_along_axis(ids, moved, 1)
+            ids[row, at] = low
+            shift = np.minimum(col[:-1] + (col[:-1] >= at[:, None]), width - 2)
+            ranks = np.take_along_axis(ranks, shift, 1)
+            size = size - 1
+            ranks[row, np.maximum(size - 1, 0)] = NONE  # the row is one pair shorter
+            has = np.flatnonzero(at > 0)
+            ranks[has, at[has] - 1] = self.pairs.get(ids[has, at[has] - 1], low[has])
+            has = np.flatnonzero(at + 1 < size)
+            ranks[has, at[has]] = self.pairs.get(low[has], ids[has, at[has] + 1])
+        return [tuple(r[:n]) for r, n in zip(final.tolist(), length.tolist(), strict=True)]
+
+    def _merge_long(self, piece: bytes) -> tuple[int, ...]:
+        """The same with a heap, for long pieces."""
+        n, pair = len(piece), self.pair
+        ids = self.byte_id[np.frombuffer(piece, np.uint8)].tolist()
+        stop = list(range(1, n + 1))  # where the token that begins here ends; 0 when merged away
+        left = list(range(-1, n - 1))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := pair(ids[i], ids[i + 1])) != NONE]
         heapq.heapify(heap)
         while heap:
-            _, i, size = heapq.heappop(heap)
-            a = parts[i]
-            j = right[i]
-            if a is None or j >= n or len(a) + len(parts[j]) != size:
+            r, i, end = heapq.heappop(heap)
+            j = stop[i]
+            if not j or j >= n or stop[j] != end:
                 continue  # one of the two has changed since
-            parts[i], parts[j] = a + parts[j], None
-            right[i] = k = right[j]
-            if k < n:
-                left[k] = i
-                if (r := rank(parts[i] + parts[k])) is not None:
-                    heapq.heappush(heap, (r, i, len(parts[i]) + len(parts[k])))
-            if (h := left[i]) >= 0 and (r := rank(parts[h] + parts[i])) is not None:
-                heapq.heappush(heap, (r, h, len(parts[h]) + len(parts[i])))
-        return tuple(self.ranks[p] for p in parts if p is not None)
+            ids[i], stop[i], stop[j] = r, end, 0
+            if end < n:
+                left[end] = i
+                if (x := pair(r, ids[end])) != NONE:
+                    heapq.heappush(heap, (x, i, stop[end]))
+            if (h := left[i]) >= 0 and (x := pair(ids[h], r)) != NONE:
+                heapq.heappush(heap, (x, h, end))
+        out, i = [], 0
+        while i < n:
+            out.append(ids[i])
+            i = stop[i]
+        return tuple(out)
+
+    def _distinct(self, raw: bytes, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first piece of each distinct one, which distinct one each piece is).
+
+        Two independent 64-bit hashes and the length decide; a piece that agrees with
+        its group in the first hash alone becomes a group of its own."""
+        data = np.frombuffer(raw, np.uint8)
+        one, two = word_hashes(data, cuts[:-1], cuts[1:]), word_hashes(data ^ np.uint8(0x5A), cuts[:-1], cuts[1:])
+        _, first, which = np.unique(one, return_index=True, return_inverse=True)
+        odd = np.flatnonzero((two != two[first[which]]) | (np.diff(cuts) != np.diff(cuts)[first[which]]))
+        which[odd] = len(first) + np.arange(len(odd))
+        return np.append(first, odd), which
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, byte offset of each token in its text, tokens per text)."""
@@ -201,33 +332,44 @@ class Codec:
         first = np.zeros(len(cp), bool)
         first[begin[:-1][chars > 0]] = True
         starts = piece_starts(symbols(cp, first, self.table))
-        width = 1 + (cp >= 0x80).astype(np.int64) + (cp >= 0x800) + (cp >= 0x10000)
+        width = (1 + (cp >= 0x80).astype(np.int8) + (cp >= 0x800) + (cp >= 0x10000)).astype(np.int64)
         at = np.concatenate([[0], np.cumsum(width)])
         raw = joined.encode("utf-8")
-        cuts = at[starts].tolist() + [len(raw)]
-        cache, merge, out = self.cache, self.merge, []
-        add = out.append
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            piece = raw[a:b]
-            ids = cache.get(piece)
-            if ids is None:
-                ids = merge(piece)
-                if len(cache) >= self.cache_pieces:
-                    cache.clear()
-                if len(piece) <= 64:
-                    cache[piece] = ids
-            add(ids)
-        sizes = np.fromiter(map(len, out), np.int64, len(out))
-        ids = np.fromiter(chain.from_iterable(out), np.int32, int(sizes.sum()))
-        before = np.concatenate([[0], np.cumsum(sizes)])  # tokens before each piece
+        cuts = np.append(at[starts], len(raw))
+        if not len(starts):
+            z = np.zeros(0, np.int64)
+            return z.astype(np.int32), z, np.zeros(len(texts), np.int64)
+        lead, which = self._distinct(raw, cuts)
+        cache = self.cache
+        if len(cache) > self.cache_pieces:
+            cache.clear()
+        pieces = [raw[a:b] for a, b in zip(cuts[lead].tolist(), cuts[lead + 1].tolist(), strict=True)]
+        out = list(map(cache.get, pieces))
+        miss = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(miss, self.merge([pieces[i] for i in miss]), strict=True):
+            out[i] = ids
+            if len(pieces[i]) <= SHORT:
+                cache[pieces[i]] = ids
+        # lay the ids of the distinct pieces out for every piece
+        size = np.fromiter(map(len, out), np.int64, len(out))
+        flat = np.fromiter(chain.from_iterable(out), np.int32, int(size.sum()))
+        ids = flat[_ranges((np.cumsum(size) - size)[which], size[which])]
+        before = np.concatenate([[0], np.cumsum(size[which])])  # tokens before each piece
         token_begin = before[np.searchsorted(starts, begin)]
         per_text = np.diff(token_begin)
-        offsets = np.cumsum(self.length[ids], dtype=np.int64) - self.length[ids]
+        offsets = np.cumsum(self.length[ids]) - self.length[ids]
         offsets -= np.repeat(at[begin[:-1]], per_text)
         return ids, offsets, per_text
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return self.flat[_ranges(self.begin[ids], self.length[ids])].tobytes()
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indices begin, begin + 1, ... (size of them) of all ranges end to end."""
+    total = int(size.sum())
+    stop = np.cumsum(size)
+    return np.arange(total) + np.repeat(begin - stop + size, size)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -289,6 +431,15 @@ def encode(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str =
     return src.mapInArrow(run, schema)
 
 
+def _arrays(lists: pa.ListArray) -> Iterator[np.ndarray]:
+    """The rows of a list column as arrays, null as empty."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    size = np.asarray(lists.value_lengths().fill_null(0))
+    stop = np.cumsum(size)
+    for a, b in zip(stop - size, stop, strict=True):
+        yield flat[a:b]
+
+
 def decode(encoded: DataFrame, vocabulary) -> DataFrame:
     """Add ``decoded`` (binary) to rows with ``ids``; null ids decode to no bytes."""
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
@@ -299,7 +450,7 @@ def decode(encoded: DataFrame, vocabulary) -> DataFrame:
             at = batch.schema.get_field_index("ids")
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                texts = [codec.decode(x or []) for x in part.column(at).to_pylist()]
+                texts = [codec.decode(x) for x in _arrays(part.column(at))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
