@@ -11,9 +11,13 @@ for candidate pairs.  Candidates come from an exact *prefix filter* join:
   rarest-first, two strings with overlap >= a share a token within their
   first |x| - a + 1 tokens.
 
-So each value emits only its prefix tokens, and pairs are produced by an
-equi-join on (field, token) with a length-band filter: no cross join and no
-all-pairs expansion, and no pair with ratio >= t is missed.
+* with overlap >= a >= 2 they share two tokens within their first |x| - a + 2.
+
+So a value emits the *pairs* of its prefix tokens (single tokens only where a
+short partner may share just one), and candidates are produced by an equi-join
+on (field, key) with a length-band filter.  A pair of rare tokens is far less
+common than one letter, so no key comes near all values of a column, and no
+pair with ratio >= t is missed.
 """
 
 from __future__ import annotations
@@ -40,6 +44,12 @@ def ro_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+@F.pandas_udf(T.StringType())
+def casefold(s: pd.Series) -> pd.Series:
+    """Python's full case folding, applied to distinct values only."""
+    return s.map(lambda x: x.casefold() if x is not None else None)
+
+
 def ro_ratio_py(a: str, b: str) -> float:
     return SequenceMatcher(None, a.casefold(), b.casefold()).ratio()
 
@@ -54,7 +64,7 @@ def similar_pairs(vals: DataFrame, field: str, value: str, threshold: float = 0.
     t = float(threshold)
     tags = [c for c in vals.columns if c not in (field, value)]
     v = vals.select(F.col(field).alias("_f"), F.col(value).alias("_s"), *tags).withColumn(
-        "_low", F.lower("_s")
+        "_low", casefold("_s")
     ).withColumn("_len", F.length("_low"))
     chars = v.select("_f", "_s", "_len", F.posexplode(F.split("_low", "")).alias("_pos", "_ch")).where(
         F.col("_ch") != ""
@@ -66,13 +76,21 @@ def similar_pairs(vals: DataFrame, field: str, value: str, threshold: float = 0.
     order = Window.partitionBy("_f", "_s").orderBy("_freq", "_tok")
     # bounds are made conservative by EPS: float error must never drop a pair
     need = F.ceil(F.lit(t) * F.col("_len") / F.lit(2.0 - t) - F.lit(EPS))
-    prefix_len = F.col("_len") - need + 1
-    prefix = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= prefix_len).select(
-        "_f", "_s", "_len", "_tok"
+    prefix = ranked.withColumn("_r", F.row_number().over(order)).withColumn("_need", need).where(
+        F.col("_r") <= F.col("_len") - F.col("_need") + 2
     )
+    ratio_lo = t / (2.0 - t)
+    shortest = F.ceil(F.col("_len") * ratio_lo - EPS)  # the shortest partner, and whether one shared token may do for it
+    single = F.ceil(F.lit(t) * shortest / F.lit(2.0 - t) - F.lit(EPS)) < 2
+    toks = prefix.groupBy("_f", "_s", "_len", "_need").agg(F.array_sort(F.collect_list(F.struct("_r", "_tok"))).alias("_toks"))
+    names = F.transform("_toks", lambda x: x["_tok"])
+    two = F.flatten(F.transform(names, lambda x, i: F.transform(
+        F.filter(names, lambda y, j: j > i), lambda y: F.concat(F.least(x, y), F.lit("\u0002"), F.greatest(x, y)))))
+    ones = F.when(single, F.slice(names, F.lit(1), F.greatest(F.col("_len") - F.col("_need") + 1, F.lit(0)).cast("int"))).otherwise(F.array().cast("array<string>"))
+    keys = F.concat(F.when(F.col("_need") >= 2, two).otherwise(F.array().cast("array<string>")), ones)
+    prefix = toks.select("_f", "_s", "_len", F.explode(keys).alias("_tok"))
     a = prefix.alias("a")
     b = prefix.alias("b")
-    ratio_lo = t / (2.0 - t)
     cand = (
         a.join(b, (F.col("a._f") == F.col("b._f")) & (F.col("a._tok") == F.col("b._tok")))
         .where(

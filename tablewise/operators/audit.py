@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import attach_scalars, broadcast_if_small, coerce_double, is_finite, is_inf, strip
-from ..functions.similarity import similar_pairs
+from ..functions.similarity import casefold, similar_pairs
 from ..roles import Roles
+from ..session import checkpoint
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles
 
 MISSING = "<MISSING>"
@@ -86,6 +87,21 @@ def overview(df: DataFrame, roles: Roles) -> DataFrame:
 
 
 # ---------------------------------------------------------------- B3
+def _static_schema_issues(df: DataFrame, roles: Roles) -> list[tuple[str, str]]:
+    """Schema issues that the column list and types alone show: (code, fields)."""
+    cols, req = list(df.columns), list(roles.required_columns)
+    missing = [c for c in req if c not in cols]
+    extra = [c for c in cols if c not in req]
+    mismatched = [c for c in roles.numeric if c in cols and not is_numeric_type(_dtype(df, c))]
+    found = [("missing_columns", missing), ("extra_columns", extra)]
+    out = [(code, ",".join(names)) for code, names in found if names]
+    if cols != req:
+        out.append(("column_order_mismatch", ""))
+    if mismatched:
+        out.append(("numeric_type_mismatch", ",".join(mismatched)))
+    return out
+
+
 def schema_issues(df: DataFrame, roles: Roles) -> DataFrame:
     """One row per schema issue: missing/extra columns, order, all-null, type.
 
@@ -93,23 +109,11 @@ def schema_issues(df: DataFrame, roles: Roles) -> DataFrame:
     all-null check is one aggregation of ``count(c)`` over all columns.
     """
     cols = list(df.columns)
-    req = list(roles.required_columns)
-    missing = [c for c in req if c not in cols]
-    extra = [c for c in cols if c not in req]
-    mismatched = [c for c in roles.numeric if c in cols and not is_numeric_type(_dtype(df, c))]
+    static = _static_schema_issues(df, roles)
     counts = df.agg(*[F.count(F.when(~_missing(df, c), 1)).alias(f"c{i}") for i, c in enumerate(cols)])
     all_null = F.concat_ws(
         ",", *[F.when(F.col(f"c{i}") == 0, F.lit(c)) for i, c in enumerate(cols)]
     )
-    static = []
-    if missing:
-        static.append(("missing_columns", ",".join(missing)))
-    if extra:
-        static.append(("extra_columns", ",".join(extra)))
-    if cols != req:
-        static.append(("column_order_mismatch", ""))
-    if mismatched:
-        static.append(("numeric_type_mismatch", ",".join(mismatched)))
     items = [F.struct(F.lit(code).alias("code"), F.lit(fields).alias("fields")) for code, fields in static]
     items.append(F.struct(F.lit("all_null_columns").alias("code"), all_null.alias("fields")))
     out = counts.select(F.explode(F.array(*items)).alias("_r")).select("_r.*")
@@ -191,16 +195,10 @@ def missing_total(df: DataFrame) -> DataFrame:
 def duplicate_groups(df: DataFrame) -> DataFrame:
     """Groups of identical rows (nulls equal) with their multiplicity > 1.
 
-    Two phases keep the shuffle small: rows are first grouped by a 64-bit hash
-    of the whole row (8 bytes shuffled per row, partial aggregation); only rows
-    whose hash occurs more than once are then grouped on the full row, which
-    resolves hash collisions exactly.
+    One pass: a group on the whole row with map-side combination, so the
+    copies of one row reach the shuffle once per task.
     """
-    cols = list(df.columns)
-    hashed = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in cols]))
-    hot = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).select("_h")
-    cand = hashed.join(hot, "_h", "left_semi").drop("_h")
-    return cand.groupBy(*cols).agg(F.count(F.lit(1)).alias("multiplicity")).where(F.col("multiplicity") > 1)
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("multiplicity")).where(F.col("multiplicity") > 1)
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -241,8 +239,8 @@ def _coerced(df: DataFrame, c: str):
     return coerce_double(c, _dtype(df, c).simpleString())
 
 
-def numeric_profile_wide(df: DataFrame, roles: Roles, fields: list[str]) -> DataFrame:
-    """All per-column counters and moments in one pass over the table."""
+def _numeric_aggs(df: DataFrame, roles: Roles, fields: list[str]) -> list:
+    """Per-column counters and moments as aggregate columns."""
     aggs = []
     for i, c in enumerate(fields):
         x = _coerced(df, c)
@@ -264,7 +262,12 @@ def numeric_profile_wide(df: DataFrame, roles: Roles, fields: list[str]) -> Data
                 f"out{i}"
             ),
         ]
-    return df.agg(*aggs)
+    return aggs
+
+
+def numeric_profile_wide(df: DataFrame, roles: Roles, fields: list[str]) -> DataFrame:
+    """All per-column counters and moments in one pass over the table."""
+    return df.agg(*_numeric_aggs(df, roles, fields))
 
 
 def _finite_long(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -428,39 +431,41 @@ def _distinct_strings(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def case_conflicts(df: DataFrame, roles: Roles) -> DataFrame:
-    """Groups of spellings equal after strip + lower-casing (more than one spelling).
-
-    Note: Spark ``lower`` is used as the case fold; it differs from Python's
-    ``casefold`` only for a few letters such as the German sharp s.
-    """
-    vals = _distinct_strings(df, _string_cols(df, roles.categorical))
-    grouped = vals.groupBy("field", F.lower("value").alias("folded")).agg(
+    """Groups of spellings equal after strip + case folding (more than one spelling)."""
+    vals = _distinct_strings(df, _string_cols(df, roles.categorical)).withColumn("folded", casefold("value"))
+    grouped = vals.groupBy("field", "folded").agg(
         F.count(F.lit(1)).alias("n_spellings"),
         F.array_join(F.sort_array(F.collect_list("value")), "|").alias("spellings"),
     )
     return grouped.where(F.col("n_spellings") > 1)
 
 
-def unexpected_values(df: DataFrame, roles: Roles) -> DataFrame:
-    """Observed values not in a column's allow-list (anti join with the list)."""
-    spark = df.sparkSession
-    rows = []
-    for c, allowed in roles.allowed.items():
-        rows += [(c, str(a)) for a in allowed]
-    if roles.target and roles.allowed_targets:
-        rows += [(roles.target, str(a)) for a in roles.allowed_targets]
+def _not_allowed(values: DataFrame, df: DataFrame, roles: Roles) -> DataFrame:
+    """Rows of distinct (field, value as text) whose field has an allow-list that lacks the value."""
+    lists = {c: list(a) for c, a in roles.allowed.items() if c in df.columns}
+    if roles.target and roles.allowed_targets and roles.target in df.columns:
+        lists[roles.target] = list(roles.allowed_targets)
+    # values are compared in the column's own type: 1 allows 1.0 in a double column
+    rows = [
+        F.struct(F.lit(c).alias("field"), F.lit(a).try_cast(_dtype(df, c)).cast("string").alias("value"))
+        for c, allowed in lists.items()
+        for a in allowed
+    ]
     if not rows:
-        return spark.createDataFrame([], "field string, value string")
-    allowed_df = spark.createDataFrame(rows, "field string, value string")
-    cols = [c for c in list(roles.allowed) + ([roles.target] if roles.allowed_targets else []) if c in df.columns]
-    observed = (
-        df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in cols])).alias("_kv"))
-        .select("_kv.*")
-        .where(F.col("value").isNotNull())
-        .distinct()
-    )
+        return values.limit(0)
+    allowed_df = df.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("_r")).select("_r.*").where(F.col("value").isNotNull())
     # The allow-list is a literal of the caller's size (bounded): broadcast it.
-    return observed.join(broadcast_if_small(allowed_df, len(rows)), ["field", "value"], "left_anti")
+    return values.where(F.col("field").isin(list(lists))).join(broadcast_if_small(allowed_df, len(rows)), ["field", "value"], "left_anti")
+
+
+def unexpected_values(df: DataFrame, roles: Roles) -> DataFrame:
+    """Observed values not in a column's allow-list (anti join with the list)."""
+    cols = [c for c in dict.fromkeys([*roles.allowed, *([roles.target] if roles.allowed_targets else [])]) if c in df.columns]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "field string, value string")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in cols])).alias("_kv")
+    observed = df.select(pairs).select("_kv.*").where(F.col("value").isNotNull()).distinct()
+    return _not_allowed(observed, df, roles)
 
 
 def similar_values(df: DataFrame, roles: Roles, threshold: float = 0.8) -> DataFrame:
@@ -471,8 +476,11 @@ def similar_values(df: DataFrame, roles: Roles, threshold: float = 0.8) -> DataF
     legal.  Candidates come from an exact prefix-filter join, never all pairs.
     """
     cols = _string_cols(df, roles.categorical)
-    vals = _distinct_strings(df, cols)
-    spark = df.sparkSession
+    return _similar(_distinct_strings(df, cols), df.sparkSession, roles, cols, threshold)
+
+
+def _similar(vals: DataFrame, spark, roles: Roles, cols: list[str], threshold: float = 0.8) -> DataFrame:
+    """Similar pairs from distinct stripped (field, value) rows."""
     allowed_rows = [(c, str(a)) for c, allowed in roles.allowed.items() if c in cols for a in allowed if isinstance(a, str)]
     allowed_df = spark.createDataFrame(allowed_rows, "field string, value string")
     legal = vals.join(broadcast_if_small(allowed_df, len(allowed_rows)), ["field", "value"], "left_semi").withColumn("_legal", F.lit(True))
@@ -483,7 +491,7 @@ def similar_values(df: DataFrame, roles: Roles, threshold: float = 0.8) -> DataF
     observed_pairs = pairs.where(
         ~(F.col("l_legal") & F.col("r_legal"))
         & (F.col("left") < F.col("right"))
-        & (F.lower("left") != F.lower("right"))
+        & (casefold("left") != casefold("right"))
     )
     # observed values that are not legal, against every allowed value
     allowed_side = allowed_df.select("field", "value", F.lit(True).alias("_legal"))
@@ -522,62 +530,85 @@ def target_summary(df: DataFrame, roles: Roles) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D13
-def quality_issues(df: DataFrame, roles: Roles, max_sort_rows: int = DEFAULT_MAX_SORT_ROWS) -> DataFrame:
-    """Issue list (code, severity, field, detail) assembled from the audit tables."""
-    parts: list[DataFrame] = []
-    sch = schema_issues(df, roles)
-    parts.append(
-        sch.agg(F.array_join(F.sort_array(F.collect_list("code")), ",").alias("detail"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 0)
-        .select(F.lit("schema_invalid").alias("code"), F.lit("error").alias("severity"), F.lit(None).cast("string").alias("field"), "detail")
-    )
-    parts.append(
-        missing_total(df).where(F.col("total_missing") > 0).select(
-            F.lit("missing_values").alias("code"), F.lit("warning").alias("severity"), F.lit(None).cast("string").alias("field"),
-            F.col("total_missing").cast("string").alias("detail"),
-        )
-    )
-    parts.append(
-        duplicate_rows(df).where(F.col("duplicate_row_count") > 0).select(
-            F.lit("duplicate_rows").alias("code"), F.lit("warning").alias("severity"), F.lit(None).cast("string").alias("field"),
-            F.col("duplicate_row_count").cast("string").alias("detail"),
-        )
-    )
-    nq = numeric_quality(df, roles)
-    iq = iqr_outliers(df, roles, max_sort_rows).select("field", "iqr_extreme_count")
-    nq = nq.join(iq, "field", "left")
-    flag_cols = ["negative_count", "unreasonable_zero_count", "infinite_count", "non_numeric_count", "iqr_extreme_count", "outside_range_count"]
-    detail = F.concat_ws(",", *[F.when(F.col(c) > 0, F.concat(F.lit(c + "="), F.col(c).cast("string"))) for c in flag_cols])
-    parts.append(
-        nq.select("field", detail.alias("detail")).where(F.col("detail") != "").select(
-            F.lit("numeric_quality").alias("code"), F.lit("warning").alias("severity"), "field", "detail"
-        )
-    )
-    cq = categorical_quality(df, roles)
-    cc = case_conflicts(df, roles).groupBy("field").agg(F.count(F.lit(1)).alias("case_conflicts"))
-    sv = similar_values(df, roles).groupBy("field").agg(F.count(F.lit(1)).alias("similar_pairs"))
-    uv = unexpected_values(df, roles).where(F.col("field").isin(*roles.categorical) if roles.categorical else F.lit(False))
-    uv = uv.groupBy("field").agg(F.count(F.lit(1)).alias("unexpected_values"))
-    cat = cq.join(cc, "field", "left").join(sv, "field", "left").join(uv, "field", "left")
-    cat_flags = ["whitespace_count", "empty_string_count", "case_conflicts", "similar_pairs", "unexpected_values"]
-    cdetail = F.concat_ws(",", *[F.when(F.col(c) > 0, F.concat(F.lit(c + "="), F.col(c).cast("string"))) for c in cat_flags])
-    parts.append(
-        cat.select("field", cdetail.alias("detail")).where(F.col("detail") != "").select(
-            F.lit("categorical_quality").alias("code"), F.lit("warning").alias("severity"), "field", "detail"
-        )
-    )
-    if roles.target and roles.allowed_targets:
-        tv = unexpected_values(df, roles).where(F.col("field") == roles.target)
-        parts.append(
-            tv.agg(F.array_join(F.sort_array(F.collect_list("value")), "|").alias("detail"), F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 0)
-            .select(F.lit("unexpected_target_values").alias("code"), F.lit("error").alias("severity"), F.lit(roles.target).alias("field"), "detail")
-        )
-    if roles.target:
-        parts.append(
-            target_summary(df, roles).where("is_imbalanced").select(
-                F.lit("target_imbalance").alias("code"), F.lit("warning").alias("severity"), F.lit(roles.target).alias("field"),
-                F.col("max_min_ratio").cast("string").alias("detail"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+ISSUE = "code string, severity string, field string, detail string"
+
+
+def _counts_detail(counts: list[tuple[str, int]]) -> str:
+    return ",".join(f"{name}={n}" for name, n in counts if n)
+
+
+def quality_issues(df: DataFrame, roles: Roles, max_sort_rows: int = DEFAULT_MAX_SORT_ROWS, similar: bool = True) -> DataFrame:
+    """Issue list (code, severity, field, detail) of a table.
+
+    The counters of all columns come from one wide aggregation, outlier counts
+    from the quartiles and a second one, duplicates from one group, and
+    everything about values from one table of distinct (field, value) pairs.
+    ``similar`` adds one row per field with near-identical spellings.
+    """
+    spark = df.sparkSession
+    fields = numeric_fields(df, roles)
+    cats = _string_cols(df, roles.categorical)
+    cols = list(df.columns)
+    aggs = [F.count(F.lit(1)).alias("_rows"), *[F.count(F.when(_missing(df, c), 1)).alias(f"_m{i}") for i, c in enumerate(cols)]]
+    for i, c in enumerate(cats):
+        v = F.col(c) if isinstance(_dtype(df, c), T.StringType) else F.lit(None).cast("string")
+        aggs += [F.count(F.when(v != strip(v), 1)).alias(f"_w{i}"), F.count(F.when(strip(v) == "", 1)).alias(f"_b{i}")]
+    r = df.agg(*aggs, *_numeric_aggs(df, roles, fields)).first()
+    rows: list[tuple] = []
+
+    # schema: only what the roles do not allow
+    codes = [code for code, _ in _static_schema_issues(df, roles)]
+    if any(r[f"_m{i}"] == r["_rows"] for i in range(len(cols))):
+        codes.append("all_null_columns")
+    allowed = {"missing_columns": roles.allow_missing, "extra_columns": roles.allow_extra, "all_null_columns": roles.allow_all_null}
+    codes = sorted(c for c in codes if not allowed.get(c, False))
+    if codes:
+        rows.append(("schema_invalid", "error", None, ",".join(codes)))
+    missing = sum(r[f"_m{i}"] for i in range(len(cols)))
+    if missing:
+        rows.append(("missing_values", "warning", None, str(missing)))
+
+    extreme = {x["field"]: x["iqr_extreme_count"] for x in iqr_outliers(df, roles, max_sort_rows).collect()}  # one row per column
+    for i, c in enumerate(fields):
+        lo = roles.ranges.get(c, (None, None))[0]
+        detail = _counts_detail([
+            ("negative_count", r[f"neg{i}"]), ("unreasonable_zero_count", r[f"zero{i}"] if lo is not None and lo > 0 else 0),
+            ("infinite_count", r[f"inf{i}"]), ("non_numeric_count", r[f"nonnum{i}"]), ("iqr_extreme_count", extreme.get(c, 0)),
+            ("outside_range_count", r[f"out{i}"]),
+        ])
+        if detail:
+            rows.append(("numeric_quality", "warning", c, detail))
+
+    # values: one distinct table, checkpointed; counts per field come back
+    targets = [roles.target] if roles.target and roles.target in cols else []
+    kept = list(dict.fromkeys([*cats, *targets]))
+    parts: list[DataFrame] = [duplicate_groups(df).agg(F.sum(F.col("multiplicity") - 1).cast("string").alias("detail")).where(F.col("detail").isNotNull()).select(
+        F.lit("duplicate_rows").alias("code"), F.lit("warning").alias("severity"), F.lit(None).cast("string").alias("field"), "detail")]
+    if kept:
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in kept])).alias("_kv")
+        values = checkpoint(df.select(pairs).select("_kv.*").where(F.col("value").isNotNull()).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n")))
+        texts = [c for c in cats if isinstance(_dtype(df, c), T.StringType)]
+        spelled = values.where(F.col("field").isin(texts)).select("field", strip("value").alias("value")).where("value <> ''").distinct()
+        conflicts = spelled.withColumn("folded", casefold("value")).groupBy("field", "folded").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+        conflicts = {x["field"]: x["n"] for x in conflicts.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
+        odd = _not_allowed(values, df, roles)
+        unexpected = {x["field"]: x["n"] for x in odd.groupBy("field").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i, c in enumerate(cats):
+            detail = _counts_detail([
+                ("whitespace_count", r[f"_w{i}"]), ("empty_string_count", r[f"_b{i}"]), ("case_conflicts", conflicts.get(c, 0)),
+                ("unexpected_values", unexpected.get(c, 0) if c in roles.allowed else 0),
+            ])
+            if detail:
+                rows.append(("categorical_quality", "warning", c, detail))
+        if targets and roles.allowed_targets and unexpected.get(roles.target):
+            rows.append(("unexpected_target_values", "error", roles.target, str(unexpected[roles.target])))
+        if targets:
+            t = values.where(F.col("field") == roles.target).agg(F.max("n").alias("hi"), F.min("n").alias("lo"))
+            ratio = F.col("hi") / F.col("lo")
+            parts.append(t.where(ratio >= roles.imbalance_warning).select(
+                F.lit("target_imbalance").alias("code"), F.lit("warning").alias("severity"), F.lit(roles.target).alias("field"), F.round(ratio, 6).cast("string").alias("detail")))
+        if similar:
+            near = _similar(spelled, spark, roles, cats).groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+            parts.append(near.select(F.lit("similar_values").alias("code"), F.lit("warning").alias("severity"), "field",
+                                     F.concat(F.lit("similar_pairs="), F.col("n").cast("string")).alias("detail")))
+    return reduce(DataFrame.unionByName, [spark.createDataFrame(rows, ISSUE), *parts])

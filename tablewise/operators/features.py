@@ -102,8 +102,11 @@ class FittedFeatures:
         return cols
 
     def label_index(self, col: str | None = None):
+        """Index of the label among the train classes; a label that train has not seen raises."""
         lab = F.col(col or self.label).cast("string")
-        return (F.array_position(F.array(*[F.lit(c) for c in self.classes]), lab) - 1).cast("double")
+        at = F.array_position(F.array(*[F.lit(c) for c in self.classes]), lab)
+        unseen = F.raise_error(F.concat(F.lit("label not seen in the train rows: "), F.coalesce(lab, F.lit("NULL"))))
+        return F.when(at > 0, (at - 1).cast("double")).otherwise(unseen.cast("double"))
 
     def transform(self, df: DataFrame, keep: list[str] | None = None, vector: bool = True) -> DataFrame:
         """Append ``features`` (Spark ML vector, or array<double>) and ``label``."""

@@ -4,30 +4,34 @@ Spark's exact ``percentile`` keeps a value->count map per group inside one
 task, and a ``row_number`` window puts a whole group into one task; both break
 when one group holds a third of a 100 TB table.  Here:
 
-* groups with at most ``max_sort_rows`` values are ranked with a window (each
-  window partition is bounded by construction);
-* larger groups are narrowed by histogram passes: each pass is one
-  partial-aggregated ``groupBy(target, bin)`` over the rows still inside the
-  target's bracket and keeps the bin holding the wanted rank, with exact
-  ``count of values below`` bookkeeping.  Once a bracket holds at most
-  ``max_sort_rows`` values (or a single distinct value) it is ranked exactly.
-
-Brackets are tiny tables (one row per wanted rank) and are checkpointed to the
-session's checkpoint folder, which keeps lineage short and survives executor
-loss.  Results are exact; linear interpolation matches numpy/DuckDB
-``quantile_cont``/Spark ``percentile``.
+* groups of at most ``max_sort_rows`` values (a memory bound) are ranked with a
+  window, each window partition being bounded by that number;
+* larger groups are narrowed by sketch passes.  A pass is one aggregation with
+  map-side combination: per wanted rank it counts exactly how many values lie
+  below and inside the current bracket and summarises the inside by
+  ``percentile_approx`` on a fixed grid.  The grid neighbours of the rank, widened by
+  the sketch's error bound, are the next bracket, about ``GRID`` times smaller.
+  Brackets of at most ``max_sort_rows`` values are ranked exactly.  A pass that
+  fails to narrow a bracket raises; nothing falls through.
+
+The bracket table (one row per wanted rank of a large group) is broadcast in
+blocks of at most ``BLOCK_BRACKETS`` rows, so the data side is never shuffled on
+the group key and never broadcast.  Results are exact; linear interpolation
+matches numpy/DuckDB ``quantile_cont``/Spark ``percentile``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from functools import reduce
 
-from ..session import checkpoint, ensure_checkpoint_dir
+from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_MAX_SORT_ROWS = 2_000_000
-_BINS = 4096
-_MAX_PASSES = 64
+DEFAULT_MAX_SORT_ROWS = 200_000
+GRID = 128
+ACCURACY = 10_000  # sketch error: at most 1/ACCURACY of the summarised rows in rank
+BLOCK_BRACKETS = 50_000
 _G = "_grp"
 
 
@@ -37,71 +41,108 @@ def _with_group(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumn(_G, F.lit(0)), [_G]
 
 
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in df.columns if c not in keys])
+
+
+def _match(keys: list[str]):
+    """Join condition on keys under which nulls are equal."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+
+
 def _sorted_pick(d: DataFrame, gk: list[str], targets: DataFrame) -> DataFrame:
+    """Ranks by a window over each group (each bounded by ``max_sort_rows``)."""
     w = Window.partitionBy(*gk).orderBy("_v")
-    ranked = d.select(
-        *gk,
-        "_v",
-        (F.row_number().over(w) - 1).alias("_rank"),
-        (F.rank().over(w) - 1).alias("_below"),
-    )
-    return ranked.join(targets.select(*gk, "_rank"), [*gk, "_rank"]).select(
-        *gk, "_rank", F.col("_v").alias("_value"), "_below"
-    )
+    ranked = d.select(*gk, "_v", (F.row_number().over(w) - 1).alias("_rank"), (F.rank().over(w) - 1).alias("_below"))
+    wanted = _renamed(targets.select(*gk, F.col("_rank").alias("_r_rank")), gk)
+    return ranked.join(wanted, _match(gk) & (F.col("_rank") == F.col("_r_rank"))).select(*gk, "_rank", F.col("_v").alias("_value"), "_below")
+
+
+def _next_bracket(r: Row, grid: list[float]) -> tuple:
+    """The grid neighbours of the wanted rank, widened by the sketch's error."""
+    inside = r["_inside"]
+    margin = 2.0 / ACCURACY
+    at = (r["_rank"] - r["_below"]) / inside
+    low = max((g for g in grid if g <= at - margin), default=None)
+    high = min((g for g in grid if g >= at + margin + 1.0 / inside), default=None)
+    lo = r["_low"] if low is None else r["_sketch"][grid.index(low)]
+    hi = r["_high"] if high is None else r["_sketch"][grid.index(high)]
+    return lo, hi
+
+
+def _narrow(d: DataFrame, gk: list[str], wanted: list[Row], max_sort_rows: int) -> list[tuple]:
+    """Brackets (group..., rank, lo, hi, below, the only value inside or None) of a block of wanted ranks of large groups."""
+    spark = d.sparkSession
+    grid = [i / GRID for i in range(GRID + 1)]
+    key_fields = [d.schema[k] for k in gk]
+    schema = T.StructType([
+        *[T.StructField(f"_r_{f.name}", f.dataType) for f in key_fields], T.StructField("_id", T.LongType()),
+        T.StructField("_from", T.DoubleType()), T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType()),
+    ])
+    # several ranks of a group share a bracket until their brackets part
+    state = {i: {"key": tuple(r[k] for k in gk), "rank": r["_rank"], "lo": None, "hi": None, "from": None, "below": 0, "inside": r["_n"]} for i, r in enumerate(wanted)}
+    done: dict[int, tuple] = {}
+    while state:
+        shared: dict[tuple, list[int]] = {}
+        for i, s in state.items():
+            shared.setdefault((s["key"], s["from"], s["lo"], s["hi"]), []).append(i)
+        rows = [(*key, n, fr, lo, hi) for n, (key, fr, lo, hi) in enumerate(shared)]
+        br = F.broadcast(spark.createDataFrame(rows, schema))
+        v = F.col("_v").cast("double")
+        from_, lo, hi = F.col("_from"), F.col("_lo"), F.col("_hi")
+        reach = (from_.isNull() | (v >= from_)) & (hi.isNull() | (v <= hi))
+        inside = (lo.isNull() | (v >= lo)) & (hi.isNull() | (v <= hi))
+        x = F.when(inside, v)
+        got = (
+            d.join(br, _match(gk) & reach)
+            .groupBy("_id")
+            .agg(F.count_if(~inside).alias("_skipped"), F.count(x).alias("_inside"), F.min(x).alias("_low"), F.max(x).alias("_high"),
+                 F.min(F.when(inside, F.col("_v"))).alias("_least"), F.max(F.when(inside, F.col("_v"))).alias("_most"),
+                 F.percentile_approx(x, grid, ACCURACY).alias("_sketch"))
+            .collect()
+        )
+        by = {r["_id"]: r for r in got}
+        again = {}
+        for n, ids in enumerate(shared.values()):
+            r = by[n]
+            for i in ids:
+                s = state[i]
+                below, inside_n = s["below"] + r["_skipped"], r["_inside"]
+                if not below <= s["rank"] < below + inside_n:
+                    raise RuntimeError("order statistics: a bracket lost its rank (input changed between passes)")
+                single = r["_least"] == r["_most"]
+                if inside_n <= max_sort_rows or single:
+                    done[i] = (*s["key"], s["rank"], r["_low"], r["_high"], below, r["_least"] if single else None)
+                    continue
+                lo_, hi_ = _next_bracket(Row(**r.asDict(), _rank=s["rank"], _below=below), grid)
+                if (s["lo"], s["hi"]) == (lo_, hi_):
+                    raise RuntimeError("order statistics: a pass did not narrow its bracket")
+                again[i] = {"key": s["key"], "rank": s["rank"], "from": r["_low"], "lo": lo_, "hi": hi_, "below": below, "inside": inside_n}
+        state = again
+    return [done[i] for i in sorted(done)]
 
 
 def _bracket_pick(d: DataFrame, gk: list[str], big: DataFrame, max_sort_rows: int) -> DataFrame:
-    groups = big.select(*gk).distinct()
-    stats = d.join(groups, gk, "left_semi").groupBy(*gk).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    br = (
-        big.join(stats, gk)
-        .withColumn("_below", F.lit(0).cast("long"))
-        .withColumn("_inside", F.col("_n").cast("long"))
-        .transform(checkpoint)
-    )
-    tkey = [*gk, "_rank"]
-    for _ in range(_MAX_PASSES):
-        open_ = br.where((F.col("_lo") < F.col("_hi")) & (F.col("_inside") > max_sort_rows))
-        if open_.isEmpty():
-            break
-        j = d.join(open_, gk).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        span = F.col("_hi").cast("double") - F.col("_lo").cast("double")
-        pos = (F.col("_v").cast("double") - F.col("_lo").cast("double")) / span * _BINS
-        j = j.withColumn("_bin", F.least(F.floor(pos), F.lit(_BINS - 1)))
-        hist = j.groupBy(*tkey, "_n", "_below", "_bin").agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bl"), F.max("_v").alias("_bh")
+    spark = d.sparkSession
+    key_fields = [d.schema[k] for k in gk]
+    schema = T.StructType([
+        *[T.StructField(f"_r_{f.name}", f.dataType) for f in key_fields], T.StructField("_want", T.LongType()), T.StructField("_lo", T.DoubleType()),
+        T.StructField("_hi", T.DoubleType()), T.StructField("_before", T.LongType()), T.StructField("_only", d.schema["_v"].dataType),
+    ])
+    wanted = big.collect()  # one row per wanted rank of a group of more than max_sort_rows rows
+    parts = []
+    for begin in range(0, len(wanted), BLOCK_BRACKETS):
+        found = _narrow(d, gk, wanted[begin: begin + BLOCK_BRACKETS], max_sort_rows)
+        br = spark.createDataFrame(found, schema)
+        one = br.where(F.col("_only").isNotNull()).select(
+            *[F.col(f"_r_{k}").alias(k) for k in gk], F.col("_want").alias("_rank"), F.col("_only").alias("_value"), F.col("_before").alias("_below")
         )
-        cw = Window.partitionBy(*tkey).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_cum", F.sum("_c").over(cw))
-        start = F.col("_below") + F.col("_cum") - F.col("_c")
-        chosen = hist.where(
-            (F.col("_rank") >= start) & (F.col("_rank") < F.col("_below") + F.col("_cum"))
-        ).select(
-            *tkey,
-            "_n",
-            F.col("_bl").alias("_lo"),
-            F.col("_bh").alias("_hi"),
-            start.alias("_below"),
-            F.col("_c").alias("_inside"),
-        )
-        kept = br.join(open_.select(*tkey), tkey, "left_anti")
-        br = kept.unionByName(chosen).transform(checkpoint)
-    single = br.where(F.col("_lo") == F.col("_hi")).select(
-        *tkey, F.col("_lo").alias("_value"), "_below"
-    )
-    rest = br.where(F.col("_lo") < F.col("_hi"))
-    j = d.join(rest, gk).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    w = Window.partitionBy(*tkey).orderBy("_v")
-    ranked = j.select(
-        *tkey,
-        "_v",
-        (F.row_number().over(w) - 1 + F.col("_below")).alias("_g_rank"),
-        (F.rank().over(w) - 1 + F.col("_below")).alias("_g_below"),
-    ).where(F.col("_g_rank") == F.col("_rank"))
-    picked = ranked.select(*tkey, F.col("_v").alias("_value"), F.col("_g_below").alias("_below"))
-    return single.unionByName(picked)
+        inside = d.join(F.broadcast(br.where(F.col("_only").isNull())), _match(gk) & F.col("_v").cast("double").between(F.col("_lo"), F.col("_hi")))
+        w = Window.partitionBy(*gk, "_want").orderBy("_v")
+        ranked = inside.select(*gk, "_want", "_v", (F.row_number().over(w) - 1 + F.col("_before")).alias("_at"), (F.rank().over(w) - 1 + F.col("_before")).alias("_below"))
+        picked = ranked.where(F.col("_at") == F.col("_want")).select(*gk, F.col("_want").alias("_rank"), F.col("_v").alias("_value"), "_below")
+        parts += [one, picked]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def order_statistics(
@@ -116,27 +157,25 @@ def order_statistics(
     ``targets`` holds ``keys + [_rank, _n]``: the 0-based rank wanted among the
     group's non-null values and the group's count.  Returns
     ``keys + [_rank, _value, _below]`` where ``_below`` is the number of values
-    strictly smaller than ``_value``.
+    strictly smaller than ``_value``.  Values of large groups are compared as
+    doubles while brackets narrow, which keeps their order.
     """
-    ensure_checkpoint_dir(data.sparkSession)
     keys = list(keys)
     d = data.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     t = targets.select(*keys, "_rank", "_n")
     d, gk = _with_group(d, keys)
     t, _ = _with_group(t, keys)
-    largest = t.agg(F.max("_n")).first()[0]
-    if largest is None:
-        out = _sorted_pick(d.limit(0), gk, t)
-    elif largest <= max_sort_rows:
+    large = t.where(F.col("_n") > max_sort_rows)
+    n_large = large.count()
+    if not n_large:
         out = _sorted_pick(d, gk, t)
     else:
-        t = t.transform(checkpoint)
         small = t.where(F.col("_n") <= max_sort_rows)
-        big = t.where(F.col("_n") > max_sort_rows)
-        small_rows = d.join(small.select(*gk).distinct(), gk, "left_semi")
-        out = _sorted_pick(small_rows, gk, small).unionByName(
-            _bracket_pick(d, gk, big, max_sort_rows)
-        )
+        out = _bracket_pick(d, gk, large, max_sort_rows)
+        if not small.isEmpty():
+            groups = _renamed(large.select(*gk).distinct(), gk)
+            rest = d.join(F.broadcast(groups) if n_large <= BLOCK_BRACKETS else groups, _match(gk), "left_anti")
+            out = out.unionByName(_sorted_pick(rest, gk, small))
     if not keys:
         out = out.drop(_G)
     return out
@@ -176,7 +215,9 @@ def quantiles(
             F.struct(F.lit(1).alias("_side"), F.col("_r1").alias("_rank")),
         )).alias("_s")
     ).select(*keys, "prob", "_f", "_s._side", "_s._rank")
-    j = need.join(stats.select(*keys, "_rank", "_value"), [*keys, "_rank"])
+    right = _renamed(stats.select(*keys, F.col("_rank").alias("_r_rank"), "_value"), keys)
+    same = F.col("_rank") == F.col("_r_rank")
+    j = need.join(right, (_match(keys) & same) if keys else same)
     out = j.groupBy(*keys, "prob", "_f").agg(
         F.max(F.when(F.col("_side") == 0, F.col("_value"))).alias("_v0"),
         F.max(F.when(F.col("_side") == 1, F.col("_value"))).alias("_v1"),

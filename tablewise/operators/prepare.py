@@ -173,49 +173,38 @@ def stratified_split(
     qrows = [(k, counts[k], q[0], q[0] + q[1]) for k, q in quotas.items()]
     label_type = df.schema[label].dataType.simpleString()
     qdf = spark.createDataFrame(qrows, f"_lab {label_type}, _n long, _a long, _b long")
-    hashed = df.withColumn("_h", seeded_hash(key, seed))
-    targets = (
-        qdf.where(F.col("_a") > 0).select(F.col("_lab").alias(label), "_n", (F.col("_a") - 1).alias("_rank"))
-        .unionByName(qdf.where(F.col("_b") > 0).select(F.col("_lab").alias(label), "_n", (F.col("_b") - 1).alias("_rank")))
-        .distinct()
+    # the narrow (label, key, hash) rows serve every fitting pass; the input itself is read once more, for the labels
+    hashed = checkpoint(df.select(F.col(label), F.col(key).alias("_k"), seeded_hash(key, seed).alias("_h")))
+    targets = qdf.select(F.col("_lab").alias(label), "_n", F.explode(F.array(F.col("_a") - 1, F.col("_b") - 1)).alias("_rank"))
+    targets = targets.where(F.col("_rank") >= 0).distinct()
+    stats = order_statistics(hashed, [label], "_h", targets, max_sort_rows).collect()  # two rows per class
+    cut = {(r[label], r["_rank"]): (r["_value"], r["_below"]) for r in stats}
+    # a cut is the (hash, key) of the last row before it; hashes are 60 bits, so few rows share a cut's hash
+    points = [(lab, q - 1, *cut[(lab, q - 1)]) for lab, _, a, b in qrows for q in dict.fromkeys((a, b)) if q > 0]
+    at = spark.createDataFrame(points, f"_lab {label_type}, _rank long, _cut long, _below long")
+    w = Window.partitionBy("_lab", "_rank").orderBy("_k")
+    ties = hashed.join(broadcast_if_small(at, len(points)), (F.col(label) == F.col("_lab")) & (F.col("_h") == F.col("_cut")))
+    last = (
+        ties.withColumn("_at", F.row_number().over(w) - 1 + F.col("_below")).where(F.col("_at") == F.col("_rank")).select("_lab", "_rank", "_k").collect()
     )
-    stats = order_statistics(hashed, [label], "_h", targets, max_sort_rows)
-    # class table: cut points t1 (last train row) and t2 (last validation row)
-    q = qdf.withColumnRenamed("_lab", label)
-    t1 = stats.join(q.select(label, (F.col("_a") - 1).alias("_rank")), [label, "_rank"]).select(
-        label, F.col("_value").alias("_t1"), F.col("_below").alias("_b1")
-    )
-    t2 = stats.join(q.select(label, (F.col("_b") - 1).alias("_rank")), [label, "_rank"]).select(
-        label, F.col("_value").alias("_t2"), F.col("_below").alias("_b2")
-    )
-    # class table (one row per class): quotas and the two cut points
-    cuts = (
-        q.join(t1, [label], "left").join(t2, [label], "left")
-        .select(label, "_a", "_b", "_t1", "_b1", "_t2", "_b2")
-        .transform(checkpoint)
-    )
-    j = hashed.join(broadcast_if_small(cuts, len(qrows)), [label])
-    is_tie = (F.col("_h") == F.col("_t1")) | (F.col("_h") == F.col("_t2"))
-    # position p of a row in (hash, key) order compared with A and B
-    def label_of(in_train, in_val_or_train):
-        return F.when(in_train, "train").when(in_val_or_train, "validation").otherwise("test")
-
-    plain = j.where(~is_tie | is_tie.isNull()).withColumn(
-        "split",
-        label_of(
-            F.coalesce(F.col("_h") < F.col("_t1"), F.lit(False)),
-            F.coalesce(F.col("_h") < F.col("_t2"), F.lit(False)),
-        ),
+    key_of = {(r["_lab"], r["_rank"]): r["_k"] for r in last}
+    key_type = df.schema[key].dataType.simpleString()
+
+    def point(lab, q):
+        return (cut[(lab, q - 1)][0], key_of[(lab, q - 1)]) if q > 0 else (None, None)
+
+    cuts = spark.createDataFrame(
+        [(lab, *point(lab, a), *point(lab, b)) for lab, _, a, b in qrows],
+        f"_lab {label_type}, _t1 long, _k1 {key_type}, _t2 long, _k2 {key_type}",
     )
-    # rows sharing a 60-bit hash with a cut point: order the (tiny) tie groups by key
-    ties = j.where(is_tie)
-    tw = Window.partitionBy(label, "_h").orderBy(key)
-    ties = ties.withColumn("_tr", F.row_number().over(tw) - 1)
-    in_a = (F.col("_h") < F.col("_t1")) | ((F.col("_h") == F.col("_t1")) & (F.col("_b1") + F.col("_tr") < F.col("_a")))
-    in_b = (F.col("_h") < F.col("_t2")) | ((F.col("_h") == F.col("_t2")) & (F.col("_b2") + F.col("_tr") < F.col("_b")))
-    ties = ties.withColumn("split", label_of(F.coalesce(in_a, F.lit(False)), F.coalesce(in_b, F.lit(False))))
-    cols = [*df.columns, "split"]
-    return plain.select(*cols).unionByName(ties.select(*cols))
+    h = F.col("_h")
+
+    def upto(t, k):
+        return F.coalesce((h < F.col(t)) | ((h == F.col(t)) & (F.col(key) <= F.col(k))), F.lit(False))
+
+    placed = df.withColumn("_h", seeded_hash(key, seed)).join(broadcast_if_small(cuts, len(qrows)), F.col(label) == F.col("_lab"))
+    split = F.when(upto("_t1", "_k1"), "train").when(upto("_t2", "_k2"), "validation").otherwise("test")
+    return placed.withColumn("split", split).select(*df.columns, "split")
 
 
 def split_select(df_with_split: DataFrame, split: str) -> DataFrame:

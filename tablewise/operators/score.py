@@ -45,18 +45,18 @@ def input_metadata(train: DataFrame, numeric: list[str], categorical: list[str],
         # only its distinct categories
         long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v"))
                                                 for c in categorical])).alias("_kv")).select("_kv.*").where(F.col("v").isNotNull())
-        opts = long.distinct().groupBy("f").agg(F.array_join(F.array_sort(F.collect_list("v")), "|").alias("o")).collect()
+        opts = long.distinct().groupBy("f").agg(F.array_sort(F.collect_list("v")).alias("o")).collect()
         got = {r["f"]: r["o"] for r in opts}
-        wide = wide.select("*", *[F.lit(got.get(c)).cast("string").alias(f"op{j}") for j, c in enumerate(categorical)])
+        wide = wide.select("*", *[F.array(*[F.lit(v) for v in got.get(c, [])]).cast("array<string>").alias(f"op{j}") for j, c in enumerate(categorical)])
     items = []
     for i, c in enumerate(numeric):
         if c in configured:
             lo, hi = configured[c]
             items.append(F.struct(F.lit(c).alias("field"), F.lit("numeric").alias("kind"), F.lit(float(lo)).alias("minimum"),
-                                  F.lit(float(hi)).alias("maximum"), F.lit("schema_config").alias("source"), F.lit(None).cast("string").alias("options")))
+                                  F.lit(float(hi)).alias("maximum"), F.lit("schema_config").alias("source"), F.lit(None).cast("array<string>").alias("options")))
         else:
             items.append(F.struct(F.lit(c).alias("field"), F.lit("numeric").alias("kind"), F.col(f"lo{i}").alias("minimum"),
-                                  F.col(f"hi{i}").alias("maximum"), F.lit("training_data").alias("source"), F.lit(None).cast("string").alias("options")))
+                                  F.col(f"hi{i}").alias("maximum"), F.lit("training_data").alias("source"), F.lit(None).cast("array<string>").alias("options")))
     for j, c in enumerate(categorical):
         items.append(F.struct(F.lit(c).alias("field"), F.lit("categorical").alias("kind"), F.lit(None).cast("double").alias("minimum"),
                               F.lit(None).cast("double").alias("maximum"), F.lit("training_data").alias("source"), F.col(f"op{j}").alias("options")))
@@ -67,19 +67,36 @@ def metadata_from_table(meta: DataFrame, numeric: list[str], categorical: list[s
     """Collect the (one row per column) metadata table into the driver-side contract."""
     rows = {r["field"]: r for r in meta.collect()}
     ranges = {c: (rows[c]["minimum"], rows[c]["maximum"], rows[c]["source"]) for c in numeric}
-    options = {c: tuple((rows[c]["options"] or "").split("|")) for c in categorical}
+    options = {c: tuple(rows[c]["options"] or ()) for c in categorical}
     return InputMetadata(tuple([*numeric, *categorical]), tuple(numeric), tuple(categorical), ranges, options)
 
 
-def check_columns(df: DataFrame, meta: InputMetadata) -> list[str]:
-    """Schema-level rules (missing / unknown columns), evaluated on the driver."""
+def check_columns(df: DataFrame, meta: InputMetadata, key: str | None = None) -> list[str]:
+    """Schema-level rules, evaluated on the driver: missing and unknown columns, and
+    columns for which the metadata has no range or no options.  ``key`` names the
+    row key, which is no input."""
     issues = []
     missing = [c for c in meta.input_columns if c not in df.columns]
     if missing:
         issues.append("missing_columns:" + ",".join(missing))
+    unknown = [c for c in df.columns if c not in meta.input_columns and c != key]
+    if unknown:
+        issues.append("unknown_columns:" + ",".join(unknown))
+    no_range = [c for c in meta.numeric_columns if c not in meta.numeric_ranges or None in meta.numeric_ranges[c][:2]]
+    if no_range:
+        issues.append("missing_range:" + ",".join(no_range))
+    no_options = [c for c in meta.categorical_columns if not meta.categorical_options.get(c)]
+    if no_options:
+        issues.append("missing_options:" + ",".join(no_options))
     return issues
 
 
+def require_columns(df: DataFrame, meta: InputMetadata, key: str | None = None) -> None:
+    issues = check_columns(df, meta, key)
+    if issues:
+        raise ValidationError("; ".join(issues))
+
+
 def rule_errors(df: DataFrame, meta: InputMetadata):
     """Ordered error codes per row: missing value, non-numeric/non-finite,
     out of range, invalid option.  Returns an array<string> column."""
@@ -104,15 +121,14 @@ def rule_errors(df: DataFrame, meta: InputMetadata):
 
 def validate_records(df: DataFrame, key: str, meta: InputMetadata) -> DataFrame:
     """Per row ``errors`` (comma-joined, in rule order) and ``is_valid``."""
-    issues = check_columns(df, meta)
-    if issues:
-        raise ValidationError("; ".join(issues))
+    require_columns(df, meta, key)
     errs = rule_errors(df, meta)
     return df.select(key, F.array_join(errs, ",").alias("errors"), (F.size(errs) == 0).alias("is_valid"))
 
 
 def rejected_by_rule(df: DataFrame, key: str, meta: InputMetadata) -> DataFrame:
     """Number of rows breaking each (rule, field)."""
+    require_columns(df, meta, key)
     errs = rule_errors(df, meta)
     exploded = df.select(F.explode(errs).alias("e"))
     parts = F.split(F.col("e"), ":")
@@ -120,10 +136,13 @@ def rejected_by_rule(df: DataFrame, key: str, meta: InputMetadata) -> DataFrame:
 
 
 def split_valid(df: DataFrame, key: str, meta: InputMetadata, mode: str = "quarantine"):
-    """Quarantine: (valid rows, rejected rows with errors).  Strict: raise on any rejection."""
+    """Quarantine: (valid rows, rejected rows with errors).  Strict: raise on any rejection or on no rows."""
+    require_columns(df, meta, key)
     errs = rule_errors(df, meta)
     tagged = df.withColumn("errors", errs)
     if mode == "strict":
+        if df.isEmpty():
+            raise ValidationError("input rejected: no rows")
         first = tagged.where(F.size("errors") > 0).select(F.col("errors")[0]).limit(1).collect()
         if first:
             raise ValidationError(f"input rejected: {first[0][0]}")
@@ -131,27 +150,50 @@ def split_valid(df: DataFrame, key: str, meta: InputMetadata, mode: str = "quara
     return tagged.where(F.size("errors") == 0).drop("errors"), tagged.where(F.size("errors") > 0)
 
 
-def probability_violations(df: DataFrame, key: str, prob_cols: list[str], atol: float = 1e-6) -> DataFrame:
-    """Per row violations of a probability matrix: non-finite, outside [0,1],
-    row sum not within atol of 1.  Returns ``(key, violation)`` rows."""
-    arr = F.array(*[F.col(c).cast("double") for c in prob_cols])
+# A row sum is close to 1 within the absolute plus the relative tolerance.
+ATOL, RTOL = 1e-6, 1e-5
+
+
+def violations(arr, n_classes: int | None = None):
+    """Codes of the rules that an array of probabilities breaks (array column):
+    wrong number of classes, non-finite, outside [0, 1], row sum not close to 1."""
     nonfinite = F.exists(arr, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     out_of_range = F.exists(arr, lambda v: (v < 0) | (v > 1))
     total = F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
-    bad_sum = F.abs(total - F.lit(1.0)) > F.lit(atol)
-    v = F.array_compact(
+    bad_sum = F.abs(total - F.lit(1.0)) > F.lit(ATOL + RTOL)
+    shape = F.lit(False) if n_classes is None else F.coalesce(F.size(arr) != n_classes, F.lit(True)) | arr.isNull()
+    return F.array_compact(
         F.array(
+            F.when(shape, F.lit("class_count")),
             F.when(nonfinite, F.lit("non_finite")),
             F.when(~nonfinite & out_of_range, F.lit("out_of_range")),
             F.when(~nonfinite & bad_sum, F.lit("row_sum")),
         )
     )
-    return df.select(key, F.explode(v).alias("violation"))
 
 
-def assemble_predictions(df: DataFrame, key: str, prob_cols: list[str], classes: list[str], model_name: str | None = None) -> DataFrame:
-    """Argmax class (first maximum), highest probability, class->probability map."""
+def probability_violations(df: DataFrame, key: str, prob_cols: list[str]) -> DataFrame:
+    """``(key, violation)`` rows of a probability matrix held in columns."""
     arr = F.array(*[F.col(c).cast("double") for c in prob_cols])
+    return df.select(key, F.explode(violations(arr)).alias("violation"))
+
+
+def check_probabilities(probs: DataFrame, inputs: DataFrame, key: str, n_classes: int, col: str = "probability") -> None:
+    """Raise unless every input row has one row of ``n_classes`` valid probabilities."""
+    v = violations(F.col(col), n_classes)
+    r = probs.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.size(v) > 0, v[0])).alias("bad")).first()
+    if r["bad"] is not None:
+        raise ValidationError(f"probabilities rejected: {r['bad']}")
+    rows = inputs.count()
+    if r["n"] != rows:
+        raise ValidationError(f"probabilities rejected: row_count {r['n']} of {rows}")
+
+
+def assemble_predictions(df: DataFrame, key: str, prob_cols: list[str] | str, classes: list[str], model_name: str | None = None) -> DataFrame:
+    """Argmax class (first maximum), highest probability, class->probability map.
+
+    ``prob_cols`` are the probability columns, or the name of one array column."""
+    arr = F.array(*[F.col(c).cast("double") for c in prob_cols]) if not isinstance(prob_cols, str) else F.col(prob_cols)
     idx = F.array_position(arr, F.array_max(arr))
     cls = F.element_at(F.array(*[F.lit(c) for c in classes]), idx.cast("int"))
     out = df.select(

@@ -278,10 +278,62 @@ def q_schema_issues(spark, sf):
     return audit.schema_issues(_od(spark, sf), SCHEMA_ROLES)
 
 
-@register("quality_issues")
+def _issues_sql() -> str:
+    cols = ["o_orderkey", "price_txt", "price", "status", "priority"]
+    miss = " + ".join(f"count_if({c} IS NULL{' OR isnan(price)' if c == 'price' else ''})" for c in cols)
+    all_null = " OR ".join(f"count({c}) = 0" for c in cols)
+    parts = [
+        f"""SELECT 'schema_invalid' AS code, 'error' AS severity, CAST(NULL AS VARCHAR) AS field, concat_ws(',', a, 'numeric_type_mismatch') AS detail
+  FROM (SELECT CASE WHEN {all_null} THEN 'all_null_columns' END AS a FROM orders_dirty) z""",
+        f"SELECT 'missing_values', 'warning', NULL, CAST(CAST(m AS BIGINT) AS VARCHAR) FROM (SELECT {miss} AS m FROM orders_dirty) z WHERE m > 0",
+        """SELECT 'duplicate_rows', 'warning', NULL, CAST(CAST(d AS BIGINT) AS VARCHAR) FROM (SELECT coalesce(sum(c - 1), 0) AS d FROM (
+  SELECT count(*) AS c FROM orders_dirty GROUP BY ALL HAVING true) g) z WHERE d > 0""".replace("GROUP BY ALL HAVING true", "GROUP BY " + ", ".join(cols)),
+    ]
+    for c, t in OD_NUMERIC:
+        x, fin = _sql_num(c, t), _sql_fin(c, t)
+        lo, hi = ORDERS_DIRTY.ranges.get(c, (None, None))
+        counts = [("negative_count", f"count_if({fin} < 0)")]
+        if lo is not None and lo > 0:
+            counts.append(("unreasonable_zero_count", f"count_if({fin} = 0)"))
+        counts += [("infinite_count", f"count_if(isinf({x}))"), ("non_numeric_count", f"count_if({c} IS NOT NULL AND {x} IS NULL)")]
+        if c != "o_orderkey":
+            counts.append(("iqr_extreme_count", f"count_if({fin} < q1 - 1.5 * (q3 - q1) OR {fin} > q3 + 1.5 * (q3 - q1))"))
+        if lo is not None:
+            counts.append(("outside_range_count", f"count_if({fin} < {lo} OR {fin} > {hi})"))
+        text = ", ".join(f"CASE WHEN {n} > 0 THEN '{n}=' || CAST({n} AS VARCHAR) END" for n, _ in counts)
+        inner = ", ".join(f"{e} AS {n}" for n, e in counts)
+        parts.append(
+            f"SELECT 'numeric_quality', 'warning', '{c}', d FROM (SELECT concat_ws(',', {text}) AS d FROM (SELECT {inner} FROM orders_dirty, "
+            f"(SELECT quantile_cont({fin}, 0.25) AS q1, quantile_cont({fin}, 0.75) AS q3 FROM orders_dirty) q) y) z WHERE d <> ''"
+        )
+    cat = [
+        ("whitespace_count", f"SELECT count_if(status <> {_S}) FROM orders_dirty"), ("empty_string_count", f"SELECT count_if({_S} = '') FROM orders_dirty"),
+        ("case_conflicts", f"SELECT count(*) FROM (SELECT lower(v) FROM (SELECT DISTINCT {_S} AS v FROM orders_dirty WHERE status IS NOT NULL AND {_S} <> '') d GROUP BY lower(v) HAVING count(*) > 1) g"),
+        ("unexpected_values", "SELECT count(DISTINCT status) FROM orders_dirty WHERE status NOT IN ('F', 'O', 'P')"),
+    ]
+    text = ", ".join(f"CASE WHEN ({e}) > 0 THEN '{n}=' || CAST(({e}) AS VARCHAR) END" for n, e in cat)
+    parts.append(f"SELECT 'categorical_quality', 'warning', 'status', d FROM (SELECT concat_ws(',', {text}) AS d) z WHERE d <> ''")
+    parts.append(
+        "SELECT 'unexpected_target_values', 'error', 'priority', CAST(n AS VARCHAR) FROM (SELECT count(DISTINCT priority) AS n FROM orders_dirty "
+        "WHERE priority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) z WHERE n > 0"
+    )
+    parts.append(
+        "SELECT 'target_imbalance', 'warning', 'priority', CAST(round(hi / lo, 6) AS VARCHAR) FROM (SELECT max(n) AS hi, min(n) AS lo FROM "
+        "(SELECT count(*) AS n FROM orders_dirty WHERE priority IS NOT NULL GROUP BY priority) c) z WHERE hi / lo >= 1.5"
+    )
+    return OD + "\nUNION ALL\n".join(parts)
+
+
+@register("quality_issues", _issues_sql())
 def q_quality_issues(spark, sf):
-    """Issue list (code, severity, field, detail) assembled from all audit tables."""
-    return audit.quality_issues(_od(spark, sf), ORDERS_DIRTY)
+    """Issue list (code, severity, field, detail) of the dirty orders, without the similar-spelling rows."""
+    return audit.quality_issues(_od(spark, sf), ORDERS_DIRTY, similar=False)
+
+
+@register("similar_issues")
+def q_similar_issues(spark, sf):
+    """The issue rows that count similar spellings per field."""
+    return audit.quality_issues(_od(spark, sf), ORDERS_DIRTY).where("code = 'similar_values'")
 
 
 @register(

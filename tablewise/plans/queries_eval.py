@@ -271,30 +271,35 @@ def q_ranked_probabilities(spark, sf):
 
 
 # ---------------------------------------------------------------- scoring validation
+def _train_rows(spark, sf):
+    return ml_split(spark, sf).where(F.col("split") == "train")
+
+
 def _records_meta(spark, sf):
-    ml = spark_view(spark, sf, "ml_orders")
-    meta_df = score.input_metadata(ml, ["price", "balance"], ["status", "segment"])
+    meta_df = score.input_metadata(_train_rows(spark, sf), ["price", "balance"], ["status", "segment"])
     return score.metadata_from_table(meta_df, ["price", "balance"], ["status", "segment"])
 
 
 @register(
     "input_metadata",
-    duck_cte("ml_orders")
-    + """SELECT 'price' AS field, 'numeric' AS kind, min(price) AS minimum, max(price) AS maximum, 'training_data' AS source, CAST(NULL AS VARCHAR) AS options FROM ml_orders
-UNION ALL SELECT 'balance', 'numeric', min(balance), max(balance), 'training_data', NULL FROM ml_orders
-UNION ALL SELECT 'status', 'categorical', NULL, NULL, 'training_data', string_agg(DISTINCT status, '|' ORDER BY status) FROM ml_orders
-UNION ALL SELECT 'segment', 'categorical', NULL, NULL, 'training_data', string_agg(DISTINCT segment, '|' ORDER BY segment) FROM ml_orders""",
+    split_cte()
+    + """, tr AS (SELECT * FROM split WHERE split = 'train')
+SELECT 'price' AS field, 'numeric' AS kind, min(price) AS minimum, max(price) AS maximum, 'training_data' AS source, CAST(NULL AS VARCHAR) AS options FROM tr
+UNION ALL SELECT 'balance', 'numeric', min(balance), max(balance), 'training_data', NULL FROM tr
+UNION ALL SELECT 'status', 'categorical', NULL, NULL, 'training_data', CAST(to_json(list(DISTINCT status ORDER BY status)) AS VARCHAR) FROM tr
+UNION ALL SELECT 'segment', 'categorical', NULL, NULL, 'training_data', CAST(to_json(list(DISTINCT segment ORDER BY segment)) AS VARCHAR) FROM tr""",
 )
 def q_input_metadata(spark, sf):
-    """Scoring contract from the data: numeric min/max and sorted category options."""
-    return score.input_metadata(spark_view(spark, sf, "ml_orders"), ["price", "balance"], ["status", "segment"])
+    """Scoring contract from the train rows: numeric min/max and sorted category options (as JSON)."""
+    meta = score.input_metadata(_train_rows(spark, sf), ["price", "balance"], ["status", "segment"])
+    return meta.withColumn("options", F.to_json("options"))
 
 
 def _rules_sql() -> str:
-    m = "(SELECT min(price) AS plo, max(price) AS phi, min(balance) AS blo, max(balance) AS bhi FROM ml_orders)"
+    m = "(SELECT min(price) AS plo, max(price) AS phi, min(balance) AS blo, max(balance) AS bhi FROM tr)"
     return (
-        REC
-        + f""", meta AS {m}, e AS (SELECT row_id, list_filter([
+        split_cte("records")
+        + f""", tr AS (SELECT * FROM split WHERE split = 'train'), meta AS {m}, e AS (SELECT row_id, list_filter([
   CASE WHEN price IS NULL THEN 'missing:price' END,
   CASE WHEN balance IS NULL THEN 'missing:balance' END,
   CASE WHEN status IS NULL OR trim(regexp_replace(status, '\\s', ' ', 'g')) = '' THEN 'missing:status' END,
@@ -303,8 +308,8 @@ def _rules_sql() -> str:
   CASE WHEN isfinite(price) AND (price < plo OR price > phi) THEN 'out_of_range:price' END,
   CASE WHEN balance IS NOT NULL AND NOT isfinite(balance) THEN 'non_numeric:balance' END,
   CASE WHEN isfinite(balance) AND (balance < blo OR balance > bhi) THEN 'out_of_range:balance' END,
-  CASE WHEN status IS NOT NULL AND status NOT IN (SELECT DISTINCT status FROM ml_orders) THEN 'invalid_option:status' END,
-  CASE WHEN segment IS NOT NULL AND segment NOT IN (SELECT DISTINCT segment FROM ml_orders) THEN 'invalid_option:segment' END
+  CASE WHEN status IS NOT NULL AND status NOT IN (SELECT DISTINCT status FROM tr) THEN 'invalid_option:status' END,
+  CASE WHEN segment IS NOT NULL AND segment NOT IN (SELECT DISTINCT segment FROM tr) THEN 'invalid_option:segment' END
   ], lambda x: x IS NOT NULL) AS errs FROM records, meta)
 """
     )
@@ -330,7 +335,7 @@ def q_rejected_by_rule(spark, sf):
     PROB
     + """, v AS (SELECT row_id, NOT (isfinite(p1) AND isfinite(p2) AND isfinite(p3) AND isfinite(p4)) AS nf,
   (p1 < 0 OR p1 > 1 OR p2 < 0 OR p2 > 1 OR p3 < 0 OR p3 > 1 OR p4 < 0 OR p4 > 1) AS oor,
-  abs(p1 + p2 + p3 + p4 - 1.0) > 1e-6 AS bs FROM probabilities)
+  abs(p1 + p2 + p3 + p4 - 1.0) > 1e-6 + 1e-5 AS bs FROM probabilities)
 SELECT row_id, 'non_finite' AS violation FROM v WHERE nf
 UNION ALL SELECT row_id, 'out_of_range' FROM v WHERE NOT nf AND oor
 UNION ALL SELECT row_id, 'row_sum' FROM v WHERE NOT nf AND bs""",
@@ -344,9 +349,11 @@ def q_probability_violations(spark, sf):
     "assemble_predictions",
     PROB
     + """SELECT row_id, CASE WHEN p1 >= greatest(p2, p3, p4) THEN 'T1' WHEN p2 >= greatest(p3, p4) THEN 'T2' WHEN p3 >= p4 THEN 'T3' ELSE 'T4' END AS predicted_class,
-  round(greatest(p1, p2, p3, p4), 6) AS highest_probability FROM probabilities""",
+  round(greatest(p1, p2, p3, p4), 6) AS highest_probability, c.class, round(c.p, 6) AS probability
+FROM probabilities, unnest([{'class': 'T1', 'p': p1}, {'class': 'T2', 'p': p2}, {'class': 'T3', 'p': p3}, {'class': 'T4', 'p': p4}]) AS u(c)""",
 )
 def q_assemble_predictions(spark, sf):
-    """Argmax class (first maximum) and highest probability per row."""
+    """Argmax class (first maximum), highest probability and the class -> probability map in long form."""
     out = score.assemble_predictions(spark_view(spark, sf, "probabilities"), "row_id", ["p1", "p2", "p3", "p4"], CLASSES4)
-    return out.drop("probabilities")
+    long = out.select("row_id", "predicted_class", "highest_probability", F.explode("probabilities").alias("class", "probability"))
+    return long.withColumn("probability", F.round("probability", 6))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
+from ..operators import score
+from ..session import checkpoint
 from .catalog import register
 from .fixtures import spark_view
 from .queries_prepare import ml_split, split_cte
@@ -12,16 +16,45 @@ from .queries_prepare import ml_split, split_cte
 NUM = ["price", "balance"]
 CAT = ["status", "segment"]
 N_BINS = 20
-_FIT_CACHE: dict = {}
+
+
+class Prep:
+    """Split, fitted features and prepared rows of ``ml_orders`` for one query.
+
+    The split is written to the checkpoint folder once and everything is
+    fitted and transformed from there.  Nothing outlives the object: a query
+    on changed tables fits anew."""
+
+    def __init__(self, spark, sf, strategy: str = "quantile"):
+        self.spark, self.sf, self.strategy = spark, sf, strategy
+
+    @cached_property
+    def split(self):
+        return checkpoint(ml_split(self.spark, self.sf))
+
+    def rows(self, name: str):
+        return self.split.where(F.col("split") == name)
+
+    @cached_property
+    def fitted(self) -> feat.FittedFeatures:
+        return feat.fit_features(self.rows("train"), NUM, CAT, "tier", N_BINS, self.strategy)
+
+    @cached_property
+    def prepared(self):
+        """All rows with split, features vector and label (fitted on train only)."""
+        return checkpoint(self.fitted.transform(self.split, keep=["row_id", "split"]))
+
+    def part(self, name: str):
+        return self.prepared.where(F.col("split") == name)
+
+    @cached_property
+    def meta(self) -> score.InputMetadata:
+        """Scoring contract from the train rows."""
+        return score.metadata_from_table(score.input_metadata(self.rows("train"), NUM, CAT), NUM, CAT)
 
 
 def fitted(spark, sf, strategy: str = "quantile") -> feat.FittedFeatures:
-    """Fit once per session/tables/strategy; parameters are small driver-side values."""
-    key = (id(spark), sf, strategy)
-    if key not in _FIT_CACHE:
-        train = ml_split(spark, sf).where(F.col("split") == "train")
-        _FIT_CACHE[key] = feat.fit_features(train, NUM, CAT, "tier", N_BINS, strategy)
-    return _FIT_CACHE[key]
+    return Prep(spark, sf, strategy).fitted
 
 
 TRAIN = split_cte() + ", tr AS (SELECT * FROM split WHERE split = 'train'),\nmed AS (SELECT quantile_cont(price, 0.5) AS m_price, quantile_cont(balance, 0.5) AS m_balance FROM tr)\n"
@@ -183,9 +216,8 @@ def _matrix_sql(te_source: str = "SELECT * FROM split WHERE split = 'test'", ext
 @register("feature_matrix", _matrix_sql())
 def q_feature_matrix(spark, sf):
     """The full fitted feature matrix of the test split in long form (row, feature, value)."""
-    f = fitted(spark, sf)
-    test = ml_split(spark, sf).where(F.col("split") == "test")
-    return f.long_form(test, "row_id")
+    prep = Prep(spark, sf)
+    return prep.fitted.long_form(prep.rows("test"), "row_id")
 
 
 @register("transform_test", _matrix_sql("SELECT * FROM records", ("records",)))
@@ -200,5 +232,5 @@ def q_transform_test(spark, sf):
 @register("nonfinite_features", split_cte() + "SELECT CAST(0 AS BIGINT) AS nonfinite_rows, count(*) AS rows FROM split")
 def q_nonfinite_features(spark, sf):
     """The transformed matrix of every split must be finite (count of bad rows)."""
-    f = fitted(spark, sf)
-    return feat.nonfinite_features(f.transform(ml_split(spark, sf), keep=["row_id"], vector=False))
+    prep = Prep(spark, sf)
+    return feat.nonfinite_features(prep.fitted.transform(prep.split, keep=["row_id"], vector=False))

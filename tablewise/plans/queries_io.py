@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +18,7 @@ from ..sources import csv as csvsrc
 from ..sources import files, results
 from .catalog import register
 from .fixtures import duck_cte, spark_view
+from .queries_prepare import split_cte
 from ..functions.exprs import broadcast_if_small
 
 OD = duck_cte("orders_dirty")
@@ -72,9 +72,12 @@ def q_file_fingerprint(spark, sf):
 @register(
     "content_fingerprint",
     """SELECT count(*) AS row_count, CAST(sum(h) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM (
-  SELECT CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), '\\N'), coalesce(CAST(o_custkey AS VARCHAR), '\\N'),
-    coalesce(CAST(o_orderstatus AS VARCHAR), '\\N'), coalesce(CAST(o_totalprice AS VARCHAR), '\\N'), coalesce(CAST(o_orderdate AS VARCHAR), '\\N'),
-    coalesce(CAST(o_orderpriority AS VARCHAR), '\\N'))), 1, 15)) AS BIGINT) AS h FROM orders) z""",
+  SELECT CAST(('0x' || substr(md5(concat_ws('|', """
+    + ", ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    )
+    + """)), 1, 15)) AS BIGINT) AS h FROM orders) z""",
 )
 def q_content_fingerprint(spark, sf):
     """A4: order-free content fingerprint of the orders table (unchanged-input guard)."""
@@ -127,12 +130,12 @@ FROM split GROUP BY split"""
 @register("prepared_sink", _prepared_sink_sql())
 def q_prepared_sink(spark, sf):
     """Prepared rows written partitioned by split with feature metadata, read back per split."""
-    from .queries_features import fitted
-    from .queries_model import prepared
+    from .queries_features import Prep
 
-    f = fitted(spark, sf)
+    prep = Prep(spark, sf)
+    f = prep.fitted
     path = _scratch(spark, "prepared")
-    out = prepared(spark, sf).select("row_id", "split", F.col("label"), F.col("features"))
+    out = prep.prepared.select("row_id", "split", F.col("label"), F.col("features"))
     results.write_prepared(out, path, {"features": f.feature_names(), "classes": f.classes, "fit_scope": "training_only"})
     rows, meta = results.read_prepared(spark, path)
     return rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).withColumn("feature_count", F.lit(len(meta["features"])).cast("long"))
@@ -140,22 +143,19 @@ def q_prepared_sink(spark, sf):
 
 @register("model_bundle")
 def q_model_bundle(spark, sf):
-    """The chosen logistic model saved with its fitted features, reloaded, and used on the test split."""
+    """The chosen logistic model saved as a bundle, reloaded, and used to score the test rows' raw columns."""
     from ..operators import metrics
-    from ..operators.features import FittedFeatures
-    from ..operators import train as tr
-    from .queries_features import fitted
-    from .queries_model import _split, logistic_search
+    from ..operators.predictor import Predictor, bundle_of
+    from .queries_model import Trained
 
-    f = fitted(spark, sf)
-    _, model, _ = logistic_search(spark, sf)
+    t = Trained(spark, sf)
     path = _scratch(spark, "bundle")
-    results.save_bundle(model, f.to_json(), path, {"model_name": "spark_logistic"})
-    m2, meta = results.load_bundle(spark, path, LogisticRegressionModel)
-    f2 = FittedFeatures(**meta["features"])
-    test = _split(spark, sf, "test")
-    pred = tr.predict_labels(m2, test, f2.classes)
-    return metrics.evaluate(pred, "y", "p", f2.classes).withColumn("model", F.lit(meta["model_name"]))
+    results.save_bundle(spark, path, bundle_of("spark_logistic", t.fitted, t.meta), t.logistic[1])
+    saved = Predictor(spark, path)
+    test = t.rows("test")
+    done, _ = saved.predict(test.select("row_id", *saved.meta.input_columns), "row_id", mode="quarantine")
+    pred = done.join(test.select("row_id", F.col("tier").alias("y")), "row_id").select("y", F.col("predicted_class").alias("p"))
+    return metrics.evaluate(pred, "y", "p", saved.classes).withColumn("model", F.lit(saved.name))
 
 
 @register("example_row", ML + "SELECT row_id, price, balance, status, segment FROM ml_orders WHERE row_id = (SELECT min(row_id) FROM ml_orders)")
@@ -226,21 +226,20 @@ def _records_source(spark, sf) -> tuple[str, T.StructType]:
 def q_stream_score(spark, sf):
     """Streaming M11: records arrive as files; valid rows are scored by the chosen model, exactly once per file."""
     from ..streaming.scoring import stream_score
-    from .queries_eval import _records_meta
-    from .queries_features import fitted
-    from .queries_model import logistic_search
+    from .queries_model import Trained
 
     src, schema = _records_source(spark, sf)
-    _, model, _ = logistic_search(spark, sf)
+    t = Trained(spark, sf)
     out = _scratch(spark, "stream_out")
-    scored, _rejected = stream_score(spark, src, schema, "row_id", _records_meta(spark, sf), fitted(spark, sf), model, out)
+    scored, _rejected = stream_score(spark, src, schema, "row_id", t.meta, t.fitted, t.logistic[1], out)
     return spark.read.parquet(scored)
 
 
 @register(
     "stream_rule_counts",
-    duck_cte("records", "ml_orders")
-    + """, meta AS (SELECT min(price) AS plo, max(price) AS phi, min(balance) AS blo, max(balance) AS bhi FROM ml_orders),
+    split_cte("records")
+    + """, tr AS (SELECT * FROM split WHERE split = 'train'),
+meta AS (SELECT min(price) AS plo, max(price) AS phi, min(balance) AS blo, max(balance) AS bhi FROM tr),
 e AS (SELECT list_filter([
   CASE WHEN price IS NULL THEN 'missing:price' END, CASE WHEN balance IS NULL THEN 'missing:balance' END,
   CASE WHEN status IS NULL OR trim(regexp_replace(status, '\\s', ' ', 'g')) = '' THEN 'missing:status' END,
@@ -249,8 +248,8 @@ e AS (SELECT list_filter([
   CASE WHEN isfinite(price) AND (price < plo OR price > phi) THEN 'out_of_range:price' END,
   CASE WHEN balance IS NOT NULL AND NOT isfinite(balance) THEN 'non_numeric:balance' END,
   CASE WHEN isfinite(balance) AND (balance < blo OR balance > bhi) THEN 'out_of_range:balance' END,
-  CASE WHEN status IS NOT NULL AND status NOT IN (SELECT DISTINCT status FROM ml_orders) THEN 'invalid_option:status' END,
-  CASE WHEN segment IS NOT NULL AND segment NOT IN (SELECT DISTINCT segment FROM ml_orders) THEN 'invalid_option:segment' END
+  CASE WHEN status IS NOT NULL AND status NOT IN (SELECT DISTINCT status FROM tr) THEN 'invalid_option:status' END,
+  CASE WHEN segment IS NOT NULL AND segment NOT IN (SELECT DISTINCT segment FROM tr) THEN 'invalid_option:segment' END
   ], lambda x: x IS NOT NULL) AS errs FROM records, meta)
 SELECT split_part(x, ':', 1) AS rule, split_part(x, ':', 2) AS field, count(*) AS rejected_rows FROM (SELECT unnest(errs) AS x FROM e) u GROUP BY ALL""",
 )

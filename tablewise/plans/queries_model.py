@@ -4,20 +4,18 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import cached_property, reduce
 
-from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import metrics, score, select
 from ..operators import train as tr
+from ..session import checkpoint
 from .catalog import register
 from .fixtures import spark_view
-from .queries_eval import _records_meta
-from .queries_features import fitted
-from .queries_prepare import ml_split
+from .queries_features import Prep
 
 # Candidate grids of the reference configuration (fixed values).
 LOGISTIC_CANDIDATES = [
@@ -39,189 +37,150 @@ MLP_TOL = 1e-4  # the reference library's default tolerance
 SOFTMAX_GD = dict(lr=0.08, l2=0.0005, max_epochs=300, patience=25, tol=1e-5)
 MLP_GD = dict(hidden=48, lr=0.01, l2=0.0005, max_epochs=220, batch=256, patience=25, tol=1e-5, seed=42)
 
-_CACHE: dict = {}
 
 
-def prepared(spark, sf) -> DataFrame:
-    """All rows of ml_orders with split, features vector and label (fit on train only)."""
-    key = ("prepared", id(spark), sf)
-    if key not in _CACHE:
-        f = fitted(spark, sf)
-        _CACHE[key] = f.transform(ml_split(spark, sf), keep=["row_id", "split"])
-    return _CACHE[key]
-
-
-def _split(spark, sf, name):
-    return prepared(spark, sf).where(F.col("split") == name)
+def _gd_eval(df, result, classes) -> DataFrame:
+    """Metrics of a network or softmax result on prepared rows."""
+    names = F.array(*[F.lit(c) for c in classes])
+    probs = tr.gd_probabilities(df, result, len(classes))
+    arr = F.col("probability")
+    pred = probs.select(
+        F.element_at(names, F.col("label").cast("int") + 1).alias("y"),
+        F.element_at(names, F.array_position(arr, F.array_max(arr)).cast("int")).alias("p"),
+    )
+    return metrics.evaluate(pred, "y", "p", classes)
 
 
 def _eval_rows(model, df, classes, by_value: dict) -> DataFrame:
-    pred = tr.predict_labels(model, df, classes)
-    ev = metrics.evaluate(pred, "y", "p", classes)
+    ev = metrics.evaluate(tr.predict_labels(model, df, classes), "y", "p", classes)
     for k, v in by_value.items():
         ev = ev.withColumn(k, F.lit(v))
     return ev
 
 
-def logistic_search(spark, sf):
-    """M1/M6: fit every logistic candidate on train, score validation, keep the best."""
-    key = ("logistic", id(spark), sf)
-    if key in _CACHE:
-        return _CACHE[key]
-    f = fitted(spark, sf)
-    train = tr.right_size(_split(spark, sf, "train")).cache()
-    val = _split(spark, sf, "validation")
-    n = train.count()
-    weighted = tr.with_balanced_weights(train, train).cache()
-    def fit_one(i_cand):
-        i, cand = i_cand
-        balanced = cand["class_weight"] == "balanced"
-        est = tr.logistic_estimator(cand["C"], float(n), balanced)
-        t0 = time.perf_counter()
-        model = est.fit(weighted if balanced else train)
-        ev = _eval_rows(model, val, f.classes, {}).first()
-        secs = time.perf_counter() - t0
-        row = (i, float(cand["C"]), cand["class_weight"] or "none", float(ev["macro_f1"]), float(ev["accuracy"]), secs, "logistic")
-        return row, model
-
-    # candidates are independent jobs over the same cached input: run them concurrently
-    with ThreadPoolExecutor(max_workers=len(LOGISTIC_CANDIDATES)) as pool:
-        done = list(pool.map(fit_one, enumerate(LOGISTIC_CANDIDATES)))
-    rows = [r for r, _ in done]
-    models = [m for _, m in done]
-    res = spark.createDataFrame(
-        rows, "candidate_index int, C double, class_weight string, val_macro_f1 double, val_accuracy double, train_s double, family string"
-    )
-    best = select.select_candidate(res, "family").first()["candidate_index"]
-    _CACHE[key] = (res, models[best], best)
-    return _CACHE[key]
+class Trained(Prep):
+    """Models of one query, each trained when first asked for."""
+
+    @property
+    def classes(self) -> list[str]:
+        return self.fitted.classes
+
+    @cached_property
+    def logistic(self):
+        """M1/M6: every logistic candidate fitted on train and scored on validation: (table, best model, its index)."""
+        train = self.part("train").cache()
+        n = train.count()
+        weighted = tr.with_balanced_weights(train, train).cache()
+
+        def fit_one(i_cand):
+            i, cand = i_cand
+            balanced = cand["class_weight"] == "balanced"
+            t0 = time.perf_counter()
+            model = tr.logistic_estimator(cand["C"], float(n), balanced).fit(weighted if balanced else train)
+            secs = time.perf_counter() - t0
+            ev = _eval_rows(model, self.part("validation"), self.classes, {}).first()
+            return (i, float(cand["C"]), cand["class_weight"] or "none", float(ev["macro_f1"]), float(ev["accuracy"]), secs, "logistic"), model
+
+        # candidates are independent jobs over the same cached input: run them concurrently
+        with ThreadPoolExecutor(max_workers=len(LOGISTIC_CANDIDATES)) as pool:
+            done = list(pool.map(fit_one, enumerate(LOGISTIC_CANDIDATES)))
+        weighted.unpersist()
+        train.unpersist()
+        res = self.spark.createDataFrame(
+            [r for r, _ in done],
+            "candidate_index int, C double, class_weight string, val_macro_f1 double, val_accuracy double, train_s double, family string",
+        )
+        best = select.select_candidate(res, "family").first()["candidate_index"]
+        return res, done[best][1], best
+
+    @cached_property
+    def mlp(self):
+        """M2/M6: every perceptron candidate fitted (Adam, hold-out early stop) and compared on validation:
+        (table, best result, its index)."""
+        runs = tr.train_mlp_grid(self.part("train"), MLP_CANDIDATES, MLP_MAX_ITER, MLP_TOL)
+        val = self.part("validation").select("features", "label")
+        found, rows = [], []
+        for i, ((hidden, act, alpha, lr), run) in enumerate(zip(MLP_CANDIDATES, runs)):
+            res = tr.GDResult({"network": run.recipe.network, "theta": run.stop.kept}, [], run.stop.best_epoch, len(run.history), run.seconds)
+            found.append(res)
+            ev = _gd_eval(val, res, self.classes).first()
+            rows.append((i, "-".join(map(str, hidden)), act, float(alpha), float(lr), float(ev["macro_f1"]), float(ev["accuracy"]),
+                         float(run.seconds), len(run.history), "mlp"))
+        table = self.spark.createDataFrame(
+            rows, "candidate_index int, hidden string, activation string, alpha double, learning_rate double, "
+            "val_macro_f1 double, val_accuracy double, train_s double, epochs int, family string"
+        )
+        best = select.select_candidate(table, "family").first()["candidate_index"]
+        return table, found[best], best
+
+    @cached_property
+    def softmax(self) -> tr.GDResult:
+        return tr.train_softmax_gd(self.part("train"), self.part("validation"), **SOFTMAX_GD)
+
+    @cached_property
+    def mlp_gd(self) -> tr.GDResult:
+        return tr.train_mlp_gd(self.part("train"), self.part("validation"), **MLP_GD)
 
 
 @register("candidate_search")
 def q_candidate_search(spark, sf):
     """M6: logistic candidates (C, class weight) fitted on train and compared on validation macro-F1."""
-    res, _, best = logistic_search(spark, sf)
+    res, _, best = Trained(spark, sf).logistic
     return res.withColumn("selected", F.col("candidate_index") == F.lit(best))
 
 
 @register("train_logistic")
 def q_train_logistic(spark, sf):
     """M1: the chosen multinomial logistic model's validation and test metrics (test scored once)."""
-    res, model, best = logistic_search(spark, sf)
-    f = fitted(spark, sf)
-    v = _eval_rows(model, _split(spark, sf, "validation"), f.classes, {"split": "validation"})
-    t = _eval_rows(model, _split(spark, sf, "test"), f.classes, {"split": "test"})
-    return v.unionByName(t).withColumn("model", F.lit("spark_logistic"))
-
-
-def mlp_search(spark, sf):
-    """M2/M6: one MLlib perceptron per distinct hidden layout, fitted concurrently;
-    returns (candidate table, best model, best candidate index)."""
-    key = ("mlp_search", id(spark), sf)
-    if key in _CACHE:
-        return _CACHE[key]
-    f = fitted(spark, sf)
-    train = tr.right_size(_split(spark, sf, "train")).cache()
-    val = _split(spark, sf, "validation")
-    d = len(f.feature_names())
-    k = len(f.classes)
-    layouts = list(dict.fromkeys(tuple(c[0]) for c in MLP_CANDIDATES))
-
-    def fit_layout(lay):
-        t0 = time.perf_counter()
-        est = MultilayerPerceptronClassifier(layers=[d, *lay, k], maxIter=MLP_MAX_ITER, tol=MLP_TOL, seed=42,
-                                             featuresCol="features", labelCol="label")
-        model = est.fit(train)
-        ev = _eval_rows(model, val, f.classes, {}).first()
-        return lay, (float(ev["macro_f1"]), float(ev["accuracy"]), time.perf_counter() - t0, model)
-
-    # one fit per distinct layout, run concurrently (independent jobs, cached input)
-    with ThreadPoolExecutor(max_workers=min(8, len(layouts))) as pool:
-        by_layout = dict(pool.map(fit_layout, layouts))
-    rows = []
-    for i, (hidden, act, alpha, lr) in enumerate(MLP_CANDIDATES):
-        mf1, acc, secs, _ = by_layout[tuple(hidden)]
-        rows.append((i, "-".join(map(str, hidden)), act, float(alpha), float(lr), mf1, acc, secs, "mlp"))
-    train.unpersist()
-    res = spark.createDataFrame(
-        rows, "candidate_index int, hidden string, activation string, alpha double, learning_rate double, "
-        "val_macro_f1 double, val_accuracy double, train_s double, family string"
-    )
-    best = select.select_candidate(res, "family").first()["candidate_index"]
-    _CACHE[key] = (res, by_layout[tuple(MLP_CANDIDATES[best][0])][3], best)
-    return _CACHE[key]
+    t = Trained(spark, sf)
+    _, model, _ = t.logistic
+    parts = [_eval_rows(model, t.part(s), t.classes, {"split": s}) for s in ("validation", "test")]
+    return reduce(DataFrame.unionByName, parts).withColumn("model", F.lit("spark_logistic"))
 
 
 @register("train_mlp")
 def q_train_mlp(spark, sf):
-    """M2: MLP candidates (one MLlib fit per distinct hidden layout) compared on validation macro-F1."""
-    res, _, best = mlp_search(spark, sf)
+    """M2: the 20 perceptron candidates, each fitted, compared on validation macro-F1."""
+    res, _, best = Trained(spark, sf).mlp
     return res.withColumn("selected", F.col("candidate_index") == F.lit(best))
 
 
-def _gd_history(spark, sf, which: str):
-    key = (which, id(spark), sf)
-    if key not in _CACHE:
-        train = _split(spark, sf, "train")
-        val = _split(spark, sf, "validation")
-        if which == "softmax":
-            _CACHE[key] = tr.train_softmax_gd(train, val, **SOFTMAX_GD)
-        else:
-            _CACHE[key] = tr.train_mlp_gd(train, val, **MLP_GD)
-    return _CACHE[key]
-
-
 @register("train_softmax_gd")
 def q_train_softmax_gd(spark, sf):
     """M3/M5: distributed full-batch softmax regression; per-epoch train/validation loss history."""
-    r = _gd_history(spark, sf, "softmax")
-    return r.history_frame(spark, "softmax_gd", SOFTMAX_GD["max_epochs"])
+    return Trained(spark, sf).softmax.history_frame(spark, "softmax_gd", SOFTMAX_GD["max_epochs"])
 
 
 @register("train_mlp_gd")
 def q_train_mlp_gd(spark, sf):
-    """M4/M5: one-hidden-layer ReLU net by per-epoch parameter averaging; loss history."""
-    r = _gd_history(spark, sf, "mlp")
-    return r.history_frame(spark, "mlp_gd", MLP_GD["max_epochs"])
+    """M4/M5: one-hidden-layer ReLU net, mini-batch steps in row blocks averaged every epoch; loss history."""
+    return Trained(spark, sf).mlp_gd.history_frame(spark, "mlp_gd", MLP_GD["max_epochs"])
 
 
 @register("gd_model_metrics")
 def q_gd_model_metrics(spark, sf):
     """M3/M4 evaluation: validation and test metrics of both gradient-descent models."""
-    f = fitted(spark, sf)
-    k = len(f.classes)
-    names = F.array(*[F.lit(c) for c in f.classes])
+    t = Trained(spark, sf)
     out = []
-    for which in ("softmax", "mlp"):
-        r = _gd_history(spark, sf, which)
+    for name, r in (("softmax_gd", t.softmax), ("mlp_gd", t.mlp_gd)):
         for split in ("validation", "test"):
-            probs = tr.gd_probabilities(_split(spark, sf, split), r, k)
-            arr = F.col("probability")
-            pred = probs.select(
-                F.element_at(names, F.col("label").cast("int") + 1).alias("y"),
-                F.element_at(names, F.array_position(arr, F.array_max(arr)).cast("int")).alias("p"),
-            )
-            ev = metrics.evaluate(pred, "y", "p", f.classes).withColumn("model", F.lit(f"{which}_gd")).withColumn("split", F.lit(split))
-            out.append(ev)
+            out.append(_gd_eval(t.part(split), r, t.classes).withColumn("model", F.lit(name)).withColumn("split", F.lit(split)))
     return reduce(DataFrame.unionByName, out)
 
 
 @register("score_batch")
 def q_score_batch(spark, sf):
     """Validate new records, transform with the fitted features, score with the
-    chosen logistic model, validate probabilities, assemble predictions (invalid rows quarantined)."""
-    f = fitted(spark, sf)
-    _, model, _ = logistic_search(spark, sf)
-    meta = _records_meta(spark, sf)
-    rec = spark_view(spark, sf, "records")
-    valid, _rejected = score.split_valid(rec, "row_id", meta, mode="quarantine")
-    X = f.transform(valid, keep=["row_id"])
-    probs = model.transform(X).select("row_id", vector_to_array("probability").alias("_p"))
-    cols = [f"p{i}" for i in range(len(f.classes))]
-    wide = probs.select("row_id", *[F.col("_p")[i].alias(c) for i, c in enumerate(cols)])
-    bad = score.probability_violations(wide, "row_id", cols)
-    ok = wide.join(bad.select("row_id").distinct(), "row_id", "left_anti")
-    return score.assemble_predictions(ok, "row_id", cols, f.classes, model_name="spark_logistic")
+    chosen logistic model, check and assemble the probabilities (invalid rows quarantined):
+    one row per record and class."""
+    t = Trained(spark, sf)
+    _, model, _ = t.logistic
+    valid, _rejected = score.split_valid(spark_view(spark, sf, "records"), "row_id", t.meta, mode="quarantine")
+    # written once: the checks and the map would otherwise evaluate the model again for each use
+    probs = checkpoint(model.transform(t.fitted.transform(valid, keep=["row_id"])).select("row_id", vector_to_array("probability").alias("_p")))
+    ok = probs.where(F.size(score.violations(F.col("_p"), len(t.classes))) == 0)
+    done = score.assemble_predictions(ok, "row_id", "_p", t.classes, model_name="spark_logistic")
+    return done.select("row_id", "predicted_class", "highest_probability", "model_name", F.explode("probabilities").alias("class", "probability"))
 
 
 # Fixed order of the four model families (used as the last tie-breaker).
@@ -232,32 +191,18 @@ FAMILY_ORDER = ["spark_logistic", "spark_mlp", "softmax_gd", "mlp_gd"]
 def q_model_comparison(spark, sf):
     """M9 on the trained models: the chosen logistic and perceptron candidates and the
     two gradient-descent models ranked by test macro-F1, deployment chosen on validation."""
-    f = fitted(spark, sf)
-    classes = f.classes
-    val, test = _split(spark, sf, "validation"), _split(spark, sf, "test")
+    t = Trained(spark, sf)
+    res, model, best = t.logistic
+    secs = {"spark_logistic": res.where(F.col("candidate_index") == best).first()["train_s"]}
+    results = {"spark_mlp": t.mlp[1], "softmax_gd": t.softmax, "mlp_gd": t.mlp_gd}
+    secs |= {k: r.train_seconds for k, r in results.items()}
     rows = []
-    lr_res, lr_model, lr_best = logistic_search(spark, sf)
-    mlp_res, mlp_model, mlp_best = mlp_search(spark, sf)
-    lr_s = lr_res.where(F.col("candidate_index") == lr_best).first()["train_s"]
-    mlp_s = mlp_res.where(F.col("candidate_index") == mlp_best).first()["train_s"]
-    for name, model, secs in (("spark_logistic", lr_model, lr_s), ("spark_mlp", mlp_model, mlp_s)):
-        v = _eval_rows(model, val, classes, {}).first()
-        t = _eval_rows(model, test, classes, {}).first()
-        rows.append((name, v["macro_f1"], v["accuracy"], t["macro_f1"], t["accuracy"], float(secs), FAMILY_ORDER.index(name)))
-    names = F.array(*[F.lit(c) for c in classes])
-    for which, name in (("softmax", "softmax_gd"), ("mlp", "mlp_gd")):
-        r = _gd_history(spark, sf, which)
-        ev = {}
-        for split, df in (("validation", val), ("test", test)):
-            probs = tr.gd_probabilities(df, r, len(classes))
-            arr = F.col("probability")
-            pred = probs.select(
-                F.element_at(names, F.col("label").cast("int") + 1).alias("y"),
-                F.element_at(names, F.array_position(arr, F.array_max(arr)).cast("int")).alias("p"),
-            )
-            ev[split] = metrics.evaluate(pred, "y", "p", classes).first()
-        rows.append((name, ev["validation"]["macro_f1"], ev["validation"]["accuracy"], ev["test"]["macro_f1"],
-                     ev["test"]["accuracy"], float(r.train_seconds), FAMILY_ORDER.index(name)))
-    res = spark.createDataFrame(rows, "model string, val_macro_f1 double, val_accuracy double, test_macro_f1 double, "
-                                      "test_accuracy double, train_s double, fixed_order int")
-    return select.model_ranking(res)
+    for i, name in enumerate(FAMILY_ORDER):
+        v, e = (
+            (_gd_eval(t.part(s), results[name], t.classes) if name in results else _eval_rows(model, t.part(s), t.classes, {})).first()
+            for s in ("validation", "test")
+        )
+        rows.append((name, v["macro_f1"], v["accuracy"], e["macro_f1"], e["accuracy"], float(secs[name]), i))
+    table = spark.createDataFrame(rows, "model string, val_macro_f1 double, val_accuracy double, test_macro_f1 double, "
+                                        "test_accuracy double, train_s double, fixed_order int")
+    return select.model_ranking(table)

@@ -61,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
     if _LOCAL_CKPT is None:
         _LOCAL_CKPT = tempfile.mkdtemp(prefix="tablewise-ckpt-", dir="/tmp")
     sc.setCheckpointDir(_LOCAL_CKPT)

@@ -41,19 +41,40 @@ def check_csv_path(path: str) -> None:
         raise DataLoadError(f"data file must have a .csv extension: {os.path.basename(path)}")
 
 
-def read_text_columns(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+def _reader(spark: SparkSession, header: bool, multiline: bool):
+    """CSV reader whose quotes are doubled inside quoted fields, as pandas and RFC 4180 have them."""
+    return (
+        spark.read.option("header", header)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("encoding", "UTF-8")
+    )
+
+
+def check_quotes(spark: SparkSession, path: str, multiline: bool = False) -> None:
+    """Raise when a quoted field is left open: an odd number of quotes in a
+    line, or with ``multiline`` in a file."""
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("f"), (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("q")
+    )
+    counts = lines.groupBy("f").agg(F.sum("q").alias("q")) if multiline else lines
+    if not counts.where(F.col("q") % 2 == 1).limit(1).isEmpty():
+        raise DataLoadError("CSV has a quoted field that is not closed")
+
+
+def read_text_columns(spark: SparkSession, path: str, header: bool = True, multiline: bool = False) -> DataFrame:
     """All columns as strings plus ``_corrupt_record`` (PERMISSIVE)."""
-    probe = spark.read.option("header", header).option("inferSchema", False).csv(path)
+    probe = _reader(spark, header, multiline).option("inferSchema", False).csv(path)
     fields = [T.StructField(c, T.StringType(), True) for c in probe.columns]
     schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType(), True)])
     return (
-        spark.read.schema(schema)
-        .option("header", header)
+        _reader(spark, header, multiline)
+        .schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("encoding", "UTF-8")
         .csv(path)
     )
 
@@ -87,14 +108,18 @@ def infer_types(df: DataFrame, columns: list[str]) -> dict:
     return out
 
 
-def csv_scan(spark: SparkSession, path: str, header: bool = True, check_path: bool = False) -> DataFrame:
+def csv_scan(spark: SparkSession, path: str, header: bool = True, check_path: bool = False, multiline: bool = False) -> DataFrame:
     """A1: read a CSV as pandas would: missing tokens -> NULL, inferred numeric types.
 
+    ``multiline`` allows line breaks inside quoted fields; such files cannot be
+    split among tasks, so it is a choice.  Without it a file that has such a
+    field is rejected, never misread.
     Raises ``DataLoadError`` for empty or header-only input and for rows that
     do not parse (the reference rejects the whole file)."""
     if check_path:
         check_csv_path(path)
-    raw = read_text_columns(spark, path, header)
+    check_quotes(spark, path, multiline)
+    raw = read_text_columns(spark, path, header, multiline)
     cols = [c for c in raw.columns if c != CORRUPT]
     if not cols:
         raise DataLoadError("CSV has no columns")
@@ -119,17 +144,16 @@ def csv_scan(spark: SparkSession, path: str, header: bool = True, check_path: bo
     return clean.select(*out)
 
 
-def csv_quarantine(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+def csv_quarantine(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                   multiline: bool = False) -> tuple[DataFrame, DataFrame]:
     """A2 (lenient form): typed scan; rows that do not fit the declared schema are
     returned separately with their raw text instead of failing the whole file."""
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     df = (
-        spark.read.schema(full)
-        .option("header", header)
+        _reader(spark, header, multiline)
+        .schema(full)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
@@ -143,6 +167,8 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     (
         out.write.mode("overwrite")
         .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

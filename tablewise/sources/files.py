@@ -9,7 +9,10 @@ that the input did not change while a job ran.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,8 +32,14 @@ def file_fingerprint(spark: SparkSession, path_glob: str) -> DataFrame:
 
 
 def row_hash(df: DataFrame, bits_hex: int = 15):
-    """md5 of the row's text form, first ``bits_hex`` hex digits as a long."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns])
+    """md5 of the row's text form, first ``bits_hex`` hex digits as a long.
+
+    Every value carries its length, so no content can shift a field's border."""
+    def field(c):
+        v = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("N"))
+
+    text = F.concat_ws("|", *[field(c) for c in df.columns])
     return F.conv(F.substring(F.md5(text), 1, bits_hex), 16, 10).cast("long")
 
 
@@ -44,8 +53,19 @@ def content_fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
-def guard_unchanged(before: DataFrame, after: DataFrame) -> None:
-    """A4: raise when two fingerprints differ (collects one row each)."""
-    a, b = before.first(), after.first()
-    if tuple(a) != tuple(b):
+def guard_unchanged(before: Row, after: Row) -> None:
+    """A4: raise when two evaluated fingerprints differ."""
+    if tuple(before) != tuple(after):
         raise InputChangedError("input changed while the job ran")
+
+
+@contextmanager
+def unchanged(open_input: Callable[[], DataFrame]) -> Iterator[DataFrame]:
+    """A4: give the input to a job and raise if its content differs when the job ends.
+
+    ``open_input`` opens the source anew for each of the two readings: an
+    opened DataFrame keeps the file list of the moment it was opened."""
+    df = open_input()
+    before = content_fingerprint(df).first()
+    yield df
+    guard_unchanged(before, content_fingerprint(open_input()).first())

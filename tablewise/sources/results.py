@@ -65,19 +65,46 @@ def read_prepared(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
     return rows, json.loads(text)
 
 
-def save_bundle(model, features_json: str, path: str, extra: dict | None = None) -> None:
-    """Model bundle = Spark ML model directory + fitted features + metadata."""
-    model.write().overwrite().save(f"{path}/model")
-    spark = SparkSession.getActiveSession()
-    meta = {"features": json.loads(features_json), **(extra or {})}
-    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "bundle string").coalesce(1).write.mode("overwrite").text(f"{path}/bundle")
-
-
-def load_bundle(spark: SparkSession, path: str, model_cls):
-    """Load a bundle and check it carries the keys a predictor needs."""
-    model = model_cls.load(f"{path}/model")
-    meta = json.loads(spark.read.text(f"{path}/bundle").first()["value"])
-    need = {"features"}
-    if not need <= set(meta):
-        raise ResultReadError(f"model bundle misses {sorted(need - set(meta))}")
-    return model, meta
+# The keys that a model bundle must have.
+BUNDLE_KEYS = (
+    "model_name", "mode", "model", "label_encoder", "input_columns", "required_columns", "numeric_columns",
+    "categorical_columns", "numeric_ranges", "categorical_options",
+)
+MODES = ("mllib", "parameters")
+
+
+def check_bundle(bundle: dict) -> None:
+    """All keys are there, and the column lists agree with one another."""
+    missing = sorted(set(BUNDLE_KEYS) - set(bundle))
+    if missing:
+        raise ResultReadError(f"model bundle misses {missing}")
+    inputs = set(bundle["input_columns"])
+    if set(bundle["required_columns"]) != inputs:
+        raise ResultReadError("model bundle: required columns differ from the input columns")
+    if {*bundle["numeric_columns"], *bundle["categorical_columns"]} != inputs:
+        raise ResultReadError("model bundle: typed columns differ from the input columns")
+    if bundle["mode"] not in MODES:
+        raise ResultReadError(f"model bundle: unknown mode {bundle['mode']}")
+
+
+def save_bundle(spark: SparkSession, path: str, bundle: dict, model=None) -> None:
+    """bundle = one JSON text with all keys, and for mode ``mllib`` the model's own folder.
+
+    In mode ``parameters`` the key ``model`` holds the fitted arrays as lists."""
+    check_bundle(bundle)
+    if bundle["mode"] == "mllib":
+        model.write().overwrite().save(f"{path}/model")
+    text = json.dumps(bundle, sort_keys=True)
+    spark.createDataFrame([(text,)], "bundle string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{path}/bundle")
+
+
+def load_bundle(spark: SparkSession, path: str) -> dict:
+    """Read and check a bundle; a missing or unreadable one raises."""
+    try:
+        bundle = json.loads(spark.read.text(f"{path}/bundle").first()["value"])
+    except Exception as e:  # noqa: BLE001
+        raise ResultReadError(f"model bundle at {path} is missing or corrupt") from e
+    if not isinstance(bundle, dict):
+        raise ResultReadError("model bundle is not an object")
+    check_bundle(bundle)
+    return bundle

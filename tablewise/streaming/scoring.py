@@ -17,15 +17,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.features import FittedFeatures
-from ..operators.score import InputMetadata, rule_errors
+from ..operators.score import InputMetadata, require_columns, rule_errors
 
 
-def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
+def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """File stream; ``files_per_trigger`` bounds a micro-batch (none by default: all files there are)."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(source_dir)
 
 
 def scored_stream(stream: DataFrame, key: str, meta: InputMetadata, fitted: FittedFeatures, model) -> tuple[DataFrame, DataFrame]:
     """(scored valid rows, rejected rows) of a streaming input."""
+    require_columns(stream, meta, key)
     tagged = stream.withColumn("errors", rule_errors(stream, meta))
     valid = tagged.where(F.size("errors") == 0).drop("errors")
     rejected = tagged.where(F.size("errors") > 0).select(key, F.array_join("errors", ",").alias("errors"))

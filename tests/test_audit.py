@@ -1,82 +1,103 @@
+"""Audit operators on an inventory of tools: own frames, expectations counted by hand."""
+
 import math
 
 import pytest
-from pyspark.sql import Row
 
 from tablewise.operators import audit
 from tablewise.roles import Roles
 
-SCHEMA = "Age double, Weight double, Gender string, flag bigint, target string"
+SCHEMA = "sku string, price double, stock double, colour string, grade double, shelf string"
 ROLES = Roles(
-    key=None, numeric=("Age", "Weight"), categorical=("Gender", "flag"), target="target",
-    required=("Age", "Weight", "Gender", "flag", "target"),
-    ranges={"Age": (0.0, 120.0)}, allowed={"Gender": ("Female", "Male"), "flag": (0, 1)},
-    allowed_targets=("A", "B"),
+    key="sku", numeric=("price", "stock"), categorical=("colour", "grade"), target="shelf", excluded=("sku",),
+    required=("sku", "price", "stock", "colour", "grade", "shelf"),
+    ranges={"price": (0.5, 900.0)}, allowed={"colour": ("red", "blue", "dark green"), "grade": (1, 2)},
+    allowed_targets=("top", "low"), imbalance_warning=3.0,
 )
+ROWS = [
+    ("a", 12.0, 3.0, "red", 1.0, "top"),
+    ("b", -2.0, 0.0, " red", 2.0, "top"),
+    ("c", 950.0, math.inf, "Red", 1.0, "top"),
+    ("d", math.nan, 7.0, "   ", 3.0, "top"),
+    ("e", 0.0, -math.inf, "dark gren", None, "low"),
+    ("e", 0.0, -math.inf, "dark gren", None, "low"),
+    ("e", 0.0, -math.inf, "dark gren", None, "low"),
+    ("f", 40.0, 5.0, None, 2.0, "bottom"),
+]
 
 
-def _frame(spark, rows):
-    return spark.createDataFrame(rows, SCHEMA)
+@pytest.fixture(scope="module")
+def tools(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
 
 
-def test_missing_duplicates_and_infinite(spark):
-    df = _frame(spark, [(20.0, 60.0, "Female", 1, "A"), (20.0, 60.0, "Female", 1, "A"), (None, math.inf, " male ", 0, "B")])
-    assert audit.dataset_summary(df, ROLES).first()["row_count"] == 3
-    assert audit.missing_total(df).first()["total_missing"] == 1
-    assert audit.duplicate_rows(df).first()["duplicate_row_count"] == 1
-    nq = {r["field"]: r for r in audit.numeric_quality(df, ROLES).collect()}
-    assert nq["Weight"]["infinite_count"] == 1
-    summ = {r["field"]: r for r in audit.numeric_summary(df, ROLES).collect()}
-    assert summ["Weight"]["count"] == 3 and summ["Weight"]["finite_count"] == 2
+def by_field(df):
+    return {r["field"]: r for r in df.collect()}
 
 
-def test_quality_counters_case_and_similarity(spark):
-    df = _frame(spark, [(-1.0, 60.0, "Male", 0, "A"), (0.0, 61.0, " male ", 1, "A"), (130.0, 62.0, "Femail", 2, "B")])
-    nq = {r["field"]: r for r in audit.numeric_quality(df, ROLES).collect()}
-    assert nq["Age"]["negative_count"] == 1
-    assert nq["Age"]["zero_count"] == 1
-    assert nq["Age"]["outside_range_count"] == 2
-    cq = {r["field"]: r for r in audit.categorical_quality(df, ROLES).collect()}
-    assert cq["Gender"]["whitespace_count"] == 1
-    cc = audit.case_conflicts(df, ROLES).collect()
-    assert [(r["field"], r["spellings"]) for r in cc] == [("Gender", "Male|male")]
-    sim = {(r["left"], r["right"]) for r in audit.similar_values(df, ROLES).collect()}
-    assert ("Femail", "Female") in sim
-    unexpected = {(r["field"], r["value"]) for r in audit.unexpected_values(df, ROLES).collect()}
-    assert ("flag", "2") in unexpected
-    assert "flag" not in {r["field"] for r in audit.iqr_outliers(df, ROLES).collect()}
+def test_counts_of_the_table(tools):
+    assert audit.dataset_summary(tools, ROLES).first()["row_count"] == 8
+    assert audit.missing_total(tools).first()["total_missing"] == 1 + 1 + 3  # a NaN price, a colour, three grades
+    dup = audit.duplicate_rows(tools).first()
+    assert (dup["duplicate_row_count"], dup["duplicate_row_ratio"]) == (2, 0.25)
+    groups = audit.duplicate_groups(tools).collect()
+    assert [(g["sku"], g["multiplicity"]) for g in groups] == [("e", 3)]
 
 
-def test_legal_categories_are_not_similar_pairs(spark):
-    df = _frame(spark, [(20.0, 60.0, "Female", 1, "A"), (21.0, 61.0, "Male", 0, "B")])
-    assert audit.similar_values(df, ROLES).count() == 0
+def test_numeric_counters(tools):
+    q = by_field(audit.numeric_quality(tools, ROLES))
+    assert (q["price"]["negative_count"], q["price"]["zero_count"], q["price"]["outside_range_count"]) == (1, 3, 5)
+    assert (q["stock"]["infinite_count"], q["stock"]["zero_count"], q["stock"]["unreasonable_zero_count"]) == (4, 1, 0)
+    s = by_field(audit.numeric_summary(tools, ROLES))
+    assert (s["stock"]["count"], s["stock"]["finite_count"]) == (8, 4)
 
 
-def test_target_summary_imbalance(spark):
-    df = _frame(spark, [(1.0, 1.0, "Male", 0, "A"), (1.0, 2.0, "Male", 0, "A"), (1.0, 3.0, "Male", 0, "B")])
-    r = audit.target_summary(df, ROLES).first()
-    assert (r["class_count"], r["most_frequent"], r["most_count"]) == (2, "A", 2)
-    assert r["max_min_ratio"] == 2.0 and r["is_imbalanced"] is True
+def test_categories(tools):
+    q = by_field(audit.categorical_quality(tools, ROLES))
+    assert (q["colour"]["whitespace_count"], q["colour"]["empty_string_count"]) == (2, 1)
+    assert [(r["field"], r["n_spellings"]) for r in audit.case_conflicts(tools, ROLES).collect()] == [("colour", 2)]
+    near = {(r["left"], r["right"]) for r in audit.similar_values(tools, ROLES).collect()}
+    assert ("dark gren", "dark green") in near and not any("blue" in p for p in near)
 
 
-def test_schema_issues_missing_target(spark):
-    df = spark.createDataFrame([(1.0, 2.0, "Male", 0)], "Age double, Weight double, Gender string, flag bigint")
-    codes = {r["code"]: r["fields"] for r in audit.schema_issues(df, ROLES).collect()}
-    assert codes["missing_columns"] == "target"
+def test_allow_list_compares_values_in_the_columns_type(tools):
+    got = {(r["field"], r["value"]) for r in audit.unexpected_values(tools, ROLES).collect()}
+    assert got == {("grade", "3.0"), ("colour", " red"), ("colour", "Red"), ("colour", "   "), ("colour", "dark gren"), ("shelf", "bottom")}
 
 
-def test_schema_order_extra_and_all_null(spark):
-    df = spark.createDataFrame([Row(Age=None, id=1, Gender="Male", target="A", extra="x")],
-                               "Age double, id bigint, Gender string, target string, extra string")
-    roles = Roles(key="id", numeric=("Age",), categorical=("Gender",), target="target", required=("id", "Age", "Gender", "target"))
-    codes = {r["code"]: r["fields"] for r in audit.schema_issues(df, roles).collect()}
-    assert "column_order_mismatch" in codes
-    assert codes["extra_columns"] == "extra"
-    assert codes["all_null_columns"] == "Age"
+def test_case_folding_is_full(spark):
+    roles = Roles(key=None, numeric=(), categorical=("street",), target=None)
+    df = spark.createDataFrame([("Straße",), ("STRASSE",), ("Weg",)], "street string")
+    assert [r["spellings"] for r in audit.case_conflicts(df, roles).collect()] == ["STRASSE|Straße"]
+    assert audit.similar_values(df, roles).count() == 0
+
 
+def test_target_balance(tools):
+    r = audit.target_summary(tools, ROLES).first()
+    assert (r["class_count"], r["most_frequent"], r["least_frequent"], r["max_min_ratio"], r["is_imbalanced"]) == (3, "top", "bottom", 4.0, True)
 
-def test_input_not_mutated(spark):
-    df = _frame(spark, [(20.0, 60.0, " Female ", 1, "A")])
-    before = df.collect()
-    audit.quality_issues(df, ROLES).collect()
-    assert df.collect() == before
+
+def test_schema_rules(spark):
+    df = spark.createDataFrame([("red", None, "a", 1)], "colour string, price double, sku string, depth int")
+    roles = Roles(key="sku", numeric=("price",), categorical=("colour",), target="shelf")
+    codes = {r["code"]: r["fields"] for r in audit.schema_issues(df, roles).collect()}
+    assert codes == {"missing_columns": "shelf", "extra_columns": "depth", "column_order_mismatch": "", "all_null_columns": "price"}
+
+
+@pytest.mark.parametrize("allowed", [False, True])
+def test_invalid_schema_is_what_the_roles_do_not_allow(spark, allowed):
+    df = spark.createDataFrame([("x", None), ("y", None)], "sku string, price double")
+    roles = Roles(key="sku", numeric=("price",), categorical=(), target=None, allow_all_null=allowed)
+    found = {r["code"] for r in audit.quality_issues(df, roles).collect()}
+    assert ("schema_invalid" in found) is not allowed
+    assert audit.schema_valid(df, roles) is allowed
+
+
+def test_issue_list(tools):
+    issues = {(r["code"], r["field"]): r for r in audit.quality_issues(tools, ROLES).collect()}
+    assert issues[("duplicate_rows", None)]["detail"] == "2" and issues[("missing_values", None)]["detail"] == "5"
+    assert "outside_range_count=5" in issues[("numeric_quality", "price")]["detail"]
+    assert issues[("unexpected_target_values", "shelf")]["detail"] == "1"
+    assert "case_conflicts=1" in issues[("categorical_quality", "colour")]["detail"]
+    assert issues[("similar_values", "colour")]["detail"].startswith("similar_pairs=")
+    assert ("schema_invalid", None) not in issues

@@ -1,49 +1,79 @@
+"""Metrics against a direct count, and the selection rules on tables where each rule decides."""
+
+import random
+
 import pytest
 
 from tablewise.operators import metrics, select
 
+CLASSES = ["ant", "bee", "cat", "dog"]  # "dog" never occurs
+
+
+@pytest.fixture(scope="module")
+def pairs():
+    rng = random.Random(31)
+    out = []
+    for _ in range(240):
+        y = rng.choice(CLASSES[:3])
+        out.append((y, y if rng.random() < 0.6 else rng.choice(CLASSES[:3])))
+    return out
+
+
+def counted(pairs, c):
+    tp = sum(y == p == c for y, p in pairs)
+    said, real = sum(p == c for _, p in pairs), sum(y == c for y, _ in pairs)
+    precision, recall = tp / said if said else 0.0, tp / real if real else 0.0
+    return precision, recall, 2 * precision * recall / (precision + recall) if tp else 0.0
+
+
+def test_metrics_against_a_direct_count(spark, pairs):
+    df = spark.createDataFrame(pairs, "y string, p string")
+    want = {c: counted(pairs, c) for c in CLASSES}
+    for r in metrics.classification_report(df, "y", "p", CLASSES).collect():
+        if r["class"] in want:
+            assert (r["precision"], r["recall"], r["f1"]) == pytest.approx(want[r["class"]], abs=1e-6)
+    right = sum(y == p for y, p in pairs) / len(pairs)
+    assert metrics.accuracy(df, "y", "p").first()["accuracy"] == pytest.approx(right, abs=1e-6)
+    macro = metrics.macro_metrics(df, "y", "p", CLASSES).first()["macro_f1"]
+    assert macro == pytest.approx(sum(f for *_, f in want.values()) / 4, abs=1e-6)
+    cells = {(r["true_class"], r["pred_class"]): r["count"] for r in metrics.confusion_matrix(df, "y", "p", CLASSES).collect()}
+    assert len(cells) == 16 and all(n == sum((y, p) == k for y, p in pairs) for k, n in cells.items())
+
 
-def test_hand_computed_metrics(spark):
-    y = [0, 0, 1, 1, 2, 2]
-    p = [0, 1, 1, 1, 2, 0]
-    df = spark.createDataFrame([(str(a), str(b)) for a, b in zip(y, p)], "y string, p string")
-    cls = ["0", "1", "2"]
-    rep = {r["class"]: r for r in metrics.classification_report(df, "y", "p", cls).collect()}
-    assert rep["0"]["precision"] == 0.5 and rep["1"]["precision"] == pytest.approx(2 / 3, abs=1e-6)
-    assert rep["2"]["precision"] == 1.0
-    assert (rep["0"]["recall"], rep["1"]["recall"], rep["2"]["recall"]) == (0.5, 1.0, 0.5)
-    assert metrics.accuracy(df, "y", "p").first()["accuracy"] == pytest.approx(4 / 6, abs=1e-6)
-    # absent declared class counts as zero in the macro average
-    m4 = metrics.macro_metrics(df, "y", "p", cls + ["3"]).first()
-    m3 = metrics.macro_metrics(df, "y", "p", cls).first()
-    assert m4["macro_f1"] == pytest.approx(m3["macro_f1"] * 3 / 4, abs=1e-6)
-    cm = metrics.confusion_matrix(df, "y", "p", cls + ["3"])
-    assert cm.count() == 16
-
-
-RESULTS = [("m1", 0.80, 0.81, 0.99, 0.99, 0.4, 0), ("m2", 0.92, 0.91, 0.80, 0.82, 0.8, 1),
-           ("m3", 0.75, 0.77, 0.70, 0.72, 0.3, 2), ("m4", 0.85, 0.86, 0.90, 0.91, 0.6, 3)]
 SCHEMA = "model string, val_macro_f1 double, val_accuracy double, test_macro_f1 double, test_accuracy double, train_s double, fixed_order int"
+BASE = {"model": "", "val_macro_f1": 0.61, "val_accuracy": 0.64, "test_macro_f1": 0.5, "test_accuracy": 0.5, "train_s": 9.0, "fixed_order": 5}
+
+
+def table(spark, *changes):
+    return spark.createDataFrame([tuple((BASE | c).values()) for c in changes], SCHEMA)
 
 
-def test_validation_chooses_test_ranks(spark):
-    res = spark.createDataFrame(RESULTS, SCHEMA)
-    assert select.select_model(res).first()["selected_model"] == "m2"
-    rk = select.model_ranking(res).orderBy("rank").collect()
-    assert rk[0]["model"] == "m1" and rk[0]["selected_for_deployment"] is False
-    assert [r["model"] for r in rk if r["selected_for_deployment"]] == ["m2"]
+@pytest.mark.parametrize(
+    "rule",
+    [{"val_macro_f1": 0.62}, {"val_accuracy": 0.65}, {"train_s": 8.5}, {"fixed_order": 4}],
+)
+def test_each_rule_decides_the_deployment(spark, rule):
+    res = table(spark, {"model": "x", "fixed_order": 6}, {"model": "winner"} | rule, {"model": "y", "fixed_order": 7, "test_macro_f1": 0.99})
+    assert select.select_model(res).first()["selected_model"] == "winner"
 
 
-def test_all_equal_falls_back_to_fixed_order(spark):
-    same = [(m, 0.9, 0.9, 0.9, 0.9, 0.5, i) for i, m in enumerate(["c", "a", "b"])]
-    res = spark.createDataFrame(same, SCHEMA)
-    assert select.select_model(res).first()["selected_model"] == "c"
+def test_ranking_is_by_test_and_flags_the_validation_choice(spark):
+    res = table(
+        spark,
+        {"model": "p", "test_macro_f1": 0.71, "test_accuracy": 0.70},
+        {"model": "q", "test_macro_f1": 0.71, "test_accuracy": 0.73, "fixed_order": 6},
+        {"model": "r", "test_macro_f1": 0.33, "val_macro_f1": 0.9, "fixed_order": 7},
+        {"model": "o", "test_macro_f1": 0.71, "test_accuracy": 0.70, "fixed_order": 8},
+    )
+    ranked = select.model_ranking(res).orderBy("rank").collect()
+    assert [r["model"] for r in ranked] == ["q", "o", "p", "r"]
+    assert [r["model"] for r in ranked if r["selected_for_deployment"]] == ["r"]
 
 
-def test_best_epoch_rules(spark):
-    rows = [("v", 1, 1.0, 0.5, None, 5), ("v", 2, 0.9, 0.4, None, 5), ("v", 3, 0.8, 0.4, None, 5),
-            ("s", 1, 1.0, None, 0.7, 3), ("s", 2, 0.9, None, 0.9, 3), ("s", 3, 0.8, None, 0.9, 3),
-            ("t", 1, 1.0, None, None, 2), ("t", 2, 0.5, None, None, 2)]
+def test_best_epoch(spark):
+    rows = [("loss", e, 3.0 - e, v, None, 9) for e, v in ((1, 2.0), (2, 1.25), (3, 1.5), (4, 1.25))]
+    rows += [("score", e, 1.0 / e, None, v, 3) for e, v in ((1, 0.2), (2, 0.4), (3, 0.4))]
+    rows += [("train", e, v, None, None, 4) for e, v in ((1, 0.9), (2, 0.8), (3, 0.85))]
     df = spark.createDataFrame(rows, "model string, epoch int, train_loss double, val_loss double, val_score double, max_epochs int")
-    got = {r["model"]: (r["best_epoch"], r["early_stopped"]) for r in select.best_epoch(df).collect()}
-    assert got == {"v": (2, True), "s": (2, False), "t": (2, False)}
+    got = {r["model"]: (r["best_epoch"], r["criterion"], r["early_stopped"]) for r in select.best_epoch(df).collect()}
+    assert got == {"loss": (2, "val_loss", True), "score": (2, "val_score", False), "train": (2, "train_loss", True)}

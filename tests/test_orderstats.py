@@ -3,7 +3,8 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tablewise.operators.orderstats import quantiles
+import pytest
+from tablewise.operators.orderstats import order_statistics, quantiles
 
 
 def _check(spark, pdf, probs, max_sort_rows):
@@ -28,6 +29,33 @@ def test_window_and_bracket_paths_are_exact(spark):
     _check(spark, pdf, probs, 200)  # histogram-bracket path for every group
 
 
+def test_long_values_and_null_groups(spark):
+    rng = np.random.default_rng(8)
+    v = rng.integers(1 << 58, 1 << 60, 3000)
+    g = np.where(rng.random(3000) < 0.6, None, "b")
+    df = spark.createDataFrame(pd.DataFrame({"g": g, "v": v}))
+    t = df.groupBy("g").count().selectExpr("g", "explode(array(0, 7, cast(count / 2 as int), cast(count - 1 as int))) AS _rank", "count AS _n")
+    for limit in (10_000, 50):
+        got = {(r["g"], r["_rank"]): (r["_value"], r["_below"]) for r in order_statistics(df, ["g"], "v", t, limit).collect()}
+        for (key, rank), (value, below) in got.items():
+            mine = np.sort(v[[x is None if key is None else x == key for x in g]])
+            assert value == mine[rank] and below == (mine < value).sum()
+        assert len(got) == 8
+
+
+@pytest.mark.parametrize("threshold", ["1048576", "10485760"])
+def test_large_groups_are_not_shuffled_on_their_key(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = spark.range(20_000).selectExpr("id % 2 AS g", "cast(id * 37 % 20011 as double) AS v")
+        t = df.groupBy("g").count().selectExpr("g", "5000L AS _rank", "count AS _n")
+        plan = order_statistics(df, ["g"], "v", t, 1000)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BuildLeft" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=60))
 def test_random_small_groups(spark, values):
