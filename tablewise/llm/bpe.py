@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -33,11 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import bounded_batches, text_or_empty
 from .textarrays import word_hashes
 
-CHUNK_CHARS = 1_000_000
-CACHE_PIECES = 400_000
+CHUNK_CHARS = 500_000
+CACHE_PIECES = 250_000
 BLOCK = 128
 SHORT = 64  # bytes of a piece that is cached and merged by list
 NONE = (1 << 31) - 1
@@ -219,7 +220,6 @@ class Codec:
         self.ranks, self.table, self.cache_pieces = ranks, table, cache_pieces
         self.cache: dict[bytes, tuple[int, ...]] = {}
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.pairs = PairTable(ranks)
         tokens = sorted((i, b) for b, i in ranks.items())
         size = tokens[-1][0] + 1
         self.bytes_of: list[bytes] = [b""] * size
@@ -229,6 +229,10 @@ class Codec:
         self.begin = np.cumsum(self.length) - self.length
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
+    @cached_property
+    def pairs(self) -> PairTable:
+        return PairTable(self.ranks)  # decoding never needs it
+
     def pair(self, a: int, b: int) -> int:
         return self.ranks.get(self.bytes_of[a] + self.bytes_of[b], NONE)
 
@@ -382,6 +386,7 @@ _CODECS: dict[int, tuple[object, Codec]] = {}
 
 
 def broadcast_vocabulary(spark: SparkSession, path: str):
+    bounded_batches(spark)
     return spark.sparkContext.broadcast((read_ranks(path), class_runs()))
 
 

@@ -13,7 +13,21 @@ from tablewise.session import ensure_checkpoint_dir
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: what one batch between the JVM and Python may hold; long texts make few rows large
+BATCH_BYTES, BATCH_ROWS = 16 << 20, 4096
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches in bytes and rows.
+
+    Plans read the setting when they run, which for a returned DataFrame is
+    after the operator has ended, so it stays set."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +49,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = shared_path(spark, name)
     with shuffles_cleaned(spark):
         df.write.option("compression", "zstd").parquet(path)
