@@ -8,9 +8,9 @@
 3. Pairs pass the signature check (estimated similarity, far below the threshold so that
    it drops no link) and are confirmed on the full sets.
 4. After components of these links, only buckets that still span several components are looked
-   at again: their members are compared across components, block by block on signatures,
-   and what may be a link is confirmed on the full sets.  Together with 2 this
-   examines every pair of candidates that could still join two components.
+   at again: their members are compared across components on the full sets, block by block,
+   and each pair of blocks returns only links that join components, never all pairs.
+   Together with 2 this examines every pair of candidates that could still join two components.
 5. Components by alternating large-star and small-star.
 
 At 0.8, 40 bands of 5 rows miss a linked pair with probability 1.3e-7.  The estimate
@@ -27,6 +27,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ from .components import connected_components
 from .textarrays import column_bytes, gram_hashes, lower_ascii, mix, word_hashes, word_spans
 
 #: members of a bucket that one comparison block holds
-BLOCK = 512
+BLOCK = 256
+#: columns of shared shingles that one matrix product takes
+COLUMNS = 4096
 #: links have at least this estimated similarity (see the module text)
 ESTIMATE = 0.6
 
@@ -141,7 +144,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
     return rows.mapInArrow(run, "node binary, codes binary").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _alike(a: bytes, b: bytes, count: int) -> float:
+def _alike(a: pa.Buffer, b: pa.Buffer, count: int) -> float:
     return np.count_nonzero(np.frombuffer(a, np.uint16) == np.frombuffer(b, np.uint16)) / count
 
 
@@ -154,8 +157,8 @@ def _check_signatures(pairs: DataFrame, nodes: DataFrame, count: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ok = pa.array([_alike(s, t, count) >= ESTIMATE for s, t in both], pa.bool_())
+            both = zip(batch.column(2), batch.column(3), strict=True)
+            ok = pa.array([_alike(s.as_buffer(), t.as_buffer(), count) >= ESTIMATE for s, t in both], pa.bool_())
             yield batch.select([0, 1]).filter(ok)
 
     return joined.select("a", "b", "_s", "_t").mapInArrow(run, "a binary, b binary")
@@ -170,8 +173,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):  # views, no copies
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
                 both = int(np.count_nonzero(x[at] == y))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -186,41 +189,86 @@ def _first_pairs(buckets: DataFrame) -> DataFrame:
     return buckets.join(heads, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
-def _cross_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, count: int) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures allow a link, from blocks of members."""
+def _intersections(codes: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact intersection sizes of the left sets with the right ones, by products of 0/1 columns.
+
+    Codes of one set alone cannot count and get no column."""
+    size = np.fromiter(map(len, codes), np.int64, len(codes))
+    _, col, count = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(codes)), size)
+    shared = count[col] > 1
+    place = np.cumsum(count > 1) - 1
+    row, col = row[shared], place[col[shared]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    width = int(count[count > 1].size)
+    for begin in range(0, width, COLUMNS):
+        a, b = np.searchsorted(col, [begin, begin + COLUMNS])
+        part = np.zeros((len(codes), min(COLUMNS, width - begin)), np.float32)
+        part[row[a:b], col[a:b] - begin] = 1.0
+        out += part[left] @ part[right].T
+    return out.astype(np.int64)
+
+
+def _spanning(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Places of links that join components not joined by the ones before: at most one less than the components."""
+    low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+    _, first = np.unique(low * (root.max() + 1) + high, return_index=True)
+    parent = np.arange(root.max() + 1).tolist()
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for i in first.tolist():
+        x, y = find(int(root[a[i]])), find(int(root[b[i]]))
+        if x != y:
+            parent[x] = y
+            kept.append(i)
+    return kept
+
+
+def _cross_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components inside buckets which span several of them.
+
+    Members are dealt to blocks and every pair of blocks is one group of at
+    most about 2 * BLOCK sets, whatever the bucket's size.  A group compares all
+    its cross-component pairs exactly and returns a spanning choice of the links."""
     tagged = buckets.join(labels.withColumnRenamed("vertex", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = tagged.groupBy("bucket").agg(F.min("root").alias("_l"), F.max("root").alias("_h"), F.count(F.lit(1)).alias("n"))
     # of a bucket of two, the one pair has been examined
     open_ = open_.filter("_l <> _h AND n > 2").select("bucket", "n")
     members = (
         tagged.join(open_, "bucket")
-        .join(nodes.select("node", "signature"), "node")
         .withColumn("_blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     )
     # a member goes once to every pair of blocks that holds its own
     spread = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
-        "bucket", F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j"), "_mine", "node", "root", "signature"
+        "bucket", F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j"), "_mine", "node", "root"
     )
 
-    def compare(pdf):
-        import pandas as pd
-
-        sig = np.stack([np.frombuffer(x, np.uint16) for x in pdf["signature"]])
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes = [np.frombuffer(x, np.uint64) for x in pdf["codes"]]
+        size = np.fromiter(map(len, codes), np.int64, len(codes))
         root = pd.factorize(pdf["root"])[0]
         mine, node = pdf["_mine"].to_numpy(), pdf["node"].to_numpy()
         one, two = pdf["_i"].iloc[0], pdf["_j"].iloc[0]
-        out = []
-        for k in np.flatnonzero(mine == one).tolist():
-            with_ = (mine == two) & (root != root[k])
-            if one == two:
-                with_[: k + 1] = False
-            at = np.flatnonzero(with_)
-            near = at[(sig[at] == sig[k]).sum(1) >= ESTIMATE * count]
-            out += [(min(node[k], node[m]), max(node[k], node[m])) for m in near.tolist()]
-        return pd.DataFrame(out, columns=["a", "b"])
+        left, right = np.flatnonzero(mine == one), np.flatnonzero(mine == two)
+        both = _intersections(codes, left, right)
+        union = size[left][:, None] + size[right] - both
+        linked = (100 * both >= percent * union) & (root[left][:, None] != root[right])
+        x, y = np.nonzero(linked)
+        x, y = left[x], right[y]
+        if not len(x):
+            return pd.DataFrame({"a": [], "b": []})
+        return pd.DataFrame([(min(node[x[i]], node[y[i]]), max(node[x[i]], node[y[i]])) for i in _spanning(root, x, y)], columns=["a", "b"])
 
-    return spread.groupBy("bucket", "_i", "_j").applyInPandas(compare, "a binary, b binary").distinct()
+    return spread.join(sets, "node").groupBy("bucket", "_i", "_j").applyInPandas(compare, "a binary, b binary").distinct()
 
 
 def near_duplicates(
@@ -250,8 +298,7 @@ def near_duplicates(
     pairs = save(_check_signatures(_first_pairs(buckets), nodes, count), "near-first")
     links = save(_confirm(pairs, sets, percent), "near-links")
     labels = save(connected_components(links), "near-labels")
-    cross = _cross_pairs(buckets, nodes, labels, count).join(pairs, ["a", "b"], "left_anti")
-    more = save(_confirm(save(cross, "near-cross"), sets, percent), "near-more")
+    more = save(_cross_links(buckets, sets, labels, percent), "near-more")
     if not more.isEmpty():
         labels = save(connected_components(links.union(more)), "near-labels")
     place = nodes.select("node", "first_id").join(labels.withColumnRenamed("vertex", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
