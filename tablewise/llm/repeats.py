@@ -22,6 +22,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +31,10 @@ from .anchors import Runs, merge_spans, runs_of_batch
 from .common import save, text_or_empty
 from .textarrays import column_bytes
 
-#: a key with more runs than this is split by further keys
-HOT_RUNS = 5_000
 #: contexts dealt to one task
 TASK_BYTES = 6_000_000
+#: a key with more runs than this, whose contexts could outgrow a task, is split by further keys
+HOT_RUNS = 16_000
 
 
 @dataclass(frozen=True)
@@ -174,8 +175,11 @@ def contexts(rows: DataFrame, units: Units) -> DataFrame:
                     wanted &= ~_among(plain_runs, part.column(4))
                 _emit(out, plain_runs, plain_runs.key, np.flatnonzero(wanted), offsets, plain, keys, firsts, units)
                 if any_hot:
+                    with_hot = part.filter(pc.greater(pc.list_value_length(part.column(4)), 0))
+                    code, offsets, plain = units.of(with_hot.column(2))
                     fine = runs_of_batch(code, offsets, units.window, units.gram, split=True)
-                    pick = np.flatnonzero(_among(fine, part.column(4)))
+                    pick = np.flatnonzero(_among(fine, with_hot.column(4)))
+                    keys, firsts = with_hot.column(0).to_numpy(), with_hot.column(1).to_numpy()
                     _emit(out, fine, fine.key ^ fine.split_keys, pick, offsets, plain, keys, firsts, units)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays(
