@@ -78,12 +78,14 @@ def dataset_summary(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
-def overview(df: DataFrame, roles: Roles) -> DataFrame:
-    """Rows, feature count and class count of a dataset."""
-    return df.agg(
+def overview(df: DataFrame, roles: Roles, deployment: DataFrame | None = None) -> DataFrame:
+    """Rows, feature count and class count of a dataset, and with ``deployment``
+    (the one-row result of model selection) the active model and its scores."""
+    out = df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct(F.col(roles.target)).alias("class_count"),
     ).select("row_count", F.lit(len(roles.features)).cast("long").alias("feature_count"), "class_count")
+    return out if deployment is None else with_scalar(out, deployment)
 
 
 # ---------------------------------------------------------------- B3

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import attach_scalars, broadcast_if_small
+from ..session import checkpoint
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles, quantiles_wide
 
 
@@ -99,6 +100,17 @@ def group_means(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
     return g.select("class", F.explode(F.array(*structs)).alias("_r")).select("class", "_r.field", "_r.mean")
 
 
+def classes_by_mean(df: DataFrame, target: str, columns: list[str], order_by: str) -> DataFrame:
+    """Classes ranked by the mean of one numeric column, with the means of all wanted columns.
+
+    One row per class, so the ranking window spans the label set only; equal
+    means rank by class name and classes without values come last."""
+    aggs = [F.avg(F.col(c).cast("double")).alias(c) for c in dict.fromkeys([order_by, *columns])]
+    g = df.where(F.col(target).isNotNull()).groupBy(F.col(target).cast("string").alias("class")).agg(*aggs)
+    w = Window.partitionBy(F.lit(1)).orderBy(F.col(order_by).asc_nulls_last(), "class")
+    return g.select("class", F.row_number().over(w).alias("rank"), *[F.round(c, 6).alias(f"mean_{c}") for c in columns])
+
+
 def group_medians(df: DataFrame, target: str, columns: list[str], max_sort_rows: int = DEFAULT_MAX_SORT_ROWS) -> DataFrame:
     """Exact median of each numeric column per class."""
     base = df.where(F.col(target).isNotNull()).select(F.col(target).alias("class"), *columns)
@@ -196,12 +208,14 @@ def boxplot_stats(df: DataFrame, target: str, columns: list[str], max_sort_rows:
     fences = qw.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
         "_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     )
-    # (class, field) quartile table: one row per group, joined back to rows
-    wh = long.join(fences.select("class", "field", "_lo", "_hi"), ["class", "field"]).groupBy("class", "field").agg(
+    # (class, field) quartile table: one row per group, so the rows are not shuffled on the class
+    fences = checkpoint(fences)
+    narrow = fences.select("class", "field", "_lo", "_hi")
+    wh = long.join(broadcast_if_small(narrow, narrow.count()), ["class", "field"]).groupBy("class", "field").agg(
         F.min(F.when(F.col("x") >= F.col("_lo"), F.col("x"))).alias("whisker_low"),
         F.max(F.when(F.col("x") <= F.col("_hi"), F.col("x"))).alias("whisker_high"),
     )
-    return qw.join(wh, ["class", "field"]).select(
+    return fences.join(wh, ["class", "field"]).select(
         "class", "field",
         F.round("q1", 6).alias("q1"), F.round("med", 6).alias("median"), F.round("q3", 6).alias("q3"),
         F.round("whisker_low", 6).alias("whisker_low"), F.round("whisker_high", 6).alias("whisker_high"),

@@ -119,11 +119,14 @@ class FittedFeatures:
             out.append(F.col("label"))
         return pre.select(*out)
 
-    def long_form(self, df: DataFrame, key: str) -> DataFrame:
-        """(key, feature, value) rows of the transformed matrix, for inspection and SQL checks."""
+    def long_form(self, df: DataFrame, key: str, of: list[str] | None = None) -> DataFrame:
+        """(key, feature, value) rows of the transformed matrix, for inspection and SQL checks.
+
+        ``of`` keeps the one-hot features of these categorical columns only."""
         pre = self._prepare(df, [key])
-        names = self.feature_names()
-        arr = F.array(*[F.struct(F.lit(n).alias("feature"), e.alias("value")) for n, e in zip(names, self.feature_columns())])
+        wanted = None if of is None else {f"{c}_{v}" for c in of for v in self.categories[c]}
+        pairs = [(n, e) for n, e in zip(self.feature_names(), self.feature_columns()) if wanted is None or n in wanted]
+        arr = F.array(*[F.struct(F.lit(n).alias("feature"), e.alias("value")) for n, e in pairs])
         return pre.select(key, F.explode(arr).alias("_kv")).select(key, "_kv.feature", F.round("_kv.value", 6).alias("value"))
 
     # ---------------------------------------------------------------- persistence

@@ -82,7 +82,10 @@ def eda_job(df: DataFrame, roles: Roles, out_dir: str) -> dict:
     return _write({
         "describe": explore.describe(df, num),
         "correlation_matrix": explore.correlation_matrix(df, num),
+        "strongest_pair": explore.strongest_pair(df, num),
         "group_means": explore.group_means(df, t, num),
+        "classes_by_mean": explore.classes_by_mean(df, t, num, num[0]),
+        "widest_feature": explore.widest_feature(df, t, num),
         "group_medians": explore.group_medians(df, t, num),
         "target_distribution": explore.target_distribution(df, t),
         "crosstab_ratio": explore.crosstab_ratio(df, t, cat),
@@ -90,6 +93,7 @@ def eda_job(df: DataFrame, roles: Roles, out_dir: str) -> dict:
         "histogram": explore.histogram(df, num),
         "category_frequencies": explore.category_frequencies(df, cat),
         "boxplot_stats": explore.boxplot_stats(df, t, num),
+        **({"scatter": explore.scatter_sample(df, roles.key, t, num[0], num[1], num[0])} if len(num) > 1 and roles.key else {}),
     }, out_dir)
 
 

@@ -345,6 +345,22 @@ def q_overview(spark, sf):
     return audit.overview(_ml(spark, sf), ML_ORDERS)
 
 
+def _overview_model_sql() -> str:
+    from .queries_eval import RESULTS
+
+    return RESULTS + """SELECT (SELECT count(*) FROM ml_orders) AS row_count, CAST(4 AS BIGINT) AS feature_count, (SELECT count(DISTINCT tier) FROM ml_orders) AS class_count,
+  model AS selected_model, val_macro_f1, val_accuracy FROM results ORDER BY val_macro_f1 DESC, val_accuracy DESC, train_s, fixed_order LIMIT 1"""
+
+
+@register("overview_active", _overview_model_sql())
+def q_overview_active(spark, sf):
+    """The overview with the model that selection has made active."""
+    from ..operators import select
+    from .queries_eval import model_results
+
+    return audit.overview(_ml(spark, sf), ML_ORDERS, select.select_model(model_results(spark, sf)))
+
+
 @register(
     "coerce_numeric",
     OD + f"""SELECT o_orderkey, price_txt, {_sql_num('price_txt', 'string')} AS price_num FROM orders_dirty""",

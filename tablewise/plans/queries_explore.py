@@ -80,6 +80,16 @@ def _gm_sql() -> str:
     )
 
 
+@register(
+    "classes_by_mean",
+    ML + """SELECT tier AS class, CAST(row_number() OVER (ORDER BY avg(price), tier) AS INTEGER) AS rank,
+  round(avg(price), 6) AS mean_price, round(avg(balance), 6) AS mean_balance FROM ml_orders GROUP BY tier""",
+)
+def q_classes_by_mean(spark, sf):
+    """Classes ordered by the mean of one feature, with the means of the shown features."""
+    return explore.classes_by_mean(_ml(spark, sf), "tier", ML_NUM, "price")
+
+
 @register("group_means", _gm_sql())
 def q_group_means(spark, sf):
     """Class means of the numeric columns."""

@@ -162,8 +162,7 @@ def q_one_hot(spark, sf):
     """One-hot columns set for new records (unknown categories -> all zeros)."""
     f = fitted(spark, sf)
     rec = spark_view(spark, sf, "records")
-    long = f.long_form(rec, "row_id")
-    return long.where(F.col("feature").rlike("^(status|segment)_") & (F.col("value") == 1.0)).select("row_id", "feature")
+    return f.long_form(rec, "row_id", of=CAT).where(F.col("value") == 1.0).select("row_id", "feature")
 
 
 @register(

@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 
 from tablewise.operators import features as feat
 
@@ -40,5 +41,22 @@ def test_uniform_and_kmeans_edges(spark):
     fu = feat.fit_features(df, ["z"], [], None, n_bins=4, strategy="uniform")
     assert np.allclose(fu.bin_edges["z"], np.linspace(0, 22, 5))
     fk = feat.fit_features(df, ["z"], [], None, n_bins=3, strategy="kmeans")
-    e = fk.bin_edges["z"]
-    assert e[0] == 0 and e[-1] == 22 and all(a < b for a, b in zip(e, e[1:]))
+    z = np.array([r[2] for r in ROWS])
+    centres = np.linspace(0, 22, 4)[:-1] + 22 / 6
+    for _ in range(300):  # Lloyd's rule, value by value
+        near = np.abs(z[:, None] - centres).argmin(1)
+        new = np.array([z[near == k].mean() for k in range(3)])
+        if ((new - centres) ** 2).sum() <= 1e-4 * z.var():
+            centres = new
+            break
+        centres = new
+    centres.sort()
+    assert np.allclose(fk.bin_edges["z"], [0, *(centres[1:] + centres[:-1]) / 2, 22])
+
+
+def test_unseen_label_raises(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    f = feat.fit_features(df, ["x"], ["cat"], "tgt")
+    other = spark.createDataFrame([(1, 1.0, 1.0, "a", "never")], SCHEMA)
+    with pytest.raises(Exception, match="label not seen"):
+        f.transform(other).collect()
