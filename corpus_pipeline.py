@@ -1,7 +1,9 @@
 """Training-corpus pipeline: five stages over ``documents``, each one of the operators of ``tablewise.llm``.
 
 Every stage works on all rows that the one before it kept; all but the last
-return the columns of ``documents``.  The classifier is learnt, so no SQL
+return the columns of ``documents``.  Null and empty texts pass every stage but the
+second, which keeps one of them; other columns, whatever their names, pass
+unchanged; an empty table gives an empty result.  The classifier is learnt, so no SQL
 gives run()'s rows; tests hold each stage against a brute-force version.
 """
 
@@ -18,14 +20,15 @@ from tablewise.llm.queries import THRESHOLD, VOCABULARY
 ORACLE_SQL = None
 
 
-def _others(docs: DataFrame) -> tuple[str, ...]:
-    return tuple(c for c in docs.columns if c != "doc_id")
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the whole row as one column, so that no column name can clash with an operator's."""
+    return docs.select("doc_id", "text", F.struct("*").alias("row"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (score of at least ``THRESHOLD``)."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, keep=_others(docs)).filter(F.col("score") >= THRESHOLD).select(docs.columns)
+    return quality.score(_packed(docs), model, keep=("row",)).filter(F.col("score") >= THRESHOLD).select("row.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +44,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of ``benchmark``."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=_others(docs))
-    return found.filter("n_hit = 0").select(docs.columns)
+    found = decontaminate.find_contamination(_packed(docs), table(spark, sf_dir, "benchmark"), keep=("row",))
+    return found.filter("n_hit = 0").select("row.*")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,5 +62,19 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(left)
 
 
+def test_clashing_columns_null_texts_and_empty_tables(spark, tmp_path):
+    tables(spark, str(tmp_path))
+    rows = [(1, "Plain words that nobody else has said before now.", 0.5, 3, "r", "x"), (2, None, None, None, None, None), (None, "", 1.0, 1, "q", "y")]
+    schema = "doc_id long, text string, score double, n_hit long, row string, _text string"
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        want = docs.columns
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == want
+        left = docs.collect()
+        assert len(left) in (0, 2) and all(r in [tuple(x) for x in rows] for r in map(tuple, left))
+        assert corpus_pipeline.token_stage(spark, docs, str(tmp_path)).count() == len(left)
+
+
 def test_every_operator_has_its_query():
     assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
