@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, text_or_empty
+from .common import bounded_batches, releasing, text_or_empty
 from .textarrays import word_hashes
 
-CHUNK_CHARS = 500_000
-CACHE_PIECES = 250_000
+CHUNK_CHARS = 400_000
+CACHE_PIECES = 150_000
 BLOCK = 128
 SHORT = 64  # bytes of a piece that is cached and merged by list
 NONE = (1 << 31) - 1
@@ -432,8 +432,9 @@ def encode(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str =
                     ],
                     names=["doc_id", "ids", "offsets"],
                 )
+        codec.cache.clear()  # idle workers keep no pieces
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(releasing(run), schema)
 
 
 def _arrays(lists: pa.ListArray) -> Iterator[np.ndarray]:
@@ -458,4 +459,4 @@ def decode(encoded: DataFrame, vocabulary) -> DataFrame:
                 texts = [codec.decode(x) for x in _arrays(part.column(at))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(releasing(run), schema)

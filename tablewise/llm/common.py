@@ -2,19 +2,38 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewise.session import ensure_checkpoint_dir
 
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInArrow, giving free memory back to the system when its task ends.
+
+    Workers outlive tasks, and several stay idle beside the ones that work."""
+
+    def inner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return inner
+
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 #: what one batch between the JVM and Python may hold; long texts make few rows large
-BATCH_BYTES, BATCH_ROWS = 16 << 20, 4096
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1024
 
 
 def bounded_batches(spark: SparkSession) -> None:

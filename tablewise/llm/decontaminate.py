@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import save, text_or_empty
+from .common import releasing, save, text_or_empty
 
 WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 _FOLD = bytes(
@@ -104,7 +104,7 @@ def _count_shingles(docs: DataFrame, shared) -> dict[tuple[int, int], int]:
                 names=["k", "code", "n"],
             )
 
-    counted = docs.mapInArrow(run, "k int, code long, n long").groupBy("k", "code").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(releasing(run), "k int, code long, n long").groupBy("k", "code").agg(F.sum("n").alias("n"))
     return {(r.k, r.code): r.n for r in counted.collect()}
 
 
@@ -200,7 +200,7 @@ def _mark(rows: DataFrame, shared, with_text: bool) -> DataFrame:
             new = {"_n": pa.array(n_words, pa.int64()), "_spans": pa.array(spans, _ARROW_SPANS), "_items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([new.get(f.name, old[f.name]) for f in fields], names=[f.name for f in fields])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def find_contamination(

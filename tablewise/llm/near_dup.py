@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_key, save, text_or_empty
+from .common import id_key, releasing, save, text_or_empty
 from .components import connected_components
 from .textarrays import column_bytes, gram_hashes, lower_ascii, mix, word_hashes, word_spans
 
@@ -124,7 +124,7 @@ def describe(docs: DataFrame, words: int, bands: int, rows: int, seed: int, id_c
                     names=schema.names,
                 )
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(releasing(run), schema)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
@@ -141,7 +141,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
                     [pa.array([hashlib.md5(x).digest() for x in raw], pa.binary()), pa.array(raw, pa.binary())], names=["node", "codes"]
                 )
 
-    return rows.mapInArrow(run, "node binary, codes binary").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return rows.mapInArrow(releasing(run), "node binary, codes binary").join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def _alike(a: pa.Buffer, b: pa.Buffer, count: int) -> float:
@@ -161,7 +161,7 @@ def _check_signatures(pairs: DataFrame, nodes: DataFrame, count: int) -> DataFra
             ok = pa.array([_alike(s.as_buffer(), t.as_buffer(), count) >= ESTIMATE for s, t in both], pa.bool_())
             yield batch.select([0, 1]).filter(ok)
 
-    return joined.select("a", "b", "_s", "_t").mapInArrow(run, "a binary, b binary")
+    return joined.select("a", "b", "_s", "_t").mapInArrow(releasing(run), "a binary, b binary")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -180,7 +180,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return joined.select("a", "b", "_x", "_y").mapInArrow(run, "a binary, b binary")
+    return joined.select("a", "b", "_x", "_y").mapInArrow(releasing(run), "a binary, b binary")
 
 
 def _first_pairs(buckets: DataFrame) -> DataFrame:

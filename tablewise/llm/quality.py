@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import releasing, text_or_empty
 from .textarrays import mix
 
 TERMS = 2048
@@ -160,7 +160,7 @@ def fit(
             counts = [term_counts(t).astype(np.float32).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array(counts, pa.binary())], names=["id", "y", "counts"])
 
-    got = rows.mapInArrow(run, "id string, y double, counts binary").limit(max_labelled).toPandas().sort_values(["id", "counts"])
+    got = rows.mapInArrow(releasing(run), "id string, y double, counts binary").limit(max_labelled).toPandas().sort_values(["id", "counts"])
     if got.empty:
         z = np.zeros((TERMS, 1), np.float32)
         return Model(np.zeros(TERMS, np.float32), z, np.zeros((0, 1), np.float32), np.zeros(0), 0.5, neighbours, sharpness)
@@ -192,6 +192,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 scores = pa.array(shared.value.score(counts), pa.float64())
                 yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], scores], names=schema.names)
 
-    return src.mapInArrow(run, schema).select(
+    return src.mapInArrow(releasing(run), schema).select(
         F.col("_id").alias("doc_id"), *[F.col(f"_keep_{c}").alias(c) for c in keep], "score"
     )

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import Runs, merge_spans, runs_of_batch
-from .common import save, text_or_empty
+from .common import releasing, save, text_or_empty
 from .textarrays import column_bytes
 
 #: contexts dealt to one task
@@ -86,7 +86,7 @@ def describe(docs: DataFrame, units: Units, id_col: str, text_col: str) -> DataF
                     names=schema.names,
                 )
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(releasing(run), schema)
 
 
 def parts(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -187,7 +187,7 @@ def contexts(rows: DataFrame, units: Units) -> DataFrame:
                         schema=_ARROW_CONTEXTS,
                     )
 
-    return rows.mapInArrow(run, CONTEXTS)
+    return rows.mapInArrow(releasing(run), CONTEXTS)
 
 
 def _emit(out: list[list], found: Runs, key: np.ndarray, pick: np.ndarray, offsets, plain, keys, firsts, units: Units) -> None:
@@ -231,7 +231,7 @@ def decide(found: DataFrame, judge: Callable) -> DataFrame:
         out = table.select(["key", "context_id", "first_id", "runs"]).append_column("spans", pa.array(spans, kind))
         yield from out.combine_chunks().to_batches(max_chunksize=10_000)
 
-    return grouped.repartition(tasks, "key").mapInArrow(run, DECIDED)
+    return grouped.repartition(tasks, "key").mapInArrow(releasing(run), DECIDED)
 
 
 _ARROW_DISTINCT = [("key", pa.int64()), ("context_id", pa.binary()), ("context", pa.binary()), ("first_id", pa.int64()), ("runs", pa.int64())]
@@ -277,4 +277,4 @@ def cut_texts(rows: DataFrame, pieces: DataFrame, units: Units, join_kept: Calla
                     names=["text_key", "kept", "n_removed", "removed"],
                 )
 
-    return rows.select("text_key", "text").join(pieces, "text_key").mapInArrow(run, CUT)
+    return rows.select("text_key", "text").join(pieces, "text_key").mapInArrow(releasing(run), CUT)

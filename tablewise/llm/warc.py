@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import save, text_or_empty
+from .common import releasing, save, text_or_empty
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -223,7 +223,7 @@ def _reached(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def scan_archive(spark: SparkSession, path: str) -> DataFrame:
     """All segments of the archive with absolute offsets (``off`` of the magic, ``nxt`` of the successor)."""
-    found = save(_segments(spark, path).mapInArrow(_scan, _SEGMENT_SCHEMA), "warc-segments")
+    found = save(_segments(spark, path).mapInArrow(releasing(_scan), _SEGMENT_SCHEMA), "warc-segments")
     used = found.groupBy("file", "split").agg(F.sum("size").alias("_used"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     base = used.withColumn("_base", F.coalesce(F.sum("_used").over(before), F.lit(0))).drop("_used")
@@ -295,9 +295,9 @@ def read_payloads(spark: SparkSession, path: str, segments: DataFrame, records:
     owned = save(owned, "warc-owned")
     if owned.count() <= BROADCAST_SEGMENTS:
         owned = F.broadcast(owned)
-    pieces = _segments(spark, path).mapInArrow(_places, "file string, split long, at long, value binary").join(owned, ["file", "split", "at"])
+    pieces = _segments(spark, path).mapInArrow(releasing(_places), "file string, split long, at long, value binary").join(owned, ["file", "split", "at"])
     whole = pieces.groupBy("file", "_owner").agg(_assemble(F.collect_list(F.struct("off", "value"))).alias("raw"))
-    return whole.select("file", F.col("_owner").alias("off"), "raw").mapInArrow(_payloads, _PAYLOAD_SCHEMA)
+    return whole.select("file", F.col("_owner").alias("off"), "raw").mapInArrow(releasing(_payloads), _PAYLOAD_SCHEMA)
 
 
 def reachable_starts(segments: DataFrame) -> DataFrame:
