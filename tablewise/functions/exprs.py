@@ -33,11 +33,6 @@ def finite_or_null(c) -> Column:
     return F.when(is_finite(c), c)
 
 
-def nan_to_null(c) -> Column:
-    c = col_(c)
-    return F.when(~F.isnan(c), c)
-
-
 def strip(c) -> Column:
     """Strip leading/trailing whitespace (tabs and newlines too, unlike trim)."""
     return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
@@ -63,14 +58,6 @@ def coerce_double(c, dtype: str) -> Column:
     return F.when(ok, t.try_cast("double"))
 
 
-def round6(c) -> Column:
-    return F.round(col_(c), 6)
-
-
-def safe_div(a, b) -> Column:
-    return F.try_divide(col_(a), col_(b))
-
-
 def attach_scalars(df, one_row):
     """Attach the columns of a one-row aggregate to every row as typed literals.
 
@@ -82,11 +69,18 @@ def attach_scalars(df, one_row):
     return df.select("*", *[F.lit(r[c]).cast(types[c]).alias(c) for c in one_row.columns])
 
 
-# Largest table (rows) the library hints as a broadcast side; beyond it the
-# join is left to the planner (shuffle join, AQE may still broadcast).
-BROADCAST_ROW_LIMIT = 1_000_000
+# Largest table (bytes, estimated from its rows and types) the library hints as a
+# broadcast side; beyond it the join is left to the planner (shuffle join).
+BROADCAST_BYTE_LIMIT = 32 << 20
+NUMBER_BYTES, OTHER_BYTES = 8, 256
+
+
+def row_bytes(df) -> int:
+    """Width of a row: 8 bytes a number, 256 for any other field (names and labels)."""
+    kinds = [t for _, t in df.dtypes]
+    return 16 + sum(OTHER_BYTES if t.startswith(("string", "binary", "array", "map", "struct", "variant")) else NUMBER_BYTES for t in kinds)
 
 
-def broadcast_if_small(df, rows: int, limit: int = BROADCAST_ROW_LIMIT):
-    """Broadcast hint only for a side whose row count (known on the driver) is bounded."""
-    return F.broadcast(df) if rows <= limit else df
+def broadcast_if_small(df, rows: int, limit: int = BROADCAST_BYTE_LIMIT):
+    """Broadcast hint only for a side whose size (its row count is known on the driver) is bounded."""
+    return F.broadcast(df) if rows * row_bytes(df) <= limit else df

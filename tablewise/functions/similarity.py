@@ -22,7 +22,6 @@ pair with ratio >= t is missed.
 
 from __future__ import annotations
 
-import math
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -116,7 +115,3 @@ def similar_pairs(vals: DataFrame, field: str, value: str, threshold: float = 0.
             *["r" + c for c in tags],
         )
     )
-
-
-def min_overlap(length: int, threshold: float) -> int:
-    return math.ceil(threshold * length / (2.0 - threshold) - EPS)

@@ -8,7 +8,7 @@ size is bounded by the label set, never by the row count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import attach_scalars
@@ -142,7 +142,7 @@ def log_loss(df: DataFrame, probs: list[str], label_index: str, weights_sq_sum:
 def evaluate(df: DataFrame, y: str, p: str, classes: list[str], by: list[str] | None = None) -> DataFrame:
     """Accuracy, macro and weighted metrics per group in one table (one data pass)."""
     by = list(by or [])
-    cm = confusion_matrix(df, y, p, classes, by).transform(checkpoint)
+    cm = confusion_matrix(df, y, p, classes, by)  # built from checkpointed cells
     acc = cm.groupBy(*by).agg(
         F.round(F.try_divide(F.sum(F.when(F.col("true_class") == F.col("pred_class"), F.col("count"))).cast("double"), F.sum("count")), 6).alias("accuracy")
     )
@@ -160,7 +160,3 @@ def evaluate(df: DataFrame, y: str, p: str, classes: list[str], by: list[str] |
     if not by:
         return attach_scalars(attach_scalars(acc, mac), wei)
     return acc.join(mac, by).join(wei, by)
-
-
-def rank_window(order_cols) -> Window:
-    return Window.orderBy(*order_cols)
