@@ -11,8 +11,10 @@ when one group holds a third of a 100 TB table.  Here:
   below and inside the current bracket and summarises the inside by
   ``percentile_approx`` on a fixed grid.  The grid neighbours of the rank, widened by
   the sketch's error bound, are the next bracket, about ``GRID`` times smaller.
-  Brackets of at most ``max_sort_rows`` values are ranked exactly.  A pass that
-  fails to narrow a bracket raises; nothing falls through.
+  Rows equal to an end of a bracket are counted by themselves, so a rank among
+  frequent equal values is answered at once and otherwise the next bracket lies
+  strictly between the ends.  Brackets of at most ``max_sort_rows`` values are
+  ranked exactly.
 
 The bracket table (one row per wanted rank of a large group) is broadcast in
 blocks of at most ``BLOCK_BRACKETS`` rows, so the data side is never shuffled on
@@ -80,7 +82,7 @@ def _narrow(d: DataFrame, gk: list[str], wanted: list[Row], max_sort_rows: int)
         T.StructField("_from", T.DoubleType()), T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType()),
     ])
     # several ranks of a group share a bracket until their brackets part
-    state = {i: {"key": tuple(r[k] for k in gk), "rank": r["_rank"], "lo": None, "hi": None, "from": None, "below": 0, "inside": r["_n"]} for i, r in enumerate(wanted)}
+    state = {i: {"key": tuple(r[k] for k in gk), "rank": r["_rank"], "lo": None, "hi": None, "from": None, "below": 0} for i, r in enumerate(wanted)}
     done: dict[int, tuple] = {}
     while state:
         shared: dict[tuple, list[int]] = {}
@@ -91,14 +93,20 @@ def _narrow(d: DataFrame, gk: list[str], wanted: list[Row], max_sort_rows: int)
         v = F.col("_v").cast("double")
         from_, lo, hi = F.col("_from"), F.col("_lo"), F.col("_hi")
         reach = (from_.isNull() | (v >= from_)) & (hi.isNull() | (v <= hi))
-        inside = (lo.isNull() | (v >= lo)) & (hi.isNull() | (v <= hi))
+        # the ends are values of the column and may be frequent: they are counted by themselves
+        skipped, at_lo, at_hi = lo.isNotNull() & (v < lo), lo.isNotNull() & (v == lo), hi.isNotNull() & (v == hi) & (lo < hi)
+        inside = lo.isNull() | ((v > lo) & (v < hi))
         x = F.when(inside, v)
+
+        def ends(where, name):
+            y = F.when(where, F.col("_v"))
+            return [F.count(y).alias(f"{name}_n"), F.min(y).alias(f"{name}_least"), F.max(y).alias(f"{name}_most")]
+
         got = (
             d.join(br, _match(gk) & reach)
             .groupBy("_id")
-            .agg(F.count_if(~inside).alias("_skipped"), F.count(x).alias("_inside"), F.min(x).alias("_low"), F.max(x).alias("_high"),
-                 F.min(F.when(inside, F.col("_v"))).alias("_least"), F.max(F.when(inside, F.col("_v"))).alias("_most"),
-                 F.percentile_approx(x, grid, ACCURACY).alias("_sketch"))
+            .agg(F.count_if(skipped).alias("_skipped"), *ends(at_lo, "_at_lo"), *ends(inside, "_inside"), *ends(at_hi, "_at_hi"),
+                 F.min(x).alias("_low"), F.max(x).alias("_high"), F.percentile_approx(x, grid, ACCURACY).alias("_sketch"))
             .collect()
         )
         by = {r["_id"]: r for r in got}
@@ -107,21 +115,39 @@ def _narrow(d: DataFrame, gk: list[str], wanted: list[Row], max_sort_rows: int)
             r = by[n]
             for i in ids:
                 s = state[i]
-                below, inside_n = s["below"] + r["_skipped"], r["_inside"]
-                if not below <= s["rank"] < below + inside_n:
+                below = s["below"] + r["_skipped"]
+                part = None
+                for name, low, high in (("_at_lo", s["lo"], s["lo"]), ("_inside", r["_low"], r["_high"]), ("_at_hi", s["hi"], s["hi"])):
+                    if below <= s["rank"] < below + r[f"{name}_n"]:
+                        part = name
+                        break
+                    below += r[f"{name}_n"]
+                if part is None:
                     raise RuntimeError("order statistics: a bracket lost its rank (input changed between passes)")
-                single = r["_least"] == r["_most"]
-                if inside_n <= max_sort_rows or single:
-                    done[i] = (*s["key"], s["rank"], r["_low"], r["_high"], below, r["_least"] if single else None)
-                    continue
-                lo_, hi_ = _next_bracket(Row(**r.asDict(), _rank=s["rank"], _below=below), grid)
-                if (s["lo"], s["hi"]) == (lo_, hi_):
-                    raise RuntimeError("order statistics: a pass did not narrow its bracket")
-                again[i] = {"key": s["key"], "rank": s["rank"], "from": r["_low"], "lo": lo_, "hi": hi_, "below": below, "inside": inside_n}
+                count = r[f"{part}_n"]
+                single = r[f"{part}_least"] == r[f"{part}_most"]
+                if count <= max_sort_rows or single:
+                    done[i] = (*s["key"], s["rank"], low, high, below, r[f"{part}_least"] if single else None)
+                elif low == high:
+                    done[i] = (*s["key"], s["rank"], low, high, *_count_values(d, gk, s["key"], low, s["rank"], below))
+                else:
+                    # strictly between two ends, so every pass leaves two values out
+                    lo_, hi_ = _next_bracket(Row(**r.asDict(), _inside=count, _rank=s["rank"], _below=below), grid)
+                    again[i] = {"key": s["key"], "rank": s["rank"], "from": low, "lo": lo_, "hi": hi_, "below": below}
         state = again
     return [done[i] for i in sorted(done)]
 
 
+def _count_values(d: DataFrame, gk: list[str], key: tuple, at: float, rank: int, below: int) -> tuple:
+    """(below, value) of a rank among the many values that are one double: they are counted one by one, in order."""
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(x)) for k, x in zip(gk, key, strict=True)])
+    for r in d.where(same & (F.col("_v").cast("double") == at)).groupBy("_v").count().orderBy("_v").toLocalIterator():
+        if rank < below + r["count"]:
+            return below, r["_v"]
+        below += r["count"]
+    raise RuntimeError("order statistics: a bracket lost its rank (input changed between passes)")
+
+
 def _bracket_pick(d: DataFrame, gk: list[str], big: DataFrame, max_sort_rows: int) -> DataFrame:
     spark = d.sparkSession
     key_fields = [d.schema[k] for k in gk]

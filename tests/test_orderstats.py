@@ -61,3 +61,20 @@ def test_large_groups_are_not_shuffled_on_their_key(spark, threshold):
 def test_random_small_groups(spark, values):
     pdf = pd.DataFrame({"g": ["x"] * len(values), "v": [float(x) for x in values]})
     _check(spark, pdf, [0.1, 0.5, 0.9], 7)
+
+
+def test_ranks_at_the_border_of_frequent_values(spark):
+    n = 4000
+    halves = [(f"z{z}", float(i >= z)) for z in (1980, 1999, 2000, 2001, 2020) for i in range(n)]  # 0/1, border within a grid step of the median
+    fifty = [("fifty", float(i % 50 + 1)) for i in range(n)]  # a border at exactly 50 %
+    neighbours = [("near", x) for x in [1.0] * 1990 + [1.5] * 20 + [2.0] * 1990]  # the rank lies strictly between two frequent values
+    pdf = pd.DataFrame(halves + fifty + neighbours, columns=["g", "v"])
+    _check(spark, pdf, [0.0, 0.02, 0.25, 0.495, 0.5, 0.505, 0.75, 1.0], 60)
+
+
+def test_many_long_values_that_are_one_double(spark):
+    v = np.sort(np.repeat((1 << 60) + np.arange(-20, 20), 50))  # doubles are 128 to 256 apart here
+    df = spark.createDataFrame(pd.DataFrame({"g": ["x"] * len(v), "v": v}))
+    t = spark.createDataFrame([("x", r, len(v)) for r in (0, 999, 1000, 1999)], "g string, _rank long, _n long")
+    got = {r["_rank"]: (r["_value"], r["_below"]) for r in order_statistics(df, ["g"], "v", t, 60).collect()}
+    assert got == {r: (v[r], (v < v[r]).sum()) for r in (0, 999, 1000, 1999)}
