@@ -10,11 +10,11 @@ gives run()'s rows; tests hold each stage against a brute-force version.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewise.llm import bpe, decontaminate, exact_dedup, near_dup, quality
-from tablewise.llm.common import id_key, save, shared_path, table
+from tablewise.llm.common import id_key, save, shared_path, table, text_or_empty
 from tablewise.llm.queries import THRESHOLD, VOCABULARY
 
 ORACLE_SQL = None
@@ -36,10 +36,16 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first(docs, exact_dedup.DigestIndex(spark, shared_path(spark, "digests")))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """Id and digest of the text, which no two rows share after the exact stage; null ids are larger than any."""
+    return F.struct(docs["doc_id"].isNull().alias("none"), docs["doc_id"].alias("id"), F.sha2(text_or_empty(docs["text"]), 256).alias("digest"))
+
+
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, the one with the smallest id."""
-    gone = near_dup.near_duplicates(docs).filter("NOT kept").select(id_key("doc_id").alias("_id"))
-    return docs.select(F.struct("*").alias("row"), id_key("doc_id").alias("_id")).join(gone, "_id", "left_anti").select("row.*")
+    """One document of each near-duplicate component: the smallest id, of equal or null ids the smallest digest."""
+    found = near_dup.near_duplicates(docs.select(_row_key(docs).alias("doc_id"), "text"))
+    gone = found.filter("NOT kept").select(id_key("doc_id").alias("_id"))
+    return docs.select(F.struct("*").alias("row"), id_key(_row_key(docs)).alias("_id")).join(gone, "_id", "left_anti").select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,5 +76,21 @@ def test_clashing_columns_null_texts_and_empty_tables(spark, tmp_path):
         assert corpus_pipeline.token_stage(spark, docs, str(tmp_path)).count() == len(left)
 
 
+def test_near_stage_tells_null_and_repeated_ids_apart(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(words(rng, 40, 5000)) for _ in range(5))
+    rows = [
+        (3, a), (None, a + " more"),  # the copy without an id goes ...
+        (None, b), (None, None), (None, ""),  # ... and no other row without one
+        (None, c), (None, c + " more"), (None, c + " again"),  # one of three stays
+        (5, d), (7, d + " more"), (7, e),  # only the copy under id 7 goes
+        (8, e + " more"), (8, e + " again"),  # the smallest id of the component stays
+    ]
+    kept = [tuple(r) for r in corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    of_c = [r for r in kept if r[1] and r[1].startswith(c)]
+    assert len(of_c) == 1 and of_c[0] in rows[5:8]
+    assert sorted(map(str, set(kept) - set(of_c))) == sorted(map(str, [rows[0], rows[2], rows[3], rows[4], rows[8], rows[10]])) and len(kept) == 7
+
+
 def test_every_operator_has_its_query():
     assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
