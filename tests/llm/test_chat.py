@@ -71,6 +71,45 @@ def test_format_and_read_back(spark):
     assert len(back[2].turns[0].text) == 100_000 and back[2].loss_texts == []
 
 
+def test_conversations_without_turns_stay(spark):
+    records = [
+        (1, 0, {"foo": 1}), (2, 0, {"messages": []}), (None, 0, {"prompt": "p"}),
+        (3, 0, {"role": "user", "text": "q"}), (3, 1, {"foo": 2}), (3, 2, {"messages": []}), (3, 3, {"role": "assistant", "text": "a"}),
+    ]
+    formatted = chat.format_chats(frame(spark, records), "conv", "pos")
+    rows = {r.conv: r for r in formatted.collect()}
+    assert {c: (r.n_turns, r.n_unmapped) for c, r in rows.items()} == {1: (0, 1), 2: (0, 0), None: (0, 1), 3: (2, 1)}
+    assert rows[1].formatted == "" and rows[1].mask == []
+    text, mask = brute([("user", "q"), ("assistant", "a")])
+    assert rows[3].formatted == text and [tuple(m) for m in rows[3].mask] == mask
+    back = {r.conv: [(t.role, t.text) for t in r.turns] for r in chat.parse_chats(formatted, "conv").collect()}
+    assert back == {1: [], 2: [], None: [], 3: [("user", "q"), ("assistant", "a")]}
+
+
+def test_layouts_with_system_and_partial_items(spark):
+    s, q, a = ("system", "s"), ("user", "q"), ("assistant", "a")
+    both = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+    cases = [
+        ({"system": "s", "prompt": "q", "completion": "a"}, [s, q, a]),
+        ({"system": "s", "instruction": "q", "output": "a"}, [s, q, a]),
+        ({"system": "s", "instruction": "q", "input": "i", "output": "a"}, [s, ("user", "q\n\ni"), a]),
+        ({"system": "s", "question": "q", "answer": "a"}, [s, q, a]),
+        ({"system": "s", "messages": both}, [s, q, a]),
+        ({"system": "s", "messages": [{"role": "system", "content": "s"}, *both]}, [s, q, a]),
+        ({"system": None, "messages": both}, [q, a]),
+        ({"prompt": "q", "messages": both}, [q, a]),
+        ({"prompt": "other", "messages": both}, [("user", "other"), q, a]),
+        ({"system": "s", "prompt": "q", "messages": []}, [s, q]),
+        ({"messages": [{"role": "assistant", "tool": 1}, *both]}, [("assistant", ""), q, a]),
+        ({"messages": [{"content": "q"}, {"role": "assistant", "content": "a"}]}, [("", "q"), a]),
+        ({"system": "s", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}, [s, q, a]),
+        ({"conversations": []}, []),
+    ]
+    out = chat.format_chats(frame(spark, [(i, 0, r) for i, (r, _) in enumerate(cases)]), "conv", "pos")
+    rows = {r.conv: (r.formatted, [tuple(m) for m in r.mask], r.n_unmapped) for r in out.collect()}
+    assert rows == {i: (*brute(want), 0) for i, (_, want) in enumerate(cases)}
+
+
 def test_empty_and_native(spark):
     df = frame(spark, [(1, 0, {"role": "user", "text": "x"})])
     out = chat.parse_chats(chat.format_chats(df, "conv", "pos"), "conv")
