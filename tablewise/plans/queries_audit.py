@@ -326,10 +326,16 @@ def _issues_sql() -> str:
 
 @register("quality_issues", _issues_sql())
 def q_quality_issues(spark, sf):
-    """Issue list (code, severity, field, detail) of the dirty orders, without the similar-spelling rows."""
+    """The part of ``quality_issues_full`` that SQL can check: all but the similar-spelling rows."""
     return audit.quality_issues(_od(spark, sf), ORDERS_DIRTY, similar=False)
 
 
+@register("quality_issues_full")
+def q_quality_issues_full(spark, sf):
+    """The whole issue list (code, severity, field, detail) of the dirty orders."""
+    return audit.quality_issues(_od(spark, sf), ORDERS_DIRTY)
+
+
 @register("similar_issues")
 def q_similar_issues(spark, sf):
     """The issue rows that count similar spellings per field."""

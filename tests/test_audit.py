@@ -101,3 +101,13 @@ def test_issue_list(tools):
     assert "case_conflicts=1" in issues[("categorical_quality", "colour")]["detail"]
     assert issues[("similar_values", "colour")]["detail"].startswith("similar_pairs=")
     assert ("schema_invalid", None) not in issues
+
+
+def test_a_registered_issue_list_is_the_whole_one(spark):
+    import __spark_entry__ as entry
+    import bench
+    from conftest import SF_SMALL
+
+    rows = {k: {tuple(r) for r in entry.queries()[k](spark, SF_SMALL).collect()} for k in ("quality_issues", "similar_issues", "quality_issues_full")}
+    assert rows["similar_issues"] and rows["quality_issues_full"] == rows["quality_issues"] | rows["similar_issues"]
+    assert "quality_issues_full" in bench.HEADLINE
