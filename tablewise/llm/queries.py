@@ -1,4 +1,4 @@
-"""Queries of the ten operators, each over its whole table, with DuckDB SQL where SQL can express them.
+"""Queries of the thirteen operators, each over its whole table, with DuckDB SQL where SQL can express them.
 
 Every query is a thin reading of its operator's output: it derives digests
 and counts from the texts, ids and spans that the operator returns.
@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, near_dup, phrase_dedup, quality, sharding, suffix_dedup, warc
-from .common import save, shared_path, table
+from . import bpe, chat, decontaminate, exact_dedup, fill_middle, html_text, near_dup, periodic_runs, phrase_dedup, quality, sharding, suffix_dedup, warc
+from .common import save, shared_path, table, text_or_empty
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: a document is rejected below this score
@@ -194,4 +194,76 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+@_query
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` as prefix, suffix and middle, and rebuilt from that."""
+    settings = fill_middle.Settings()
+    out = fill_middle.transform(table(spark, sf_dir, "documents"), settings)
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", _sha("output").alias("output_sha256"),
+        _sha(fill_middle.restore("output", "form", settings)).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fill_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+  CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM g),
+p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@_query
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+# the tables' articles hold paragraphs, headings and the two character references below
+ORACLES["op12_html_extract"] = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS x FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(x, '</?(?:p|h1)>'),
+  lambda y: trim(regexp_replace(regexp_replace(replace(regexp_replace(y, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS y FROM a),
+c AS (SELECT page_id, url, array_to_string(list_filter(y, lambda z: z <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM c
+"""
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``, the texts of a tenth of all ids with a tail of words that repeats.
+
+    With h the CRC-32 of the id, g = h // 10 and n words, h % 10 = 0 makes each word i >= a
+    the word a + (i - a) % p, where a = g % n and p = 1 + (n - a) // (3 + g % 8)."""
+    docs = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("h", F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")))
+    chosen = (F.col("h") % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.withColumn("w", words).withColumns({"n": F.size("w").cast("long"), "g": F.floor(F.col("h") / 10)})
+    rows = rows.withColumn("a", F.col("g") % F.col("n")).withColumn("rest", F.col("n") - F.col("a"))
+    rows = rows.withColumn("p", 1 + F.floor(F.col("rest") / (3 + F.col("g") % 8)))
+    unit = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(F.col("rest") / F.col("p")).cast("int"))), F.lit(1), F.col("rest").cast("int"))
+    planted = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("w").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words in every text of ``documents``, a tenth of them with a repeated tail, and the texts without the repeats."""
+    out = periodic_runs.collapse_runs(repeated_tails(table(spark, sf_dir, "documents")))
+    # exponents are compared as fractions; of equal ones the first by start, then period, stays
+    longest = F.aggregate("runs", F.get("runs", F.lit(0)), lambda x, y: F.when(y["length"] * x["period"] > x["length"] * y["period"], y).otherwise(x))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return out.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        _sha(F.array_join(lines, "")).alias("runs_sha256"), _sha("collapsed").alias("collapsed_sha256"),
+    )
+
+
 __all__ = ["ORACLES", "QUERIES", "save"]

@@ -42,6 +42,11 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
+def white(raw: np.ndarray) -> np.ndarray:
+    """Which bytes are white space (0x20, 0x09-0x0D)."""
+    return _WHITE[raw]
+
+
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begins and ends of the words (runs without 0x20, 0x09-0x0D); words never cross a text's end."""
     inside = ~_WHITE[raw]
