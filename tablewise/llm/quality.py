@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,7 +46,7 @@ KINDS = 2
 SHARES, GAIN = (0.0, 0.25, 0.5, 0.75), 0.01
 #: partitions of the training rows while their Gram matrices are summed
 GRAM_PARTS = 2
-PIECE_CHARS = 1 << 20
+PIECE_CHARS, SHORT_POWERS = 1 << 18, 1 << 14
 _SPACES = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85, 0xA0, 0x2028, 0x2029, 0x3000], np.uint32)
 
 
@@ -140,19 +140,21 @@ def _word_terms(text: str) -> list[np.ndarray]:
 _STEP = 0x9E3779B97F4A7C15
 
 
-@cache
-def _all_powers() -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(1)
+def _all_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_STEP, pow(_STEP, -1, 1 << 64)):
-        p = np.full(2 * PIECE_CHARS, base, np.uint64)  # lower-casing may lengthen a text
+        p = np.full(n, base, np.uint64)
         p[0] = 1
         out.append(np.multiply.accumulate(p))
     return out[0], out[1]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the step and of its inverse modulo 2^64."""
-    up, down = _all_powers()
+    """The first n powers of the step and of its inverse modulo 2^64; only short ones stay in memory."""
+    if n > SHORT_POWERS:
+        return _all_powers.__wrapped__(n)
+    up, down = _all_powers(SHORT_POWERS)
     return up[:n], down[:n]
 
 

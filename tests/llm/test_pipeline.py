@@ -93,4 +93,4 @@ def test_near_stage_tells_null_and_repeated_ids_apart(spark):
 
 
 def test_every_operator_has_its_query():
-    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 14))
