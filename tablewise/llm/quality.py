@@ -46,6 +46,8 @@ KINDS = 2
 SHARES, GAIN = (0.0, 0.25, 0.5, 0.75), 0.01
 #: partitions of the training rows while their Gram matrices are summed
 GRAM_PARTS = 2
+#: rows of a Gram matrix that travel together
+GRAM_ROWS = 64
 PIECE_CHARS, SHORT_POWERS = 1 << 18, 1 << 14
 _SPACES = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85, 0xA0, 0x2028, 0x2029, 0x3000], np.uint32)
 
@@ -270,17 +272,19 @@ def _bases(rows: DataFrame, idf: np.ndarray, dims: int) -> np.ndarray:
                     part = x[:, k * TERMS : (k + 1) * TERMS]
                     sums[k] += part.T @ part
         for k in range(KINDS):
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([sums[k].tobytes()], pa.binary())], names=["kind", "gram"])
+            for i in range(0, TERMS, GRAM_ROWS):  # in small pieces, which no heap minds
+                piece = sums[k][i : i + GRAM_ROWS].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([i], pa.int32()), pa.array([piece], pa.binary())], names=["kind", "first", "gram"])
 
     def decompose(part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((TERMS, TERMS), np.float32)
-        for g in part["gram"]:
-            total += np.frombuffer(g, np.float32).reshape(TERMS, TERMS)
+        for i, g in zip(part["first"], part["gram"], strict=True):
+            total[i : i + GRAM_ROWS] += np.frombuffer(g, np.float32).reshape(-1, TERMS)
         _, vectors = np.linalg.eigh(total)
         top = np.ascontiguousarray(vectors[:, ::-1][:, :dims]).astype(np.float32)
         return pd.DataFrame({"kind": part["kind"].iloc[:1].to_numpy(), "basis": [top.tobytes()]})
 
-    parts = rows.select("at", "n").coalesce(GRAM_PARTS).mapInArrow(releasing(grams), "kind int, gram binary")
+    parts = rows.select("at", "n").coalesce(GRAM_PARTS).mapInArrow(releasing(grams), "kind int, first int, gram binary")
     found = parts.groupBy("kind").applyInPandas(decompose, "kind int, basis binary").collect()
     return np.stack([np.frombuffer(r.basis, np.float32).reshape(TERMS, -1) for r in sorted(found, key=lambda r: r.kind)])
 
