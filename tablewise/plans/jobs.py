@@ -21,6 +21,7 @@ from ..operators import train as tr
 from ..roles import Roles
 from ..session import checkpoint
 from ..sources import files, results
+from .grids import LOGISTIC_CANDIDATES, MLP_CANDIDATES
 
 
 def _write(tables: dict, out_dir: str) -> dict:
@@ -113,9 +114,14 @@ def _predictions(probs: DataFrame, classes: list[str]) -> DataFrame:
 def train_job(prepared: DataFrame, fitted, meta, out_dir: str, grid: dict | None = None) -> dict:
     """train: the four model families on the train rows, candidates chosen on
     validation macro-F1; candidates, epoch histories, times and a bundle of each
-    chosen model are written.  ``grid`` holds the families' parameters."""
+    chosen model are written.  ``grid`` holds the families' parameters; without it all
+    default candidates are fitted."""
     spark = prepared.sparkSession
-    grid = {"logistic": ((0.5, False), (1.0, False), (1.0, True)), "mlp": (), "mlp_args": {}, "softmax": {}, "mlp_gd": {}} | (grid or {})
+    default = {
+        "logistic": tuple((c["C"], c["class_weight"] == "balanced") for c in LOGISTIC_CANDIDATES), "mlp": MLP_CANDIDATES,
+        "mlp_args": {}, "softmax": {}, "mlp_gd": {},
+    }
+    grid = default | (grid or {})
     classes = fitted.classes
     train, val = (checkpoint(prepared.where(F.col("split") == s)) for s in ("train", "validation"))
     n = float(train.count())

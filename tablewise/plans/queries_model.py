@@ -15,23 +15,10 @@ from ..operators import train as tr
 from ..session import checkpoint
 from .catalog import register
 from .fixtures import spark_view
+from .grids import LOGISTIC_CANDIDATES, MLP_CANDIDATES
 from .queries_features import Prep
+from .queries_prepare import split_cte
 
-# Candidate grids of the reference configuration (fixed values).
-LOGISTIC_CANDIDATES = [
-    {"C": 0.5, "class_weight": None},
-    {"C": 1.0, "class_weight": None},
-    {"C": 1.0, "class_weight": "balanced"},
-]
-MLP_CANDIDATES = [
-    ([64, 32], "tanh", 0.0001, 0.001), ([64, 32], "tanh", 0.001, 0.001), ([48], "relu", 0.0001, 0.001),
-    ([64, 32], "relu", 0.001, 0.001), ([96], "tanh", 0.0001, 0.001), ([96], "relu", 0.0001, 0.001),
-    ([96, 48], "tanh", 0.0001, 0.0005), ([96, 48], "tanh", 0.0001, 0.001), ([96, 48], "tanh", 0.0001, 0.002),
-    ([96, 48], "relu", 0.0001, 0.001), ([96, 48], "relu", 0.001, 0.001), ([128, 64], "tanh", 0.0001, 0.0005),
-    ([128, 64], "tanh", 0.0001, 0.001), ([128, 64], "tanh", 0.001, 0.001), ([128, 64], "relu", 0.0001, 0.001),
-    ([128, 64], "relu", 0.001, 0.001), ([96, 48, 24], "tanh", 0.0001, 0.001), ([96, 48, 24], "relu", 0.0001, 0.001),
-    ([128, 64, 32], "tanh", 0.0001, 0.001), ([128, 64, 32], "relu", 0.0001, 0.001),
-]
 MLP_MAX_ITER = 350
 MLP_TOL = 1e-4  # the reference library's default tolerance
 SOFTMAX_GD = dict(lr=0.08, l2=0.0005, max_epochs=300, patience=25, tol=1e-5)
@@ -151,9 +138,28 @@ def q_train_softmax_gd(spark, sf):
     return Trained(spark, sf).softmax.history_frame(spark, "softmax_gd", SOFTMAX_GD["max_epochs"])
 
 
+@register(
+    "train_first_step",
+    split_cte()
+    + """, c AS (SELECT tier AS class, count(*) AS train_rows FROM split WHERE split = 'train' GROUP BY tier),
+t AS (SELECT sum(train_rows) AS n, count(*) AS k FROM c)
+SELECT class, train_rows, round(ln(k), 9) AS start_loss, round(train_rows / n - 1 / k, 9) AS bias FROM c, t""",
+)
+def q_train_first_step(spark, sf):
+    """M3/M5: the loss that softmax regression starts with and its biases after one full step at rate 1, per class."""
+    t = Trained(spark, sf)
+    done = tr.train_softmax_gd(t.part("train"), t.part("validation"), lr=1.0, l2=0.0, max_epochs=1)
+    counts = t.part("train").groupBy("label").count()
+    rows = [(i, c, float(done.history[0][1]), float(b)) for i, (c, b) in enumerate(zip(t.classes, done.params["b"]))]
+    facts = spark.createDataFrame(rows, "label int, class string, start_loss double, bias double")
+    return counts.join(facts, counts["label"] == facts["label"]).select(
+        "class", F.col("count").alias("train_rows"), F.round("start_loss", 9).alias("start_loss"), F.round("bias", 9).alias("bias")
+    )
+
+
 @register("train_mlp_gd")
 def q_train_mlp_gd(spark, sf):
-    """M4/M5: one-hidden-layer ReLU net, mini-batch steps in row blocks averaged every epoch; loss history."""
+    """M4/M5: one-hidden-layer ReLU net, mini-batch steps over all rows; loss history."""
     return Trained(spark, sf).mlp_gd.history_frame(spark, "mlp_gd", MLP_GD["max_epochs"])
 
 
