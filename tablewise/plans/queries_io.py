@@ -51,18 +51,46 @@ def q_csv_scan(spark, sf):
     return csvsrc.csv_scan(spark, _dirty_csv(spark, sf))
 
 
+DIRTY_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("price_txt", T.DoubleType()),
+    T.StructField("price", T.DoubleType()), T.StructField("status", T.StringType()),
+    T.StructField("priority", T.StringType()),
+])
+
+
 @register("csv_quarantine")
 def q_csv_quarantine(spark, sf):
     """A2: typed scan of the dirty CSV; rows whose price text is not a number are quarantined."""
-    schema = T.StructType([
-        T.StructField("o_orderkey", T.LongType()), T.StructField("price_txt", T.DoubleType()),
-        T.StructField("price", T.DoubleType()), T.StructField("status", T.StringType()),
-        T.StructField("priority", T.StringType()),
-    ])
-    _, bad = csvsrc.csv_quarantine(spark, _dirty_csv(spark, sf), schema)
+    _, bad = csvsrc.csv_quarantine(spark, _dirty_csv(spark, sf), DIRTY_SCHEMA)
     return bad
 
 
+@register(
+    "csv_quarantine_reasons",
+    OD + """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, status, priority, 'type' AS reason FROM orders_dirty
+WHERE trim(price_txt) <> '' AND TRY_CAST(trim(price_txt) AS DOUBLE) IS NULL""",
+)
+def q_csv_quarantine_reasons(spark, sf):
+    """A2: key and reason of every record of the dirty CSV that does not fit its schema."""
+    _, bad = csvsrc.csv_quarantine(spark, _dirty_csv(spark, sf), DIRTY_SCHEMA)
+    return bad.select("o_orderkey", "status", "priority", "reason")
+
+
+@register(
+    "csv_records",
+    OD + """SELECT CAST(o_orderkey AS BIGINT) AS id, 'line one of ' || o_orderkey || chr(10) || 'says "' || coalesce(status, '') || '", and' || chr(10) || chr(10) || 'ends' AS note
+FROM orders_dirty""",
+)
+def q_csv_records(spark, sf):
+    """A1: a CSV whose second field has line breaks, quotes and commas, read back in blocks."""
+    note = F.concat(
+        F.lit("line one of "), F.col("o_orderkey").cast("string"), F.lit('\nsays "'), F.coalesce("status", F.lit("")), F.lit('", and\n\nends')
+    )
+    path = _scratch(spark, "notes_csv")
+    csvsrc.write_csv(spark_view(spark, sf, "orders_dirty").select(F.col("o_orderkey").alias("id"), note.alias("note")), path)
+    return csvsrc.csv_scan(spark, path, multiline=True)
+
+
 @register("file_fingerprint")
 def q_file_fingerprint(spark, sf):
     """A3: name, size, modification time and SHA-256 of every driver table file."""

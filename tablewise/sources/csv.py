@@ -1,13 +1,17 @@
 """CSV scan with pandas-compatible missing tokens and typed-error rejection (A1, A2).
 
-The scan reads every column as text (plus a corrupt-record column), maps the
-missing-value tokens to NULL, then decides per column in one aggregation
-whether all remaining values are integers, numbers or text, and casts with
-``try_cast``.  Spark's ``nullValue`` takes a single token, hence the list.
+One aggregate over the lines counts open quotes and bytes that are not UTF-8.  A file whose lines are
+its records is read by Spark's CSV source; line breaks inside quotes are joined by
+:mod:`.records`, block by block.  Every column is read as text, the
+missing-value tokens become NULL, and a second aggregate over all columns counts rows with too many
+fields and decides per column whether all values are integers, numbers or text, for
+``try_cast``.  Rows with too few fields end in NULLs.  Spark's ``nullValue`` takes a single token, hence the list.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import INF_TOKENS, NUMBER_RE
+from ..session import checkpoint
+from . import records
 
 # The default missing-value tokens of pandas' CSV reader.
 NA_TOKENS = (
@@ -54,15 +60,19 @@ def _reader(spark: SparkSession, header: bool, multiline: bool):
     )
 
 
-def check_quotes(spark: SparkSession, path: str, multiline: bool = False) -> None:
-    """Raise when a quoted field is left open: an odd number of quotes in a
-    line, or with ``multiline`` in a file."""
-    lines = spark.read.text(path).select(
-        F.input_file_name().alias("f"), (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("q")
-    )
-    counts = lines.groupBy("f").agg(F.sum("q").alias("q")) if multiline else lines
-    if not counts.where(F.col("q") % 2 == 1).limit(1).isEmpty():
+def check_lines(states: DataFrame, multiline: bool) -> bool:
+    """Raise for bytes that are not UTF-8 and for quoted fields left open; whether any field has a line break.
+
+    ``states`` are the block states of a file's lines.  Without ``multiline`` a field must
+    close in its line."""
+    r = states.groupBy("file").agg(
+        F.sum("odd_lines").alias("odd"), F.sum("invalid_lines").alias("invalid"), F.max_by("ends_inside", "block").alias("open")
+    ).agg(F.sum("odd").alias("odd"), F.sum("invalid").alias("invalid"), F.max("open").alias("open")).first()
+    if r["invalid"]:
+        raise DataLoadError("CSV is not valid UTF-8")
+    if r["open"] or (r["odd"] and not multiline):
         raise DataLoadError("CSV has a quoted field that is not closed")
+    return bool(r["odd"])
 
 
 def read_text_columns(spark: SparkSession, path: str, header: bool = True, multiline: bool = False) -> DataFrame:
@@ -83,9 +93,8 @@ def _na_to_null(c: str):
     return F.when(~F.col(c).isin(*NA_TOKENS), F.col(c))
 
 
-def infer_types(df: DataFrame, columns: list[str]) -> dict:
-    """Per column: 'bigint' if every value is an integer, 'double' if every value
-    is a number (or an infinity spelling), else 'string'.  One aggregation."""
+def _type_counts(columns: list[str]) -> list:
+    """Per column the number of values, of integers and of numbers, as aggregates."""
     aggs = []
     for i, c in enumerate(columns):
         v = F.trim(F.col(c))
@@ -95,7 +104,11 @@ def infer_types(df: DataFrame, columns: list[str]) -> dict:
             F.count(F.when(v.rlike(INT_RE), 1)).alias(f"i{i}"),
             F.count(F.when(num, 1)).alias(f"d{i}"),
         ]
-    r = df.agg(*aggs).first()
+    return aggs
+
+
+def _types_of(r, columns: list[str]) -> dict:
+    """'bigint' if every value is an integer, 'double' if every value is a number (or an infinity spelling), else 'string'."""
     out = {}
     for i, c in enumerate(columns):
         n = r[f"n{i}"]
@@ -108,57 +121,90 @@ def infer_types(df: DataFrame, columns: list[str]) -> dict:
     return out
 
 
+def infer_types(df: DataFrame, columns: list[str]) -> dict:
+    """Per column 'bigint', 'double' or 'string'.  One aggregation."""
+    return _types_of(df.agg(*_type_counts(columns)).first(), columns)
+
+
+def _fields(text, names: list[str]) -> list:
+    """A record's fields as text columns; those it does not have are null."""
+    schema = ", ".join(f"f{i} string" for i in range(len(names)))
+    parsed = F.from_csv(text, schema, {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"})
+    return [parsed[f"f{i}"].alias(n) for i, n in enumerate(names)]
+
+
+def _names(first: str, header: bool) -> list[str]:
+    """Column names from the first record; unnamed ones and, with their number, repeated ones as Spark's source has them."""
+    fields = next(csv.reader(io.StringIO(first, newline="")))
+    lower = [f.lower() for f in fields]
+    return [f"_c{i}" if not (header and f) else f"{f}{i}" if lower.count(f.lower()) > 1 else f for i, f in enumerate(fields)]
+
+
+_EXTRA = "_extra_fields"
+
+
+def _text_rows(spark: SparkSession, path: str, header: bool, multiline: bool) -> tuple[DataFrame, list[str]]:
+    """Rows of text fields and whether they have too many, and the column names."""
+    lines = records.lines(spark, path)
+    states = checkpoint(records.block_states(lines))  # a row a block
+    broken = check_lines(states, multiline)
+    if not broken:
+        raw = read_text_columns(spark, path, header)
+        cols = [c for c in raw.columns if c != CORRUPT]
+        if not cols:
+            raise DataLoadError("CSV has no columns")
+        extra = F.coalesce(records.field_count(F.col(CORRUPT)) > len(cols), F.lit(False))
+        return raw.select(*[_na_to_null(c).alias(c) for c in cols], extra.alias(_EXTRA)), cols
+    found = records.records(lines, states)
+    cols = _names(found.where("first").select("text").first()["text"], header)
+    found = found.where("NOT first") if header else found
+    rows = found.select(*_fields(F.col("text"), cols), (records.field_count(F.col("text")) > len(cols)).alias(_EXTRA))
+    return rows.select(*[_na_to_null(c).alias(c) for c in cols], _EXTRA), cols
+
+
 def csv_scan(spark: SparkSession, path: str, header: bool = True, check_path: bool = False, multiline: bool = False) -> DataFrame:
-    """A1: read a CSV as pandas would: missing tokens -> NULL, inferred numeric types.
+    """A1: read a CSV as pandas would: missing tokens -> NULL, inferred numeric types, short rows ending in NULLs.
 
-    ``multiline`` allows line breaks inside quoted fields; such files cannot be
-    split among tasks, so it is a choice.  Without it a file that has such a
-    field is rejected, never misread.
-    Raises ``DataLoadError`` for empty or header-only input and for rows that
-    do not parse (the reference rejects the whole file)."""
+    ``multiline`` allows line breaks inside quoted fields; such files are read in blocks all the
+    same.  Without it a file that has such a field is rejected, never misread.
+    Raises ``DataLoadError`` for empty or header-only input, for a quoted field left open, for bytes that
+    are not UTF-8 and for rows with too many fields (the whole input is rejected)."""
     if check_path:
         check_csv_path(path)
-    check_quotes(spark, path, multiline)
-    raw = read_text_columns(spark, path, header, multiline)
-    cols = [c for c in raw.columns if c != CORRUPT]
-    if not cols:
-        raise DataLoadError("CSV has no columns")
-    clean = raw.select(*[_na_to_null(c).alias(c) for c in cols], CORRUPT)
-    # (Spark rejects queries that reference only the corrupt-record column)
-    probe = clean.agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.col(CORRUPT)).alias("bad"), F.count(F.col(cols[0])).alias("_c0")
-    ).first()
-    if probe["n"] == 0:
+    rows, cols = _text_rows(spark, path, header, multiline)
+    # all columns are in this aggregate: the source would not see extra fields if any were pruned
+    probe = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(_EXTRA).alias("extra"), *_type_counts(cols)).first()
+    if probe["rows"] == 0:
         raise DataLoadError("CSV has no data rows")
-    if probe["bad"]:
-        raise DataLoadError("CSV has rows that cannot be parsed")
-    types = infer_types(clean, cols)
-    out = []
-    for c in cols:
-        if types[c] == "string":
-            out.append(F.col(c))
-        elif types[c] == "bigint":
-            out.append(F.trim(F.col(c)).try_cast("bigint").alias(c))
-        else:
-            out.append(F.trim(F.col(c)).try_cast("double").alias(c))
-    return clean.select(*out)
+    if probe["extra"]:
+        raise DataLoadError("CSV has rows with too many fields")
+    types = _types_of(probe, cols)
+    return rows.select(*[F.col(c) if types[c] == "string" else F.trim(F.col(c)).try_cast(types[c]).alias(c) for c in cols])
 
 
 def csv_quarantine(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
                    multiline: bool = False) -> tuple[DataFrame, DataFrame]:
-    """A2 (lenient form): typed scan; rows that do not fit the declared schema are
-    returned separately with their raw text instead of failing the whole file."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    df = (
-        _reader(spark, header, multiline)
-        .schema(full)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
+    """A2 (lenient form): typed scan; records that do not fit are returned
+    separately with their raw text and the reason instead of failing the whole file.
+
+    Reasons, the first that holds: ``encoding`` (not UTF-8; replacement characters stand in the raw text), ``open_quote``
+    (without ``multiline`` a record is a line; with it, an open quote takes the rest of its
+    file), ``extra_fields``, ``type`` (a value that is not of its column's type).  Missing
+    fields and empty values are NULL."""
+    lines = records.lines(spark, path)
+    found = records.records(lines, checkpoint(records.block_states(lines)), joined=multiline)
+    found = found.where("NOT first") if header else found
+    names, text = schema.fieldNames(), F.col("text")
+    rows = found.select("*", F.struct(*_fields(text, [f"f{i}" for i in range(len(names))])).alias("_v"))
+    value = [F.when(F.col("_v")[f"f{i}"] != "", F.col("_v")[f"f{i}"]) for i in range(len(names))]
+    typed = [v if isinstance(f.dataType, T.StringType) else F.trim(v).try_cast(f.dataType) for v, f in zip(value, schema.fields)]
+    misfit = F.array_contains(F.array(*[v.isNotNull() & t.isNull() for v, t in zip(value, typed)]), True)
+    reason = (
+        F.when(~F.col("valid"), "encoding").when(~F.col("closed"), "open_quote")
+        .when(records.field_count(text) > len(names), "extra_fields").when(misfit, "type")
     )
-    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(*schema.fieldNames(), F.col(CORRUPT).alias("raw_record"))
-    return good, bad
+    rows = rows.select(*[t.alias(n) for t, n in zip(typed, names)], text.alias("raw_record"), reason.alias("reason"))
+    return rows.where(F.col("reason").isNull()).drop("raw_record", "reason"), rows.where(F.col("reason").isNotNull())
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
