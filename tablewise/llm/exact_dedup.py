@@ -12,13 +12,14 @@ back to the documents streams the many side of a left join, which adaptive
 execution may split.
 
 Defined cases: null text equals empty text; a null id is smaller than any
-id; rows that repeat both id and text give one kept row; an empty table
-gives an empty result; other columns never take part.
+id; rows that repeat both id and text give one kept row; very long texts are hashed
+whole; an empty table gives an empty result; other columns never take part.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +33,18 @@ def text_digest(text: str | Column) -> Column:
 
 
 class DigestIndex:
-    """Persistent table (digest, doc_id) bucketed and sorted by digest.
+    """Persistent table (digest, doc_id, batch) bucketed and sorted by digest.
 
     ``path`` lies in a folder that all executors share.  An index that exists
-    there is opened with the same ``buckets``; a new session finds its rows.
+    there is opened with the same ``buckets``; a new session finds its rows.  Every append
+    adds files to the buckets; ``compacted`` merges them into a new index.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 32, id_type: str = "bigint"):
         self.spark, self.buckets = spark, buckets
         self.name = "digest_index_" + hashlib.md5(path.encode()).hexdigest()
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest STRING, doc_id {id_type}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {self.name} (digest STRING, doc_id {id_type}, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
 
@@ -53,9 +55,19 @@ class DigestIndex:
         """Rows of ``groups`` (one per digest) whose digest the index lacks."""
         return groups.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
 
-    def append(self, groups: DataFrame) -> None:
+    def append(self, groups: DataFrame, batch: str) -> None:
+        self._insert(groups.select("digest", "doc_id", F.lit(batch).alias("batch")))
+
+    def compacted(self, path: str, bucket_rows: int = 5_000_000) -> DigestIndex:
+        """The same rows as a new index at ``path``: one sorted file a bucket, and buckets enough for their number."""
+        buckets = max(1, -(-self.rows().count() // bucket_rows))
+        out = DigestIndex(self.spark, path, buckets, self.rows().schema["doc_id"].dataType.simpleString())
+        out._insert(self.rows())
+        return out
+
+    def _insert(self, rows: DataFrame) -> None:
         (
-            groups.select("digest", "doc_id")
+            rows.select("digest", "doc_id", "batch")
             .repartition(self.buckets, "digest")
             .write.insertInto(self.name)
         )
@@ -72,21 +84,22 @@ def digest_groups(rows: DataFrame) -> DataFrame:
 
 
 def dedup_batch(
-    docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None
 ) -> DataFrame:
     """Decide every row of a batch against itself and the index; append what is new.
 
+    ``batch`` names it; a batch that failed half-way and is sent again under its name keeps what it would have kept.
+
     Returns one row per input row: doc_id, digest, keep_id, group_size (rows of
     this batch with that digest), kept.  When the index already has a digest,
     keep_id is the id it stored and no row of the batch is kept.
     """
+    batch = batch or uuid.uuid4().hex
     rows = save(digests(docs, id_col, text_col), "digests")  # texts are read and hashed once
     groups = digest_groups(rows)
-    index.append(index.new_only(groups))
-    first = index.rows().select("digest", F.col("doc_id").alias("keep_id"))
-    decided = groups.join(first.hint("merge"), "digest").select(
-        "digest", "keep_id", "group_size", F.col("keep_id").eqNullSafe(F.col("doc_id")).alias("_new")
-    )
+    index.append(index.new_only(groups), batch)
+    first = index.rows().select("digest", F.col("doc_id").alias("keep_id"), (F.col("batch") == batch).alias("_new"))
+    decided = groups.join(first.hint("merge"), "digest").select("digest", "keep_id", "group_size", "_new")
     copies = rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("_copies"))
     return copies.join(decided, "digest").select(
         "doc_id",

@@ -16,10 +16,15 @@ start finds each split's true entry, and following the entry's chain marks the
 reachable records; everything else is payload.  Records whose payload holds the
 magic are put together from their segments in a second read of only those.
 
+A file is sound if its chain ends at its last byte.  Where a chain breaks off, a record is cut short or
+no record begins the file, ``read_archive`` raises :class:`ArchiveError` with the file and the two
+offsets, or with ``broken="skip"`` gives the records up to there; ``problems`` lists such files.
+Records of WARC 1.0 and 1.1 are read, 1.1 is written; compressed files are read by one task each.
+
 Defined cases: null html is an empty payload; rows that repeat page_id and
 payload are each a response; a null page_id is written as ``null``, counts as
 larger than any other and reads back as null; CR and LF in a URL are
-percent-encoded; an empty table gives an empty result; other columns are ignored.
+percent-encoded; very long payloads are whole; an empty table gives an empty result, an empty file no record; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +44,9 @@ from pyspark.sql.window import Window
 from .common import releasing, save, text_or_empty
 
 MAGIC = "WARC/1.1\r\n"
+#: what files are cut at: the magic of both versions up to its last digit
+MARK = "WARC/1."
+_VERSIONS = (b"0\r\n", b"1\r\n")
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -46,6 +54,10 @@ HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ2
 BROADCAST_SEGMENTS = 50_000
 
 
+class ArchiveError(ValueError):
+    """A file whose records do not reach its end."""
+
+
 def payload_digest(payload: Column) -> Column:
     """Bare upper-case base32 SHA-1 of a binary column: 5 bytes are 8 digits."""
     hexed = F.sha1(payload)
@@ -111,7 +123,7 @@ def write_archive(
 def _segments(spark: SparkSession, path: str) -> DataFrame:
     """Archive bytes cut at the magic: file, split (its start), value; in order within a split."""
     return (
-        spark.read.option("lineSep", MAGIC)
+        spark.read.option("lineSep", MARK)
         .text(path)
         .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("value"))
     )
@@ -131,12 +143,12 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def _headers(segment: bytes) -> tuple[int, dict[str, str]] | None:
-    """Header length without the magic and fields by lower-case name, or None if it is no record header."""
+    """Header length after the mark and fields by lower-case name, or None if it is no record header."""
     end = segment.find(b"\r\n\r\n")
-    if end < 0:
+    if end < 0 or segment[:3] not in _VERSIONS:
         return None
     fields = {}
-    for line in segment[:end].split(b"\r\n"):
+    for line in segment[3:end].split(b"\r\n"):
         name, colon, value = line.partition(b":")
         if not colon:
             return None
@@ -169,13 +181,16 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for file, split, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (file, split) != here:
-                here, at = (file, split), -len(MAGIC)
-            row = [file, split, at, len(value) + len(MAGIC), None, None, None, None, None, None, None, None, None, None]
-            at += len(value) + len(MAGIC)
+                here, at = (file, split), -len(MARK)
+            row = [file, split, at, len(value) + len(MARK), None, None, None, None, None, None, None, None, None, None]
+            at += len(value) + len(MARK)
             if got := _headers(value):
                 head, fields = got
                 size = int(fields["content-length"])
-                length = len(MAGIC) + head + size + len(END)
+                if len(value) >= head + size + len(END) and not value.startswith(END.encode(), head + size):
+                    got = None  # a record whose length is wrong is none
+            if got:
+                length = len(MARK) + head + size + len(END)
                 whole = len(value) - head >= size
                 digest = fields.get("warc-payload-digest", "").rpartition(":")[2]
                 row[4:12] = [head, length, fields["warc-type"], fields.get("warc-record-id"), fields.get("warc-target-uri"), digest, fields.get("warc-refers-to"), whole]
@@ -266,7 +281,7 @@ def _assemble(pieces: Column) -> Column:
     return F.aggregate(
         F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
         F.element_at(parts, 1),
-        lambda acc, x: F.concat(acc, F.lit(MAGIC).cast("binary"), x),
+        lambda acc, x: F.concat(acc, F.lit(MARK).cast("binary"), x),
     )
 
 
@@ -313,25 +328,41 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = pc.binary_length(batch.column(2)).to_pylist()
         for file, split, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sizes, strict=True):
             if (file, split) != here:
-                here, at = (file, split), -len(MAGIC)
+                here, at = (file, split), -len(MARK)
             places.append(at)
-            at += size + len(MAGIC)
+            at += size + len(MARK)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(places, pa.int64()), batch.column(2)], names=["file", "split", "at", "value"]
         )
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def problems(segments: DataFrame, records: DataFrame) -> DataFrame:
+    """file, file_bytes, verified_bytes of each file whose chain of ``records`` (file, off, nxt) does not end at its end."""
+    ends = segments.groupBy("file").agg(F.max(F.col("off") + F.col("size")).alias("file_bytes"))
+    sound = records.join(ends.hint("merge"), "file").where("nxt <= file_bytes").groupBy("file").agg(F.max("nxt").alias("verified_bytes"))
+    found = ends.join(sound.hint("merge"), "file", "left").withColumn("verified_bytes", F.coalesce("verified_bytes", F.lit(0).cast("long")))
+    return found.where("verified_bytes <> file_bytes")
+
+
+def read_archive(spark: SparkSession, path: str, broken: str = "raise") -> DataFrame:
     """One row per record: file, off, record_type, record_id, uri, digest, refers, payload_bytes, payload_digest.
 
+    A file that is not sound raises :class:`ArchiveError`; with ``broken="skip"`` its records up to the break are given.
+
     The last two are computed from the bytes read (null for a revisit, which
     has none); :func:`read_payloads` gives the bytes themselves.
     """
     segments = save(scan_archive(spark, path), "warc-scanned")
     records = save(segments.join(reachable(segments).hint("merge"), ["file", "off"]), "warc-records")
-    broken = records.filter("NOT whole").select("file", "off")
-    if not broken.isEmpty():
-        mended = read_payloads(spark, path, segments, broken)
+    bad = save(problems(segments, records), "warc-problems")
+    if broken == "raise" and (first := bad.first()):
+        raise ArchiveError(f"{first.file}: records reach byte {first.verified_bytes} of {first.file_bytes}; {bad.count()} such files")
+    # only the last record of a file's chain can be cut short
+    cut = bad.select("file", F.col("file_bytes").alias("_end"))
+    records = records.join(cut.hint("merge"), "file", "left").where("_end IS NULL OR nxt <= _end").drop("_end")
+    parted = records.filter("NOT whole").select("file", "off")
+    if not parted.isEmpty():
+        mended = read_payloads(spark, path, segments, parted)
         digests = mended.select(
             "file", "off", F.octet_length("payload").cast("long").alias("_bytes"), payload_digest(F.col("payload")).alias("_digest")
         )

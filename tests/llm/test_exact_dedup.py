@@ -42,6 +42,33 @@ def test_index_persists_between_batches(spark):
     assert exact_dedup.DigestIndex(spark, path, 4).rows().count() == 3
 
 
+def test_a_batch_sent_again(spark):
+    path = shared_path(spark, "test-digests")
+    docs = documents(spark, ["a", "b", "B"], [1, 2, 3])
+    index = exact_dedup.DigestIndex(spark, path, 4)
+
+    def kept(batch=None, frame=docs):
+        return sorted(r.doc_id for r in exact_dedup.dedup_batch(frame, index, batch=batch).filter("kept").collect())
+
+    assert kept("monday") == [1, 3]
+    assert kept("monday") == [1, 3]  # the same batch retried: the same answers
+    assert kept("tuesday") == kept() == []  # the same rows as a new batch: nothing is new
+    # a batch that had stored a part of its rows before it failed
+    index.append(exact_dedup.digest_groups(exact_dedup.digests(documents(spark, ["c"], [7]))), "wednesday")
+    assert kept("wednesday", documents(spark, ["C", "d", "a"], [7, 8, 9])) == [7, 8]
+    assert index.rows().count() == 4
+
+
+def test_compaction_keeps_the_rows(spark):
+    index = exact_dedup.DigestIndex(spark, shared_path(spark, "test-digests"), 4)
+    for i in range(3):
+        exact_dedup.dedup_batch(documents(spark, [f"t{j}" for j in range(i * 5, i * 5 + 8)], range(i * 10, i * 10 + 8)), index, batch=f"b{i}")
+    less = index.compacted(shared_path(spark, "test-digests"), bucket_rows=9)
+    assert less.buckets == 2 and sorted(less.rows().collect()) == sorted(index.rows().collect())
+    assert len(less.rows().inputFiles()) <= 2 < len(index.rows().inputFiles())
+    assert exact_dedup.dedup_batch(documents(spark, ["T3", "new"], [90, 91]), less).filter("kept").first().doc_id == 91
+
+
 def test_anti_join_is_sort_merge(spark):
     index = exact_dedup.DigestIndex(spark, shared_path(spark, "test-digests"), 4)
     plan = index.new_only(exact_dedup.digest_groups(exact_dedup.digests(documents(spark, ["a"]))))._jdf.queryExecution().toString()

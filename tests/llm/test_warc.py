@@ -84,3 +84,51 @@ def test_ties_null_ids_and_empty(spark):
     path = shared_path(spark, "test-warc")
     warc.write_archive(pages(spark, ["a"]).limit(0), path)
     assert warc.resolve(warc.read_archive(spark, path)).count() == 0
+
+
+def record(i, payload, version="1.1", length=None):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+    head = f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Target-URI: http://x/{i}\r\nContent-Length: {length or len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+def archive(spark, data):
+    path = shared_path(spark, "test-warc-file").removeprefix("file:")
+    import os
+
+    os.makedirs(path)
+    with open(f"{path}/part-0", "wb") as fh:
+        fh.write(data)
+    return path
+
+
+@pytest.mark.parametrize("version", ["1.0", "1.1"])
+def test_both_versions_are_read(spark, version):
+    path = archive(spark, b"".join(record(i, b"a WARC/1.0\r\n b %d" % i, version) for i in range(3)))
+    got = sorted((r.page_id, r.payload_bytes) for r in warc.resolve(warc.read_archive(spark, path)).collect())
+    assert got == [(i, len(b"a WARC/1.0\r\n b 0")) for i in range(3)]
+
+
+@pytest.mark.parametrize(
+    "data, verified, ids",
+    [
+        (record(1, b"abcd") + b"junk\r\n\r\n" + record(2, b"b") + record(3, b"c"), len(record(1, b"abcd")), [1]),
+        (record(1, b"abcd") + record(2, b"efgh")[:-6], len(record(1, b"abcd")), [1]),
+        (record(1, b"abcd")[:-2], 0, []),
+        (record(1, b"abcd", length=7) + record(2, b"b"), 0, []),
+        (b"no archive at all", 0, []),
+        (b"junk before " + record(1, b"abcd"), 0, []),
+    ],
+    ids=["junk between", "cut record", "cut end", "wrong length", "foreign", "junk before"],
+)
+def test_files_that_are_not_sound_raise_or_are_read_up_to_the_break(spark, data, verified, ids):
+    path = archive(spark, data)
+    with pytest.raises(warc.ArchiveError, match=f"reach byte {verified} of {len(data)}"):
+        warc.read_archive(spark, path)
+    got = warc.read_archive(spark, path, broken="skip")
+    rows = got.collect()
+    assert [(r.record_id, r.payload_bytes) for r in rows] == [(f"<urn:page:{i}>", 4) for i in ids]
+
+
+def test_an_empty_file_has_no_record(spark):
+    assert warc.read_archive(spark, archive(spark, b"")).count() == 0
