@@ -91,6 +91,12 @@ def q_csv_records(spark, sf):
     return csvsrc.csv_scan(spark, path, multiline=True)
 
 
+@register("file_tree_fingerprint")
+def q_file_tree_fingerprint(spark, sf):
+    """A3: name, size, number of chunks and tree hash of every driver table file, of any size."""
+    return files.tree_fingerprint(spark, f"{sf.rstrip('/')}/*.parquet").drop("path")
+
+
 @register("file_fingerprint")
 def q_file_fingerprint(spark, sf):
     """A3: name, size, modification time and SHA-256 of every driver table file."""
