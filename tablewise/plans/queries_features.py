@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..operators import dictionary
 from ..operators import features as feat
 from ..operators import score
 from ..session import checkpoint
@@ -233,3 +235,42 @@ def q_nonfinite_features(spark, sf):
     """The transformed matrix of every split must be finite (count of bad rows)."""
     prep = Prep(spark, sf)
     return feat.nonfinite_features(prep.fitted.transform(prep.split, keep=["row_id"], vector=False))
+
+
+_DICTIONARY_SQL = TRAIN + """, kv AS (SELECT 'status' AS field, CAST(status AS VARCHAR) AS value FROM tr UNION ALL SELECT 'segment', CAST(segment AS VARCHAR) FROM tr),
+dict AS (SELECT field, value, row_number() OVER (PARTITION BY field ORDER BY value) - 1 AS index, count(*) AS count FROM kv WHERE value IS NOT NULL GROUP BY field, value)
+"""
+
+
+@register("category_dictionary", _DICTIONARY_SQL + "SELECT field, value, index, count FROM dict")
+def q_category_dictionary(spark, sf):
+    """T4: the train categories of every field, numbered in order, with their counts."""
+    return dictionary.fit_dictionary(Prep(spark, sf).rows("train"), CAT).table
+
+
+@register(
+    "category_indexes",
+    _DICTIONARY_SQL + """SELECT s.row_id, a.index AS status_index, b.index AS segment_index FROM split s
+LEFT JOIN dict a ON a.field = 'status' AND a.value = s.status LEFT JOIN dict b ON b.field = 'segment' AND b.value = s.segment""",
+)
+def q_category_indexes(spark, sf):
+    """Every row's category indexes by a join with the dictionary of the train rows."""
+    prep = Prep(spark, sf)
+    return dictionary.fit_dictionary(prep.rows("train"), CAT).indexed(prep.split).select("row_id", "status_index", "segment_index")
+
+
+@register(
+    "dictionary_features",
+    _DICTIONARY_SQL + """, n AS (SELECT count(*) AS n FROM dict WHERE field = 'status'),
+w AS (SELECT s.row_id, a.index AS place FROM split s JOIN dict a ON a.field = 'status' AND a.value = s.status
+  UNION ALL SELECT s.row_id, b.index + n FROM split s JOIN dict b ON b.field = 'segment' AND b.value = s.segment, n)
+SELECT row_id, CAST(count(*) AS INT) AS places_set, CAST(sum(place) AS BIGINT) AS place_sum, CAST(max(place) AS BIGINT) AS place_max FROM w GROUP BY row_id""",
+)
+def q_dictionary_features(spark, sf):
+    """One-hot vectors of all categories; how many places are set in each row, their sum and the largest."""
+    prep = Prep(spark, sf)
+    rows = dictionary.fit_dictionary(prep.rows("train"), CAT).transform(prep.split)
+    on = F.transform(vector_to_array("features"), lambda v, i: F.when(v == 1.0, i.cast("long")))
+    on = F.filter(on, lambda i: i.isNotNull())
+    total = F.aggregate(on, F.lit(0).cast("long"), lambda a, i: a + i)
+    return rows.select("row_id", F.size(on).alias("places_set"), total.alias("place_sum"), F.array_max(on).alias("place_max")).where("places_set > 0")
