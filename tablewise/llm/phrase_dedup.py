@@ -145,7 +145,15 @@ def remove_phrases(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     texts = save(repeats.distinct_texts(described), "phrase-texts")
     rows = save(repeats.texts_with_repeats(docs, texts, id_col, text_col), "phrase-rows")
     found = save(repeats.contexts(rows, units), "phrase-contexts")
-    decided = save(repeats.decide(found, lambda keys, ctx, ids: recurring_windows(keys, ctx, ids, window)), "phrase-decided")
+
+    def cut(context: bytes) -> list[bytes]:
+        words = context.split(b" ")
+        return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
+
+    decided = repeats.decide(
+        found, lambda keys, ctx, ids: recurring_windows(keys, ctx, ids, window), cut=cut, repeated=lambda mine, first, runs: first < mine
+    )
+    decided = save(decided, "phrase-decided")
     pieces = repeats.spans_by_text(found, decided, F.col("first_id") > F.col("context_first"), window)
     cut = save(repeats.cut_texts(rows, pieces, units, b" ".join), "phrase-cut").dropDuplicates(["text_key"])
     firsts = texts.select("digest", "first_id")

@@ -7,7 +7,9 @@
    the list of theirs by a join (texts without one leave the plan).
 3. The contexts of those runs are written; equal contexts become one row.
 4. Contexts are dealt out by key and each task decides which of their windows
-   repeat, by the operator's own method.
+   repeat, by the operator's own method.  A key that still has very many different contexts
+   (a passage that a third of all texts share, with other surroundings in each) is
+   never dealt to one task: its windows are compared by digest, one row a window.
 5. Decisions go back to the texts as spans.
 
 Every step is a join or group on a hash; no step drops, caps or samples rows.
@@ -35,6 +37,8 @@ from .textarrays import column_bytes
 TASK_BYTES = 6_000_000
 #: a key with more runs than this, whose contexts could outgrow a task, is split by further keys
 HOT_RUNS = 16_000
+#: a key with more different contexts than this, or a window digest that occurs more often, is never gathered in a task
+HOT_CONTEXTS = 16_000
 
 
 @dataclass(frozen=True)
@@ -213,14 +217,18 @@ def distinct_contexts(found: DataFrame) -> DataFrame:
 DECIDED = "key long, context_id binary, first_id long, runs long, spans array<struct<start:long,stop:long>>"
 
 
-def decide(found: DataFrame, judge: Callable) -> DataFrame:
+def decide(found: DataFrame, judge: Callable, cut: Callable, repeated: Callable) -> DataFrame:
     """Deal the distinct contexts out by key and let ``judge`` say which of their windows repeat.
 
     ``judge(keys, contexts, first_ids)`` gives, per context, spans [start, stop) of window starts.
+    Of keys with more than ``HOT_CONTEXTS`` contexts ``cut(context)`` gives the windows, and the condition
+    ``repeated(mine, first, runs)`` says whether a window repeats: from the id it was found with, the smallest
+    id of all places that have it, and how many those are.
     """
     grouped = save(distinct_contexts(found), "contexts")
     total = grouped.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     tasks = int(total // TASK_BYTES) + 1
+    hot = save(grouped.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_CONTEXTS).select("key"), "hot-keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), schema=pa.schema(_ARROW_DISTINCT))
@@ -231,7 +239,39 @@ def decide(found: DataFrame, judge: Callable) -> DataFrame:
         out = table.select(["key", "context_id", "first_id", "runs"]).append_column("spans", pa.array(spans, kind))
         yield from out.combine_chunks().to_batches(max_chunksize=10_000)
 
-    return grouped.repartition(tasks, "key").mapInArrow(releasing(run), DECIDED)
+    if hot.isEmpty():
+        return grouped.repartition(tasks, "key").mapInArrow(releasing(run), DECIDED)
+    # a hot key stands for HOT_CONTEXTS rows and more, so this list has at most that part of their number
+    few = grouped.join(F.broadcast(hot), "key", "left_anti").repartition(tasks, "key").mapInArrow(releasing(run), DECIDED)
+    return few.unionByName(_by_digest(grouped.join(F.broadcast(hot), "key", "left_semi"), cut, repeated))
+
+
+def _by_digest(grouped: DataFrame, cut: Callable, repeated: Callable) -> DataFrame:
+    """The decisions for contexts of hot keys: every window is a row with its digest, wherever it lies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch):
+                windows = [cut(x) for x in part.column(2).to_pylist()]
+                sizes = np.fromiter(map(len, windows), np.int64, len(windows))
+                owner = pa.array(np.repeat(np.arange(len(windows)), sizes))
+                start = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                digest = pa.array([hashlib.md5(w).digest() for ws in windows for w in ws], pa.binary())
+                rest = part.select(["key", "context_id", "first_id", "runs"]).take(owner)
+                yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(start), digest], names=["key", "context_id", "first_id", "runs", "start", "window"])
+
+    kind = "key long, context_id binary, first_id long, runs long, start long, window binary"
+    windows = save(grouped.mapInArrow(releasing(run), kind), "hot-windows")
+    counts = windows.groupBy("window").agg(F.min("first_id").alias("_first"), F.sum("runs").alias("_runs"), F.count(F.lit(1)).alias("_places"))
+    counts = save(counts.filter("_runs > 1"), "window-counts")
+    often = counts.filter(F.col("_places") > HOT_CONTEXTS)
+    # frequent windows meet their counts by a broadcast (at most a row for HOT_CONTEXTS of theirs), the others by a shuffle
+    hits = windows.join(F.broadcast(often), "window").unionByName(windows.join(counts.filter(F.col("_places") <= HOT_CONTEXTS), "window"))
+    hits = hits.filter(repeated(F.col("first_id"), F.col("_first"), F.col("_runs")))
+    spans = hits.groupBy("key", "context_id").agg(F.collect_list(F.struct("start", (F.col("start") + 1).alias("stop"))).alias("spans"))
+    none = F.lit([]).cast("array<struct<start:long,stop:long>>")
+    every = grouped.select("key", "context_id", "first_id", "runs").join(spans, ["key", "context_id"], "left")
+    return every.withColumn("spans", F.coalesce("spans", none))
 
 
 _ARROW_DISTINCT = [("key", pa.int64()), ("context_id", pa.binary()), ("context", pa.binary()), ("first_id", pa.int64()), ("runs", pa.int64())]

@@ -181,7 +181,11 @@ def remove_repeats(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
     texts = save(repeats.distinct_texts(described), "suffix-texts")
     rows = save(repeats.texts_with_repeats(docs, texts, id_col, text_col), "suffix-rows")
     found = save(repeats.contexts(rows, units), "suffix-contexts")
-    decided = save(repeats.decide(found, lambda keys, ctx, _: repeated_windows(keys, ctx, window)), "suffix-decided")
+    decided = repeats.decide(
+        found, lambda keys, ctx, _: repeated_windows(keys, ctx, window),
+        cut=lambda x: [x[i : i + window] for i in range(len(x) - window + 1)], repeated=lambda mine, first, runs: runs > 1,
+    )
+    decided = save(decided, "suffix-decided")
     pieces = repeats.spans_by_text(found, decided, F.col("runs") > 1, window)
     cut = save(repeats.cut_texts(rows, pieces, units, b"".join), "suffix-cut").dropDuplicates(["text_key"])
     copies = texts.select("digest", "copies")

@@ -61,6 +61,15 @@ def test_against_brute_force(spark, monkeypatch, hot):
     compare(spark, texts, 12, ids)
 
 
+@pytest.mark.parametrize("bound", [1, 3])
+def test_keys_with_many_contexts_are_decided_by_window(spark, monkeypatch, bound):
+    monkeypatch.setattr(repeats, "HOT_RUNS", 2)
+    monkeypatch.setattr(repeats, "HOT_CONTEXTS", bound)
+    rng = random.Random(bound)
+    texts = corpus(rng, 12)
+    compare(spark, texts, 12, rng.sample(range(1000), len(texts)))
+
+
 def test_two_code_points_a_word(spark, monkeypatch):
     monkeypatch.setattr(phrase_dedup, "ALPHABET", 7)
     contexts = [b"a b c d e f g h i", b"x b c d e y z q w", b"b c d e"]

@@ -56,6 +56,31 @@ def test_against_brute_force(spark, monkeypatch, hot):
     compare(spark, corpus(random.Random(hot), 60), 60)
 
 
+@pytest.mark.parametrize("bound", [1, 3])
+def test_keys_with_many_contexts_are_decided_by_window(spark, monkeypatch, bound):
+    monkeypatch.setattr(repeats, "HOT_RUNS", 2)
+    monkeypatch.setattr(repeats, "HOT_CONTEXTS", bound)
+    monkeypatch.setattr(repeats, "TASK_BYTES", 1500)
+    compare(spark, corpus(random.Random(bound), 60), 60)
+
+
+def test_a_passage_that_all_texts_share_meets_in_no_task(spark, monkeypatch):
+    """Every text has the passage, each with surroundings of its own."""
+    rng = random.Random(7)
+    monkeypatch.setattr(repeats, "HOT_RUNS", 20)
+    monkeypatch.setattr(repeats, "HOT_CONTEXTS", 20)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(70))
+    texts = ["".join(rng.choice("ijklmnop") for _ in range(90)) + passage + "".join(rng.choice("qrstuvwx") for _ in range(90)) for _ in range(300)]
+    judged = suffix_dedup.repeated_windows
+
+    def bounded(keys, contexts, window):
+        assert not len(keys) or np.unique(keys, return_counts=True)[1].max() <= 20
+        return judged(keys, contexts, window)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", bounded)
+    compare(spark, texts, 60)
+
+
 def test_window_of_200_and_long_text(spark):
     rng = random.Random(5)
     line = "".join(rng.choice("abcdef ") for _ in range(250))
