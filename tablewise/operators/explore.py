@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import attach_scalars, broadcast_if_small
 from ..session import checkpoint
+from .gram import correlation_blocks
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles, quantiles_wide
 
 
@@ -50,13 +51,22 @@ def describe(df: DataFrame, columns: list[str], max_sort_rows: int = DEFAULT_MAX
     return base.join(qw, "field", "left").select("field", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
+#: beyond this, three aggregates a pair make too wide a plan
+WIDE_COLUMNS = 24
+
+
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson r of every ordered column pair over pairwise-complete rows.
 
     One aggregation computes ``covar_pop`` and the masked population standard
     deviations of all pairs; a zero variance gives NULL (never a divide error).
+    Above ``WIDE_COLUMNS`` columns the moments of all pairs come from matrix
+    products of row blocks (:mod:`.gram`), in one pass too.
     """
-    aggs = []
+    if len(columns) > WIDE_COLUMNS:
+        return correlation_blocks(df, columns).withColumn("r", F.round("r", 6))
+    # merged deviations of equal values need not be exactly zero
+    aggs = [f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns) for f, n in ((F.min, "lo"), (F.max, "hi"))]
     pairs = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
@@ -74,7 +84,8 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     structs = []
     for i, j, a, b in pairs:
         r = F.try_divide(F.col(f"cv{i}_{j}"), F.col(f"sa{i}_{j}") * F.col(f"sb{i}_{j}"))
-        r = F.when(F.col(f"sa{i}_{j}") * F.col(f"sb{i}_{j}") > 0, r)
+        varies = (F.col(f"lo{i}") < F.col(f"hi{i}")) & (F.col(f"lo{j}") < F.col(f"hi{j}"))
+        r = F.when(varies & (F.col(f"sa{i}_{j}") * F.col(f"sb{i}_{j}") > 0), r)
         structs.append(F.struct(F.lit(a).alias("field_a"), F.lit(b).alias("field_b"), F.round(r, 6).alias("r")))
         if i != j:
             structs.append(F.struct(F.lit(b).alias("field_a"), F.lit(a).alias("field_b"), F.round(r, 6).alias("r")))

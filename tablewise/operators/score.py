@@ -131,7 +131,7 @@ def rejected_by_rule(df: DataFrame, key: str, meta: InputMetadata) -> DataFrame:
     require_columns(df, meta, key)
     errs = rule_errors(df, meta)
     exploded = df.select(F.explode(errs).alias("e"))
-    parts = F.split(F.col("e"), ":")
+    parts = F.split(F.col("e"), ":", 2)
     return exploded.groupBy(parts.getItem(0).alias("rule"), parts.getItem(1).alias("field")).agg(F.count(F.lit(1)).alias("rejected_rows"))
 
 

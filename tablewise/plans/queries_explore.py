@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import explore
+from pyspark.sql import functions as F
+
+from ..operators import explore, gram
 from .catalog import register
 from .fixtures import duck_cte, spark_view
 
@@ -241,3 +243,22 @@ SELECT row_id, tier AS class, price AS x, balance AS y,
 def q_scatter_sample(spark, sf):
     """Seeded scatter sample with per-class marker sizes."""
     return explore.scatter_sample(_ml(spark, sf), "row_id", "tier", "price", "balance", "balance", 2500, 42)
+
+
+# numeric columns of the line items, two of them with missing values
+_LINES = """SELECT CAST(l_quantity AS DOUBLE) AS qty, CAST(l_extendedprice AS DOUBLE) AS price, CAST(l_discount AS DOUBLE) AS discount,
+  CAST(l_tax AS DOUBLE) AS tax, CASE WHEN l_orderkey % 3 <> 0 THEN CAST(l_extendedprice AS DOUBLE) END AS price_or_none,
+  CASE WHEN l_linenumber <> 2 THEN CAST(l_quantity AS DOUBLE) END AS qty_or_none FROM lineitem"""
+_LINE_COLUMNS = ["qty", "price", "discount", "tax", "price_or_none", "qty_or_none"]
+
+
+@register(
+    "correlation_blocks",
+    f"WITH l AS ({_LINES}) "
+    + " UNION ALL ".join(f"SELECT '{a}' AS field_a, '{b}' AS field_b, round(corr({a}, {b}), 6) AS r FROM l" for a in _LINE_COLUMNS for b in _LINE_COLUMNS),
+)
+def q_correlation_blocks(spark, sf):
+    """Pearson r of every pair of the line items' numbers from masked products of row blocks."""
+    spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet").createOrReplaceTempView("_lineitem_numbers")
+    lines = spark.sql(_LINES.replace("FROM lineitem", "FROM _lineitem_numbers"))
+    return gram.correlation_blocks(lines, _LINE_COLUMNS).withColumn("r", F.round("r", 6))

@@ -63,7 +63,7 @@ def stream_rule_counts(spark: SparkSession, source_dir: str, schema: T.StructTyp
     """Running rejected-row counts per (rule, field) over the stream."""
     stream = read_stream(spark, source_dir, schema)
     errs = stream.select(F.explode(rule_errors(stream, meta)).alias("e"))
-    parts = F.split("e", ":")
+    parts = F.split("e", ":", 2)
     counts = errs.groupBy(parts.getItem(0).alias("rule"), parts.getItem(1).alias("field")).agg(F.count(F.lit(1)).alias("rejected_rows"))
     target = f"{out_dir}/rule_counts"
 
