@@ -67,12 +67,12 @@ def _pearson(sums: np.ndarray) -> np.ndarray:
         mx, my, qx, qy = x / n, y / n, xx / n, yy / n
         vx, vy = qx - mx * mx, qy - my * my
         r = (xy / n - mx * my) / np.sqrt(vx * vy)
-        r = np.where((n > 0) & (vx > ROUNDING * qx) & (vy > ROUNDING * qy), np.clip(r, -1.0, 1.0), -np.inf)
-    return np.where(bad > 0, np.nan, r)
+        r = np.where((n > 0) & (vx > ROUNDING * qx) & (vy > ROUNDING * qy), np.clip(r, -1.0, 1.0), np.nan)
+    return np.where(bad > 0, np.inf, r)  # NaN becomes null on its way back, so the other case needs a sign of its own
 
 
 def correlation_blocks(df: DataFrame, columns: list[str]) -> DataFrame:
-    """field_a, field_b, r (not rounded; null without variance, NaN with values that are not finite) of every ordered pair."""
+    """field_a, field_b, r (not rounded; null without variance, NaN with values that are not finite) of every ordered pair; an empty table gives no rows."""
     width = len(columns)
     values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
 
@@ -118,5 +118,5 @@ def correlation_blocks(df: DataFrame, columns: list[str]) -> DataFrame:
         left = -(-left // FAN_IN)
     pairs = parts.groupBy("strip").applyInPandas(finish, "a int, b int, r double")
     names = F.array(*[F.lit(c) for c in columns])
-    r = F.when(F.col("r") != float("-inf"), F.col("r"))
+    r = F.when(F.col("r") == float("inf"), float("nan")).otherwise(F.col("r"))
     return pairs.select(F.get(names, "a").alias("field_a"), F.get(names, "b").alias("field_b"), r.alias("r"))
