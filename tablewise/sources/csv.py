@@ -190,7 +190,7 @@ def csv_quarantine(spark: SparkSession, path: str, schema: T.StructType, header:
     Reasons, the first that holds: ``encoding`` (not UTF-8; replacement characters stand in the raw text), ``open_quote``
     (without ``multiline`` a record is a line; with it, an open quote takes the rest of its
     file), ``extra_fields``, ``type`` (a value that is not of its column's type).  Missing
-    fields and empty values are NULL."""
+    fields and empty values are NULL; spellings of infinity are numbers, as in ``csv_scan``."""
     lines = records.lines(spark, path)
     found = records.records(lines, checkpoint(records.block_states(lines)), joined=multiline)
     found = found.where("NOT first") if header else found
