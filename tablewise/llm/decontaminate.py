@@ -14,8 +14,8 @@ documents streamed against each block.  Documents are never shuffled.
 
 Defined cases: null text has no words; an item without words has no window;
 items with equal windows are all named; a null item id is ignored; repeated
-rows are judged each on its own; null ids pass through; other columns are
-ignored; empty tables give no hits or no rows.
+rows are judged each on its own; null ids pass through; very long texts are read
+whole; other columns, whatever their names, are ignored unless kept; empty tables give no hits or no rows.
 """
 
 from __future__ import annotations

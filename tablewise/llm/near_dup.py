@@ -18,7 +18,8 @@ from 200 minima is below 0.6 at a true 0.8 with probability under 1e-10.
 
 Defined cases: null or blank texts have an empty set, are linked with nothing and are their own
 component; texts of fewer words than a shingle are one shingle; repeated rows share a
-component; a null id is larger than any; other columns are ignored; empty tables give empty results.
+component; a null id is larger than any; very long texts have all their shingles in their set; other
+columns, whatever their names, are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -11,8 +11,8 @@ smallest document of each phrase is the one that keeps it.
 Defined cases: null text has no words; texts under ``window`` words keep all;
 of equal texts the one with the smallest id is judged by the others' texts,
 the rest lose all words (if they have a window); rows that repeat id and text
-count as one document; a null id is larger than any; empty tables give empty
-results; other columns are ignored.
+count as one document; a null id is larger than any; very long texts are taken whole; empty tables
+give empty results; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

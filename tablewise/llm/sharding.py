@@ -14,7 +14,8 @@ the second sort uses the same construction.
 
 Defined cases: a null source is a source of its own; a null text has size 1
 and the CRC of no bytes; ties in the seeded hash (repeated ids) are ordered by
-id, CRC and size, and rows equal in all of them are interchangeable; an empty
+id, CRC and size, and rows equal in all of them are interchangeable; very long texts are
+measured whole; other columns, also ones named like results, are left out; an empty
 table gives an empty result.
 """
 

@@ -13,7 +13,8 @@ suffix order repeat.
 Defined cases: null text is empty; texts shorter than the window keep
 everything; equal texts (repeated rows too) of at least one window lose
 everything; periodic text loses what its own shifted copies cover; null ids
-pass through; empty tables give empty results; other columns are ignored.
+pass through; very long texts are taken whole; empty tables give empty results; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -57,3 +57,13 @@ def test_repeated_rows_fewer_rows_than_shards_and_empty(spark):
     assert len(out) == 3 and len({(r.shard, r.slot) for r in out}) == 3
     empty = sharding.shard_rows(docs.limit(0), 8)
     assert empty.count() == 0 and "slot" in empty.columns
+
+
+def test_very_long_text_and_columns_named_like_results(spark):
+    docs = documents(spark, ["é" * 2_000_000, "b", None]).withColumn("slot", F.lit("x")).withColumn("shard", F.lit(9.5)).withColumn("size", F.lit(None).cast("int"))
+    docs = docs.withColumn("_h", F.lit("h")).withColumn("_cell", F.lit(1)).withColumn("fraction", F.lit(True))
+    got = rows_by_id(sharding.shard_rows(docs, 2))
+    assert {i: (r.size, r.text_crc32) for i, r in got.items()} == {
+        0: (4_000_001, zlib.crc32(("é" * 2_000_000).encode())), 1: (2, zlib.crc32(b"b")), 2: (1, 0)
+    }
+    assert sorted((r.shard, r.slot) for r in got.values()) == [(0, 0), (0, 1), (1, 0)]
