@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import attach_scalars
+from . import kmeans1d
 from .orderstats import DEFAULT_MAX_SORT_ROWS, quantiles_wide
-from ..session import checkpoint
 
 EDGE_TOL = 1e-8
 
@@ -216,36 +216,27 @@ def fit_uniform_edges(train: DataFrame, numeric: list[str], medians: dict, n_bin
 
 
 def fit_kmeans_edges(train: DataFrame, numeric: list[str], medians: dict, n_bins: int = 20,
-                     max_iter: int = 300, tol: float = 1e-4) -> dict:
-    """1-D k-means bins.  Centres start at the uniform-bin midpoints; each
-    Lloyd iteration is one distributed ``groupBy(nearest centre)`` over the
-    (value, count) table; edges are the midpoints of the sorted centres plus
-    the min and max.  Only the k centres travel to the driver."""
+                     max_iter: int = 300, tol: float = 1e-4, max_cells: int = kmeans1d.MAX_CELLS) -> dict:
+    """1-D k-means bins.  Centres start at the uniform-bin midpoints; edges are the midpoints of
+    the final centres plus the min and max.  All columns share one sorted value table (see :mod:`kmeans1d`)."""
+    if not numeric:
+        return {}
+    imputed = [F.coalesce(F.when(~F.isnan(x), x), F.lit(float(medians[c]))) for c, x in ((c, F.col(c).cast("double")) for c in numeric)]
+    long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), x.alias("x")) for c, x in zip(numeric, imputed)])).alias("_kv")).select("_kv.*")
+    values = kmeans1d.value_cells(long, max_cells)
+    spread = {r["field"]: r["var"] for r in values.groupBy("field").agg(_weighted_variance("x", "n").alias("var")).collect()}
     out = {}
-    for c in numeric:
-        x = F.coalesce(F.col(c).cast("double"), F.lit(float(medians[c])))
-        vc = train.select(x.alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).transform(checkpoint)
-        r = vc.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), (F.sum(F.col("x") * F.col("x") * F.col("n")) / F.sum("n") - F.pow(F.sum(F.col("x") * F.col("n")) / F.sum("n"), 2)).alias("var")).first()
-        lo, hi = r["lo"], r["hi"]
-        uni = np.linspace(lo, hi, n_bins + 1)
-        centres = (uni[1:] + uni[:-1]) * 0.5
-        thr = tol * max(r["var"] or 0.0, 0.0)
-        for _ in range(max_iter):
-            cs = [float(v) for v in centres]
-            dist = F.array(*[F.abs(F.col("x") - F.lit(v)) for v in cs])
-            nearest = F.array_position(dist, F.array_min(dist)) - 1
-            upd = vc.groupBy(nearest.alias("k")).agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("c")).collect()
-            new = centres.copy()
-            for row in upd:
-                new[int(row["k"])] = row["c"]
-            shift = float(np.sum((new - centres) ** 2))
-            centres = new
-            if shift <= thr:
-                break
-        centres = np.sort(centres)
-        edges = np.r_[lo, (centres[1:] + centres[:-1]) * 0.5, hi]
-        out[c] = merge_close_edges(edges)
-    return out
+    for c, prefix in kmeans1d.prefixes(values).items():
+        lo, hi = float(prefix.low[0]), float(prefix.high[-1])
+        uniform = np.linspace(lo, hi, n_bins + 1)
+        found = kmeans1d.centres(prefix, (uniform[1:] + uniform[:-1]) * 0.5, tol * spread[c], max_iter)
+        out[c] = merge_close_edges([lo, *(found[1:] + found[:-1]) * 0.5, hi])
+    return {c: out[c] for c in numeric if c in out}
+
+
+def _weighted_variance(x: str, n: str):
+    mean = F.sum(F.col(x) * F.col(n)) / F.sum(n)
+    return F.greatest(F.sum(F.col(x) * F.col(x) * F.col(n)) / F.sum(n) - mean * mean, F.lit(0.0))
 
 
 def fit_features(train: DataFrame, numeric: list[str], categorical: list[str], label: str | None = None,

@@ -137,7 +137,7 @@ def q_bin_uniform(spark, sf):
 
 @register("bin_kmeans")
 def q_bin_kmeans(spark, sf):
-    """1-D k-means bin edges (Lloyd iterations as distributed group-bys)."""
+    """1-D k-means bin edges (borders searched in prefix sums over the sorted values)."""
     f = fitted(spark, sf, "kmeans")
     rows = [(c, i, float(e)) for c in NUM for i, e in enumerate(f.bin_edges[c])]
     return spark.createDataFrame(rows, "field string, edge_index int, edge double").select("field", "edge_index", F.round("edge", 6).alias("edge"))
