@@ -8,8 +8,11 @@
 3. Pairs pass the signature check (estimated similarity, far below the threshold so that
    it drops no link) and are confirmed on the full sets.
 4. After components of these links, only buckets that still span several components are looked
-   at again: their members are compared across components on the full sets, block by block,
-   and each pair of blocks returns only links that join components, never all pairs.
+   at again.  Their members are compared across components by a join on rare shingles
+   (:mod:`set_join`: prefixes, length and positional bounds), whose pairs are checked and confirmed as in 3.
+   What many texts share, such as a template, is not rare and pairs nothing.  Only members with a prefix shingle
+   that more than ``set_join.HOT`` sets share are compared block by block inside their buckets; each pair of
+   blocks returns only links that join components, never all pairs.
    Together with 2 this examines every pair of candidates that could still join two components.
 5. Components by alternating large-star and small-star.
 
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import set_join
 from .common import id_key, releasing, save, text_or_empty
 from .components import connected_components
 from .textarrays import column_bytes, gram_hashes, lower_ascii, mix, word_hashes, word_spans
@@ -233,19 +237,38 @@ def _spanning(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
     return kept
 
 
-def _cross_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join components inside buckets which span several of them.
+def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, n, node, root): members of the buckets which span several components."""
+    tagged = buckets.join(labels.withColumnRenamed("vertex", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = tagged.groupBy("bucket").agg(F.min("root").alias("_l"), F.max("root").alias("_h"), F.count(F.lit(1)).alias("n"))
+    # of a bucket of two, the one pair has been examined
+    return tagged.join(open_.filter("_l <> _h AND n > 2").select("bucket", "n"), "bucket").select("bucket", "n", "node", "root")
+
+
+def _cross_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, count: int) -> DataFrame:
+    """Links (a, b) that join components, among the members of buckets which span several of them."""
+    members = save(_open_members(buckets, labels), "near-open")
+    known = save(members.select("node", "root").distinct().join(sets, "node"), "near-open-sets")
+    shared = save(set_join.shared_rows(set_join.prefix_rows(known, set_join.rarity(known), percent)), "near-shared")
+    pairs = save(_check_signatures(set_join.candidates(shared, percent), nodes, count), "near-rare")
+    crowded = save(set_join.crowded(shared), "near-crowded")
+    links = _confirm(pairs, sets, percent)
+    if crowded.isEmpty():
+        return links
+    # buckets keep only the members that need blocks, and their number of these
+    rest = members.drop("n").join(crowded, "node", "left_semi")
+    size = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("_l"), F.max("root").alias("_h"))
+    return links.union(_block_links(rest.join(size.filter("_l <> _h").select("bucket", "n"), "bucket"), sets, percent)).distinct()
+
+
+def _block_links(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components inside buckets.
 
     Members are dealt to blocks and every pair of blocks is one group of at
     most about 2 * BLOCK sets, whatever the bucket's size.  A group compares all
     its cross-component pairs exactly and returns a spanning choice of the links."""
-    tagged = buckets.join(labels.withColumnRenamed("vertex", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = tagged.groupBy("bucket").agg(F.min("root").alias("_l"), F.max("root").alias("_h"), F.count(F.lit(1)).alias("n"))
-    # of a bucket of two, the one pair has been examined
-    open_ = open_.filter("_l <> _h AND n > 2").select("bucket", "n")
     members = (
-        tagged.join(open_, "bucket")
-        .withColumn("_blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        open_members.withColumn("_blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     )
     # a member goes once to every pair of blocks that holds its own
@@ -299,7 +322,7 @@ def near_duplicates(
     pairs = save(_check_signatures(_first_pairs(buckets), nodes, count), "near-first")
     links = save(_confirm(pairs, sets, percent), "near-links")
     labels = save(connected_components(links), "near-labels")
-    more = save(_cross_links(buckets, sets, labels, percent), "near-more")
+    more = save(_cross_links(buckets, sets, labels, nodes, percent, count), "near-more")
     if not more.isEmpty():
         labels = save(connected_components(links.union(more)), "near-labels")
     place = nodes.select("node", "first_id").join(labels.withColumnRenamed("vertex", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
