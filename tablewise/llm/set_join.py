@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import releasing, save
 
 #: cells of the rarity table: 2**CELL_BITS counts
-CELL_BITS = 20
+CELL_BITS = 18
 #: sets that may share a prefix member for its pairs to be joined; one row meets at most this many others
 HOT = 64
 _EMIT = 1 << 16
@@ -53,9 +53,9 @@ def rarity(sets: DataFrame) -> np.ndarray:
             part = at[i : i + _EMIT]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part])], names=["cell", "n"])
 
-    counted = sets.select("codes").mapInArrow(releasing(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counted = sets.select("codes").mapInArrow(releasing(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << CELL_BITS, np.int64)
-    out[counted["cell"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    out[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     return out
 
 
