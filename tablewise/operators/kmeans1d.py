@@ -67,7 +67,7 @@ class Prefix:
 
     def _read(self, cells: list[int]) -> None:
         """At most one cell a border, each of bounded size."""
-        rows = self.values.where((F.col("field") == self.name) & F.col("cell").isin(cells)).select("cell", "x", "n").toPandas()
+        rows = self.values.where((F.col("field") == self.name) & F.col("cell").isin(cells)).select("cell", "x", "n").toArrow().to_pandas()
         for cell, part in rows.sort_values(["cell", "x"]).groupby("cell"):
             x, n = part["x"].to_numpy(float), part["n"].to_numpy(np.int64)
             # sums are taken from the smallest value on, as those of the cells
@@ -97,7 +97,7 @@ def prefixes(values: DataFrame) -> dict[str, Prefix]:
     cells = (
         values.join(F.broadcast(low), "field").groupBy("field", "cell")
         .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("count"), F.sum((F.col("x") - F.col("_o")) * F.col("n")).alias("total"))
-        .toPandas().sort_values(["field", "cell"])
+        .toArrow().to_pandas().sort_values(["field", "cell"])
     )
     return {
         name: Prefix(values, name, part["low"].to_numpy(float), part["high"].to_numpy(float), part["count"].to_numpy(np.int64), part["total"].to_numpy(float))
