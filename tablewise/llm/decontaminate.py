@@ -8,9 +8,9 @@ Documents are joined with the prefix shingles only.  A hit passes the length
 and positional bounds (the window must fit at the place its shingle's offset
 gives) and is then verified word by word.
 
-The benchmark is the query set: its distinct windows are processed in blocks
-of at most ``block_words`` words, each block broadcast (a proven bound), all
-documents streamed against each block.  Documents are never shuffled.
+The benchmark is the query set: tasks cut its windows, make them distinct and deal them to blocks
+of about ``block_words`` words (at most twice as many, measured).  The driver fetches one block at a time and
+broadcasts it; all documents are streamed against each block.  Documents are never shuffled.
 
 Defined cases: null text has no words; an item without words has no window;
 items with equal windows are all named; a null item id is ignored; repeated
@@ -42,6 +42,11 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8").translate(_FOLD).split() if text else []
 
 
+#: items that one row of the window table names
+OWNERS = 1024
+_EMIT = 8192
+
+
 class Block:
     """Distinct windows of a block, with exact integer word ids and shingle codes."""
 
@@ -146,23 +151,46 @@ def _match(block: Block, prefixes: dict, ids: np.ndarray) -> tuple[set[int], np.
     return seen, np.cumsum(marks[:-1]) > 0
 
 
-def benchmark_blocks(
-    benchmark: DataFrame, window: int, block_words: int, item_col: str, text_col: str
-) -> Iterator[dict[tuple[bytes, ...], list[str]]]:
-    """Blocks of distinct windows with the ids of their items, streamed to the driver one block at a time."""
-    items = benchmark.filter(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string").alias("i"), text_or_empty(text_col).alias("t"))
-    block: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-    size = 0
-    for row in items.toLocalIterator():
-        words = words_of(row.t)
-        for s in range(max(len(words) - window, 0) + 1 if words else 0):
-            block[tuple(words[s : s + window])].add(row.i)
-            size += window
-            if size >= block_words:
-                yield {w: sorted(x) for w, x in block.items()}
-                block, size = defaultdict(set), 0
-    if block:
-        yield {w: sorted(x) for w, x in block.items()}
+def benchmark_windows(benchmark: DataFrame, window: int, block_words: int, item_col: str, text_col: str) -> DataFrame:
+    """(block, words, items): the distinct windows of the benchmark, words joined by one space, with the ids of their items.
+
+    Windows are cut, made distinct and dealt to blocks by tasks.  A window that more than OWNERS items have
+    is several rows, so no row grows with the benchmark, and a block weighs at most about ``block_words``."""
+    items = benchmark.filter(F.col(item_col).isNotNull()).select(text_or_empty(text_col).alias("t"), F.col(item_col).cast("string").alias("item"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                starts = range(max(len(words) - window, 0) + 1 if words else 0)
+                for i in range(0, len(starts), _EMIT):
+                    part = [b" ".join(words[s : s + window]) for s in starts[i : i + _EMIT]]
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([item] * len(part), pa.string())], names=["words", "item"])
+
+    pairs = save(items.mapInArrow(releasing(run), "words binary, item string").distinct(), "benchmark-pairs")
+    wide = pairs.groupBy("words").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > OWNERS)
+    share = F.pmod(F.xxhash64("item"), F.coalesce(F.ceil(F.col("_n") / OWNERS), F.lit(1)))
+    owned = pairs.join(wide, "words", "left").withColumn("_share", share).groupBy("words", "_share").agg(F.collect_list("item").alias("items"))
+    # long words and long lists of items weigh as several words do
+    weighed = save(owned.withColumn("_weight", F.lit(window) + F.size("items") + F.floor(F.octet_length("words") / 8)), "benchmark-windows")
+    total, rows = weighed.agg(F.sum("_weight"), F.count(F.lit(1))).first()
+    blocks = max(1, -(-(total or 0) // block_words))
+    while True:
+        dealt = weighed.select(F.pmod(F.xxhash64("words", "_share"), F.lit(blocks)).alias("block"), "words", "items", "_weight")
+        heaviest = dealt.groupBy("block").agg(F.sum("_weight").alias("w")).agg(F.max("w")).first()[0] or 0
+        if heaviest <= 2 * block_words or blocks >= 2 * rows:  # beyond, single windows are heavier than a block
+            return dealt.select("block", "words", "items")
+        blocks *= 2
+
+
+def benchmark_blocks(windows: DataFrame) -> Iterator[dict[tuple[bytes, ...], list[str]]]:
+    """Blocks of distinct windows with the ids of their items; the driver fetches one at a time, when it is asked for."""
+    for number in sorted(r[0] for r in windows.select("block").distinct().collect()):  # a row a block
+        block: dict[tuple[bytes, ...], list[str]] = defaultdict(list)
+        for batch in windows.filter(F.col("block") == number).select("words", "items").toArrow().to_batches():
+            for w, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                block[tuple(w.split(b" "))] += items
+        yield block
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
@@ -231,11 +259,14 @@ def find_contamination(
         F.lit([]).cast("array<string>").alias("_items"),
     )
     shared = None
-    for windows in benchmark_blocks(benchmark, window, block_words, item_col, item_text_col):
+    for windows in benchmark_blocks(benchmark_windows(benchmark, window, block_words, item_col, item_text_col)):
         if shared is not None:
             rows = save(_mark(rows, shared, True), "decontaminate")
+            shared.destroy()
         block = Block(list(windows), shingle)
-        counts = _count_shingles(texts, spark.sparkContext.broadcast(block))
+        counting = spark.sparkContext.broadcast(block)
+        counts = _count_shingles(texts, counting)
+        counting.destroy()
         shared = spark.sparkContext.broadcast((block, _prefixes(block, counts), list(windows.values())))
     return _mark(rows, shared, False).select(
         F.col("_id").alias("doc_id"),

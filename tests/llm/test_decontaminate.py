@@ -68,3 +68,21 @@ def test_empty_tables_and_repeated_rows(spark):
     assert out == [(0, 0), (4, 3), (4, 3)]
     assert [r.n_hit for r in decontaminate.find_contamination(docs, benchmark.limit(0)).collect()] == [0, 0, 0]
     assert decontaminate.find_contamination(docs.limit(0), benchmark).count() == 0
+
+
+def test_windows_of_many_items_and_bounded_blocks(spark, monkeypatch):
+    """A window that every item has is several rows of bounded size; blocks keep to their weight; nothing is lost."""
+    monkeypatch.setattr(decontaminate, "OWNERS", 8)
+    shared = "a b c d e f g h i j"
+    items = [(i, f"{shared} x{i} y{i}") for i in range(60)] + [(60, "long " + "q" * 4000)]
+    benchmark = spark.createDataFrame([(i, t, 1) for i, t in items], ITEMS)
+    table = decontaminate.benchmark_windows(benchmark, 10, 400, "item_id", "text").collect()
+    cells = {}
+    for r in table:
+        assert len(r["items"]) <= 24  # hashed shares of 8 on average
+        cells[r.block] = cells.get(r.block, 0) + 10 + len(r["items"]) + len(r["words"]) // 8
+    assert len(cells) > 3 and max(cells.values()) <= 800
+    assert sorted(i for r in table if bytes(r["words"]) == shared.encode() for i in r["items"]) == sorted(str(i) for i in range(60))
+    got = rows_by_id(decontaminate.find_contamination(documents(spark, [f"z {shared} z", "long " + "Q" * 4000, "long"]), benchmark, block_words=400))
+    assert (got[0].n_hit, got[0].item_ids) == (10, sorted(str(i) for i in range(60)))
+    assert (got[1].n_hit, got[1].item_ids, got[2].n_hit) == (2, ["60"], 0)
