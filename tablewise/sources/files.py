@@ -1,7 +1,7 @@
 """File and content fingerprints (A3, A4).
 
-``file_fingerprint`` hashes whole files with the ``binaryFile`` source, one
-task per file of up to 2 GB.  ``tree_fingerprint`` hashes files of any size: fixed chunks are
+``file_fingerprint`` hashes whole files: short ones with the ``binaryFile`` source, longer ones part by
+part, a task a part, which hands the state of the hash on to the next.  ``tree_fingerprint`` hashes files of any size: fixed chunks are
 hashed side by side from byte ranges, and a file's hash is that of its chunks' hashes, by two levels.
 ``content_fingerprint`` is order-free and distributed: row count, the sum
 (as an exact decimal) and the XOR of a per-row md5 prefix.  It is the guard
@@ -10,6 +10,8 @@ that the input did not change while a job ran.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import hashlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -25,15 +27,79 @@ class InputChangedError(RuntimeError):
     pass
 
 
-def file_fingerprint(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Name, size, modification time and SHA-256 of every file under the glob."""
+#: bytes of a file that one task reads for its SHA-256, and that it holds at a time
+PART_BYTES, READ_BYTES = 256 << 20, 1 << 20
+
+
+def file_fingerprint(spark: SparkSession, path_glob: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Name, size, modification time and SHA-256 of every file under the glob, of any size."""
     files = spark.read.format("binaryFile").load(path_glob)
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
-    )
+    columns = [F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), F.col("sha256")]
+    short = files.where(F.col("length") <= part_bytes).withColumn("sha256", F.sha2(F.col("content"), 256)).select(*columns)
+    long = files.where(F.col("length") > part_bytes).select("path", "length", "modificationTime").collect()  # a row a file, no contents
+    if not long:
+        return short
+    hashes = spark.createDataFrame(_long_hashes(spark, [(r["path"], r["length"]) for r in long], part_bytes), "path string, sha256 string")
+    facts = files.where(F.col("length") > part_bytes).select("path", "length", "modificationTime")
+    return short.unionByName(facts.join(hashes, "path").select(*columns))
+
+
+def _libcrypto() -> ctypes.CDLL | None:
+    """OpenSSL, whose SHA-256 state is plain memory, unlike that of hashlib."""
+    name = ctypes.util.find_library("crypto")
+    lib = ctypes.CDLL(name) if name else None
+    return lib if lib is not None and hasattr(lib, "SHA256_Update") else None
+
+
+_STATE_BYTES = 112  # of OpenSSL's SHA256_CTX
+
+
+def _long_hashes(spark: SparkSession, files: list[tuple[str, int]], part_bytes: int) -> list[tuple[str, str]]:
+    """(path, SHA-256) of files of more than one part.
+
+    A SHA-256 goes through its file from the front, so the parts of a file follow each other, a job a round;
+    the files of a round are hashed side by side.  Without OpenSSL the last task of a file reads all of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lib = _libcrypto()
+        for batch in batches:
+            found = []
+            for path, length, start, state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                stop = min(start + part_bytes, length)
+                plain = hashlib.sha256() if lib is None else None
+                memory = ctypes.create_string_buffer(state or bytes(_STATE_BYTES), _STATE_BYTES)
+                if lib is not None and start == 0:
+                    lib.SHA256_Init(memory)
+                at = start if lib is not None else 0 if stop == length else stop
+                with _open(path) as file:
+                    file.seek(at)
+                    while at < stop:
+                        data = file.read(min(READ_BYTES, stop - at))
+                        if not data:
+                            raise InputChangedError(f"{path} became shorter while it was read")
+                        if lib is None:
+                            plain.update(data)
+                        else:
+                            lib.SHA256_Update(memory, data, ctypes.c_size_t(len(data)))
+                        at += len(data)
+                digest = None
+                if stop == length and lib is None:
+                    digest = plain.hexdigest()
+                elif stop == length:
+                    out = ctypes.create_string_buffer(32)
+                    lib.SHA256_Final(out, memory)
+                    digest = out.raw.hex()
+                found.append((path, length, stop, memory.raw, digest))
+            if found:
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=["path", "length", "start", "state", "sha256"])
+
+    left, done = [(p, n, 0, None) for p, n in files], []
+    while left:
+        rows = spark.createDataFrame(spark.sparkContext.parallelize(left, len(left)), "path string, length long, start long, state binary")
+        got = rows.mapInArrow(run, "path string, length long, start long, state binary, sha256 string").collect()
+        done += [(r["path"], r["sha256"]) for r in got if r["sha256"] is not None]
+        left = [(r["path"], r["length"], r["start"], bytes(r["state"])) for r in got if r["sha256"] is None]
+    return done
 
 
 #: bytes of one leaf of the tree hash, leaves below one inner node, and bytes that one task reads at a time

@@ -54,3 +54,28 @@ def test_a_file_beyond_two_gigabytes_in_bounded_memory(spark, folder):
     nodes = [hashlib.sha256("".join(leaves[i : i + 4096]).encode()).hexdigest() for i in (0, 4096)]
     assert (r["size_bytes"], r["leaves"], r["tree_sha256"]) == (size, 5121, hashlib.sha256("".join(nodes).encode()).hexdigest())
     assert resource.getrusage(resource.RUSAGE_CHILDREN).ru_maxrss < 8 << 20  # kilobytes
+
+
+@pytest.mark.parametrize("part", [1, 64, 700, 1 << 20])
+def test_file_hashes_by_parts_equal_whole_ones(spark, folder, part, monkeypatch):
+    rng, want = random.Random(part), {}
+    for i, size in enumerate((0, 1, 2, 5) if part == 1 else (1, 63, 64, 65, 700, 701, 3000)):
+        data = rng.randbytes(size)
+        with open(os.path.join(folder, f"file {i} é%.bin"), "wb") as fh:
+            fh.write(data)
+        want[f"file {i} é%.bin"] = (size, hashlib.sha256(data).hexdigest())
+    got = files.file_fingerprint(spark, folder, part)
+    assert got.columns == ["name", "size_bytes", "modified", "sha256"]
+    rows = {r["name"]: (r["size_bytes"], r["sha256"]) for r in got.collect()}
+    assert sorted(v for v in rows.values() if v[0]) == sorted(v for v in want.values() if v[0])
+
+
+def test_hash_of_a_file_beyond_two_gigabytes(spark, folder):
+    size, plain = (2 << 30) + 5, hashlib.sha256()
+    with open(os.path.join(folder, "large"), "wb") as fh:
+        fh.truncate(size)  # a sparse file takes no room
+    for _ in range(2048):
+        plain.update(bytes(1 << 20))
+    plain.update(bytes(5))
+    r = files.file_fingerprint(spark, folder).first()
+    assert (r["name"], r["size_bytes"], r["sha256"]) == ("large", size, plain.hexdigest())
