@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,6 +25,7 @@ from ..functions.exprs import broadcast_if_small
 
 PIECE = "file string, block long, number long, text string, head boolean, tail boolean, valid boolean, first boolean"
 _KINDS = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.bool_())
+_BLANK = " \t\r\n\ufeff"
 _NAMES = ["file", "block", "number", "text", "head", "tail", "valid", "first"]
 
 
@@ -77,6 +79,31 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number += n
             yield pa.RecordBatch.from_arrays([files, blocks, count, values, true, true, ok, false], names=_NAMES)
             continue
+        if one_block and not first:
+            # lines to records by arrays: a record ends where the quotes so far are even
+            inner = (np.cumsum(odd.to_numpy(zero_copy_only=False)) + inside) % 2 == 1
+            ends, good = np.flatnonzero(~inner), ok.to_numpy(zero_copy_only=False)
+            if len(ends):
+                begin, stop = int(ends[0]) + 1, int(ends[-1]) + 1
+                held += values[:begin].to_pylist()
+                valid = bool(valid and good[:begin].all())
+                rows = [piece(True)] if "".join(held).strip(_BLANK) else []  # a blank line is no record
+                yield batch_of(rows)
+                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), values[begin:stop]), "\n")
+                count = pa.array(np.arange(number + 1, number + len(ends)))
+                true, false = (pa.array(np.full(len(texts), b)) for b in (True, False))
+                fine = pa.array(np.logical_and.reduceat(good[begin:stop], ends[:-1] - ends[0])) if len(texts) else true
+                name, at = pa.array([key[0]] * len(texts), pa.string()), pa.array(np.full(len(texts), key[1], np.int64))
+                filled = pc.not_equal(pc.utf8_trim(texts, _BLANK), "")
+                yield pa.RecordBatch.from_arrays([name, at, count, texts, true, true, fine, false], names=_NAMES).filter(filled)
+                held, head, number = [], True, number + len(ends)
+                valid = True
+            else:
+                stop = 0
+            held += values[stop:].to_pylist()
+            valid = bool(valid and good[stop:].all())
+            inside = bool(inner[-1])
+            continue
         rows: list[tuple] = []
         for file, block, value, flips, begin, holds_first, good in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if key != (file, block):
@@ -88,7 +115,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside ^= flips
             if not inside:
                 rows.append(piece(True))
-                if "".join(held).strip(" \t\r\n\ufeff"):
+                if "".join(held).strip(_BLANK):
                     first = False
                 else:
                     rows.pop()  # a blank line is no record

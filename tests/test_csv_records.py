@@ -3,6 +3,7 @@ import io
 import os
 import random
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -134,3 +135,54 @@ def test_more_blocks_than_a_broadcast_may_hold(spark, split_size, monkeypatch):
     data, _, want = random_file(random.Random(3), 40)
     path = write(os.path.join(folder(), "f.csv"), data)
     assert sorted(map(tuple, csvsrc.csv_scan(spark, path, multiline=True).collect())) == sorted(map(tuple, want))
+
+
+def line_batches(rng, n, size):
+    """Lines of random records of one block as ``records._pieces`` takes them, in batches of ``size``."""
+    pa = pytest.importorskip("pyarrow")
+    lines = []
+    while len(lines) < n:
+        rest = [rng.choice(["x", "", " ", "é,\"\"", "\ufeff"]) for _ in range(rng.randrange(5))]
+        lines += ['a,"b', *rest, 'c"'] if rng.random() < 0.6 else [rng.choice(["plain", "", "  ", '"q"'])]
+    odd, ok = [x.count('"') % 2 == 1 for x in lines], [rng.random() < 0.9 for _ in lines]
+    out = []
+    for a in range(0, len(lines), size):
+        m = len(lines[a : a + size])
+        columns = [["f"] * m, [0] * m, lines[a : a + size], odd[a : a + size], [False] * m, [False] * m, ok[a : a + size]]
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.bool_())
+        out.append(pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["file", "block", "value", "odd", "begins", "firsts", "valid"]))
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_records_do_not_depend_on_the_batches(size):
+    for seed in range(6):
+        want, got = (
+            [r for b in records._pieces(iter(line_batches(random.Random(seed), 300, s))) for r in b.to_pylist() if r["text"].strip(" \ufeff")] for s in (10**6, size)
+        )
+        assert got == want and len(want) > 50
+
+
+def test_lines_are_joined_by_arrays_not_one_by_one():
+    def seconds(size):
+        batches = line_batches(random.Random(1), 300_000, size)
+        begun = time.perf_counter()
+        for _ in records._pieces(iter(batches)):
+            pass
+        return time.perf_counter() - begun
+
+    assert 2 * min(seconds(10_000) for _ in range(2)) < seconds(10**7)  # one batch holds the block's first line, which is taken by itself
+
+
+@pytest.mark.parametrize("size", [100, 1 << 20])
+def test_small_batches_equal_a_sequential_parser(spark, split_size, size):
+    split_size(size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        rng = random.Random(size + 1)
+        for rows in (5, 60):
+            data, header, want = random_file(rng, rows)
+            got = csvsrc.csv_scan(spark, write(os.path.join(folder(), "f.csv"), data), multiline=True)
+            assert got.columns == header and sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
